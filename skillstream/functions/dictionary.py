@@ -125,5 +125,10 @@ def term_pattern(term: str) -> str:
     return head + _literal(t) + tail
 
 
+def is_single_token(term: str) -> bool:
+    """True when the term is one run of word characters (no space or symbol)."""
+    return bool(term) and all(_is_word_char(c) for c in term)
+
+
 def has_word_char(term: str) -> bool:
     return any(_is_word_char(c) for c in term)

@@ -1,37 +1,99 @@
-"""Dictionary tagging as one native column expression (small dictionaries).
-
-For each term the lower-cased text is first probed with a plain substring
-test (``contains``) and only then with the word-boundary regex; the
-substring test rejects most (text, term) pairs cheaply and keeps the regex
-off the hot path. The result lists matched terms in dictionary order, each
-at most once, with the dictionary's spelling; NULL or empty text gives an
-empty array. Overlapping terms all match ("apache spark" also yields
-"spark") because every term is tested independently.
+"""Dictionary tagging as one native column expression.
+
+A term matches when it occurs in the lower-cased text with a word boundary
+on both sides (see ``dictionary.term_pattern``). Two exact strategies are
+combined in one expression:
+
+* **single-token terms** (only letters, digits, underscore — most skills:
+  "python", "sql", "r"): such a term matches exactly when it equals one of
+  the text's maximal word-character runs. The text is tokenised once
+  (``regexp_extract_all``), de-duplicated, and intersected with the literal
+  term array via a hash set, so the cost is one pass over the text however
+  many single-token terms there are.
+* **multi-run terms** (containing spaces or symbols: "c++", "node.js",
+  "apache spark"): a cheap substring test (``contains``) first, and the
+  word-boundary regex only for texts that pass it.
+
+The result lists matched terms in dictionary order, each at most once, with
+the dictionary's spelling; NULL or empty text gives an empty array.
+Overlapping terms all match ("apache spark" also yields "spark") because
+every term is tested independently.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .dictionary import as_terms, term_pattern
+from .dictionary import WORD_CLASS, as_terms, is_single_token, term_pattern
+
+TOKEN_PATTERN = WORD_CLASS + "+"
 
 
 def lowered(text: Column | str) -> Column:
     return F.lower(F.col(text) if isinstance(text, str) else text)
 
 
+def text_tokens(lower_text: Column) -> Column:
+    """Distinct maximal word-character runs of a (lower-cased) text."""
+    return F.array_distinct(F.regexp_extract_all(lower_text, F.lit(TOKEN_PATTERN), 0))
+
+
 def term_hit(lower_text: Column, term: str) -> Column:
     """Boolean: does ``term`` occur as a whole word in already lower-cased text."""
     t = term.lower()
     return lower_text.contains(F.lit(t)) & lower_text.rlike(term_pattern(term))
 
 
+def _empty() -> Column:
+    return F.array().cast("array<string>")
+
+
 def tag_terms(text: Column | str, dictionary, *, already_lower: bool = False) -> Column:
-    """array<string> of dictionary terms found in ``text``."""
+    """array<string> of dictionary terms found in ``text``, as ONE column
+    expression: ``contains`` prefilter + word-boundary regex per term.
+
+    Usable anywhere a Column is (SQL, streaming, ``withColumn``). For many
+    single-token terms prefer ``with_tags``, which tokenises the text once.
+    """
     terms = as_terms(dictionary)
-    lt = (F.col(text) if isinstance(text, str) else text) if already_lower else lowered(text)
     if not terms:
-        return F.array().cast("array<string>")
+        return _empty()
+    lt = (F.col(text) if isinstance(text, str) else text) if already_lower else lowered(text)
     hits = [F.when(term_hit(lt, term), F.lit(term)) for term in terms]
-    return F.coalesce(F.array_compact(F.array(*hits)), F.array().cast("array<string>"))
+    return F.coalesce(F.array_compact(F.array(*hits)), _empty())
+
+
+_LOWER = "__tag_lower"
+_FOUND = "__tag_found"
+
+
+def with_tags(df: DataFrame, text_col: str, dictionary, out_col: str = "skills_extracted",
+              method: str = "hybrid") -> DataFrame:
+    """Add ``out_col`` = dictionary terms found in ``text_col``.
+
+    ``hybrid`` (default): the lower-cased text and its token-set hits are
+    projected into their own columns first, so the text is lower-cased and
+    tokenised exactly once per row (a nested column expression would be
+    re-evaluated by every term that references it); single-token terms are
+    then answered from the small hit array and only multi-run terms run
+    their regex. ``regex``: every term by regex (``tag_terms``).
+    """
+    terms = as_terms(dictionary)
+    if method == "regex" or not terms:
+        return df.withColumn(out_col, tag_terms(text_col, terms))
+    if method != "hybrid":
+        raise ValueError(f"unknown tagging method {method!r}")
+    single = [t for t in terms if is_single_token(t.lower())]
+    staged = df.withColumn(_LOWER, F.lower(F.col(text_col)))
+    if single:
+        lowers = sorted({t.lower() for t in single})
+        staged = staged.withColumn(
+            _FOUND, F.array_intersect(F.array(*[F.lit(t) for t in lowers]),
+                                      text_tokens(F.col(_LOWER))))
+    lt, found = F.col(_LOWER), F.col(_FOUND)
+    single_set = set(single)
+    hits = [F.when(F.array_contains(found, F.lit(t.lower())), F.lit(t)) if t in single_set
+            else F.when(term_hit(lt, t), F.lit(t)) for t in terms]
+    out = staged.withColumn(out_col, F.coalesce(F.array_compact(F.array(*hits)), _empty()))
+    return out.drop(_LOWER, _FOUND)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dictionary import as_terms, default_skills
 from ..functions.scoring import classify_seniority, parse_posted_date, skill_count
-from ..functions.tagging import tag_terms
+from ..functions.tagging import with_tags
 from ..schema import ENRICHED_COLS
 
 # Above this many terms the join-based tagger is used: its cost is flat in
@@ -26,9 +26,9 @@ def with_skills(df: DataFrame, dictionary=None, text_col: str = "description",
                 row_key: str | None = None) -> DataFrame:
     terms = as_terms(default_skills() if dictionary is None else dictionary)
     if method == "auto":
-        method = "expr" if len(terms) <= JOIN_TAGGER_MIN_TERMS else "join"
-    if method == "expr":
-        return df.withColumn(out_col, tag_terms(text_col, terms))
+        method = "hybrid" if len(terms) <= JOIN_TAGGER_MIN_TERMS else "join"
+    if method in ("hybrid", "regex"):
+        return with_tags(df, text_col, terms, out_col=out_col, method=method)
     if method == "join":
         from .tag_join import tag_terms_join
         return tag_terms_join(df, text_col, terms, out_col=out_col, row_key=row_key)

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .tables import ensure_parallelism
+
 DOC_COLS = ["doc_id", "text", "source", "n_chars"]
 
 # Fixed mapping values (also spelled out in the oracle SQL).
@@ -28,7 +30,8 @@ REQUIRED_SKILLS = ["The", "Extra", "the"]
 
 
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet").select(*DOC_COLS)
+    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet").select(*DOC_COLS)
+    return ensure_parallelism(docs, "doc_id")
 
 
 def _case(col, values):
