@@ -19,6 +19,7 @@ from ..functions.tagging import with_tags
 from ..operators import alerts as AL
 from ..operators import metrics as M
 from ..operators.enrich import enrich
+from ..operators.tag_join import tag_terms_join
 from ..schema import ALERT_HIT_COLS
 from ..session import scratch_path
 from ..sources.fixtures import fixture_postings
@@ -74,6 +75,12 @@ def q_skill_extract(spark, sf_dir):
     return with_tags(raw, "description", TEST_SKILLS).select("job_id", "skills_extracted")
 
 
+def q_skill_extract_join(spark, sf_dir):
+    raw = fixture_postings(spark, sf_dir).select("job_id", "description")
+    return tag_terms_join(raw, "description", TEST_SKILLS, row_key="job_id").select(
+        "job_id", "skills_extracted")
+
+
 def q_posted_date(spark, sf_dir):
     raw = fixture_postings(spark, sf_dir)
     return raw.select("job_id", F.col("posted_date").alias("posted_date_raw"),
@@ -101,6 +108,7 @@ QUERIES: dict[str, Query] = {
     # enrichment
     "enriched": lambda s, d: enriched_postings(s, d),
     "skill_extract": q_skill_extract,
+    "skill_extract_join": q_skill_extract_join,
     "skill_count": lambda s, d: enriched_postings(s, d).select(
         "job_id", "skills_required", "skills_extracted", "skills_count"),
     "seniority": lambda s, d: enriched_postings(s, d).select(

@@ -136,6 +136,7 @@ def build() -> dict[str, str]:
     q["enriched"] = _with("SELECT * FROM enriched")
     q["skill_extract"] = f"WITH raw AS ({RAW_POSTINGS}) SELECT job_id, " \
                          f"{tag_sql('lower(description)', TEST_SKILLS)} AS skills_extracted FROM raw"
+    q["skill_extract_join"] = q["skill_extract"]
     q["skill_count"] = _with("SELECT job_id, skills_required, skills_extracted, skills_count FROM enriched")
     q["seniority"] = _with("SELECT job_id, experience_level, skills_count, seniority FROM enriched")
     q["posted_date"] = f"WITH raw AS ({RAW_POSTINGS}) SELECT job_id, posted_date AS posted_date_raw, " \
