@@ -20,7 +20,11 @@ from ..operators import alerts as AL
 from ..operators import metrics as M
 from ..operators.enrich import enrich
 from ..operators.tag_join import tag_terms_join
-from ..schema import ALERT_HIT_COLS
+from ..schema import ALERT_HIT_COLS, POSTING_COLS
+from ..sources.json_codec import (decode_postings, encode_postings, publish, publish_stats,
+                                  read_postings_json)
+from ..streaming.alerts import read_posting_stream, stream_alerts
+from ..streaming.ingest import run_ingest
 from ..session import scratch_path
 from ..sources.fixtures import fixture_postings
 from ..sources.tables import read_table, write_table
@@ -102,6 +106,77 @@ def q_alert_digest_cards(spark, sf_dir):
     return AL.digest_cards(AL.alert_digest(_matches(spark, sf_dir), prefix=P.SUBJECT_PREFIX))
 
 
+def q_decode_json(spark, sf_dir):
+    """Encode each posting as a JSON message and decode it again (batch)."""
+    raw = fixture_postings(spark, sf_dir)
+    env = raw.select(F.to_json(F.struct(*POSTING_COLS), {"ignoreNullFields": "false"}).alias("value"),
+                     F.col("kafka_timestamp").alias("timestamp"))
+    return decode_postings(env)
+
+
+def q_encode_json(spark, sf_dir):
+    return encode_postings(fixture_postings(spark, sf_dir))
+
+
+def _published(spark, sf_dir) -> str:
+    path = scratch_path(spark, "messages")
+    publish(fixture_postings(spark, sf_dir), path, fmt="text")
+    return path
+
+
+def q_publish_stats(spark, sf_dir):
+    path = _published(spark, sf_dir)
+    return publish_stats(fixture_postings(spark, sf_dir), spark.read.text(path))
+
+
+def q_postings_json(spark, sf_dir):
+    return read_postings_json(spark, _published(spark, sf_dir), multi_line=False)
+
+
+STREAM_DROP = ["processed_timestamp", "kafka_timestamp"]
+
+
+def _ingested(spark, sf_dir) -> str:
+    """Publish the postings as JSON-line files, then run the continuous
+    ingest job over them (two files per micro-batch) until caught up."""
+    messages = _published(spark, sf_dir)
+    table = scratch_path(spark, "stream-table")
+    run_ingest(spark, "text", messages, table, scratch_path(spark, "stream-ck"),
+               dictionary=TEST_SKILLS, max_files_per_trigger=2, available_now=True)
+    return table
+
+
+def q_ingest_stream(spark, sf_dir):
+    return read_table(spark, _ingested(spark, sf_dir)).drop(*STREAM_DROP)
+
+
+def q_stream_alerts(spark, sf_dir):
+    table = _ingested(spark, sf_dir)
+    out = scratch_path(spark, "alert-out")
+    schema = read_table(spark, table).schema
+    stream_alerts(read_posting_stream(spark, table, schema, max_files_per_trigger=3),
+                  _alerts, out, scratch_path(spark, "alert-ck"), available_now=True)
+    return spark.read.parquet(out).drop("batch_id", "processed_timestamp")
+
+
+def _events(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+
+
+def q_events_props(spark, sf_dir):
+    ev = _events(spark, sf_dir).select("event_id", "props")
+    return ev.select("event_id", F.from_json("props", "k INT").getField("k").alias("k"))
+
+
+def q_events_timeline(spark, sf_dir):
+    ev = _events(spark, sf_dir).select(F.to_date("ts").alias("day"))
+    return M.timeline(ev, "day")
+
+
+def q_events_top_types(spark, sf_dir):
+    return M.top_k_counts(_events(spark, sf_dir).select("event_type"), "event_type", 3)
+
+
 _A = P.ALERT_A
 
 QUERIES: dict[str, Query] = {
@@ -144,6 +219,17 @@ QUERIES: dict[str, Query] = {
     "alert_top50": lambda s, d: AL.top_hits(_matches(s, d)),
     "alert_digest": q_alert_digest,
     "alert_digest_cards": q_alert_digest_cards,
+    # sources, sinks and streaming
+    "decode_json": q_decode_json,
+    "encode_json": q_encode_json,
+    "publish_stats": q_publish_stats,
+    "postings_json": q_postings_json,
+    "ingest_stream": q_ingest_stream,
+    "stream_alerts": q_stream_alerts,
+    # the same generic operators on the event log
+    "events_props": q_events_props,
+    "events_timeline": q_events_timeline,
+    "events_top_types": q_events_top_types,
 }
 
 

@@ -222,6 +222,21 @@ SELECT alert_id, alert_name, hit_rank AS card_rank, job_id,
        coalesce(seniority, 'N/A') AS seniority, coalesce(skills_count, 0) AS skills_count,
        coalesce(skills_extracted, []::VARCHAR[])[1:10] AS skills, coalesce(link, '#') AS link
 FROM ({_top50()}) r""")
+    raw_cols = ("job_id, title, company, location, experience, experience_level, skills_required, "
+                "description, posted_date, link, salary_range")
+    q["decode_json"] = f"WITH raw AS ({RAW_POSTINGS}) SELECT {raw_cols}, kafka_timestamp FROM raw"
+    q["encode_json"] = (f"WITH raw AS ({RAW_POSTINGS}) SELECT job_id AS key, to_json(struct_pack("
+                        + ", ".join(f"{c} := {c}" for c in raw_cols.split(", ")) + ")) AS value FROM raw")
+    q["publish_stats"] = ("SELECT count(*) AS total, count(*) AS sent, count(*) - count(*) AS failed, "
+                          "CASE WHEN count(*) > 0 THEN 100.0 ELSE 0.0 END AS success_pct FROM documents")
+    q["postings_json"] = f"WITH raw AS ({RAW_POSTINGS}) SELECT {raw_cols} FROM raw"
+    q["ingest_stream"] = _with(
+        "SELECT * EXCLUDE (processed_timestamp, kafka_timestamp) FROM enriched")
+    q["stream_alerts"] = _with(f"SELECT * EXCLUDE (processed_timestamp) FROM ({_matches(since=False)})")
+    q["events_props"] = "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events"
+    q["events_timeline"] = ("SELECT CAST(ts AS DATE) AS day, count(*) AS job_count FROM events "
+                            "WHERE ts IS NOT NULL GROUP BY 1 ORDER BY 1")
+    q["events_top_types"] = _top_k("event_type", 3, "events")
     return q
 
 
