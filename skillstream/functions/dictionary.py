@@ -115,13 +115,26 @@ def _literal(term: str) -> str:
     return "".join(parts)
 
 
-def term_pattern(term: str) -> str:
-    """Regex that finds ``term`` (lower-cased) as a whole word in lower-cased text."""
+def term_pattern(term: str, boundary: str = "strict") -> str:
+    """Regex that finds ``term`` (lower-cased) as a whole word in lower-cased text.
+
+    ``strict`` (default) is the classic ``\\b`` reading described above.
+    ``symbol_aware`` (opt-in) treats a symbol at either end of the term as
+    part of the word: "c++" then also matches in "uses c++ daily", and the
+    neighbour of a symbol end only has to be a non-word character (or the
+    text boundary).
+    """
     t = term.lower()
     if not t:
         raise ValueError("empty term")
-    head = "(?:^|" + NON_WORD_CLASS + ")" if _is_word_char(t[0]) else WORD_CLASS
-    tail = "(?:" + NON_WORD_CLASS + "|$)" if _is_word_char(t[-1]) else WORD_CLASS
+    if boundary not in ("strict", "symbol_aware"):
+        raise ValueError(f"unknown boundary {boundary!r}")
+    open_ = "(?:^|" + NON_WORD_CLASS + ")"
+    close = "(?:" + NON_WORD_CLASS + "|$)"
+    if boundary == "symbol_aware":
+        return open_ + _literal(t) + close
+    head = open_ if _is_word_char(t[0]) else WORD_CLASS
+    tail = close if _is_word_char(t[-1]) else WORD_CLASS
     return head + _literal(t) + tail
 
 

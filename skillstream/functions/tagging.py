@@ -39,17 +39,18 @@ def text_tokens(lower_text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(lower_text, F.lit(TOKEN_PATTERN), 0))
 
 
-def term_hit(lower_text: Column, term: str) -> Column:
+def term_hit(lower_text: Column, term: str, boundary: str = "strict") -> Column:
     """Boolean: does ``term`` occur as a whole word in already lower-cased text."""
     t = term.lower()
-    return lower_text.contains(F.lit(t)) & lower_text.rlike(term_pattern(term))
+    return lower_text.contains(F.lit(t)) & lower_text.rlike(term_pattern(term, boundary))
 
 
 def _empty() -> Column:
     return F.array().cast("array<string>")
 
 
-def tag_terms(text: Column | str, dictionary, *, already_lower: bool = False) -> Column:
+def tag_terms(text: Column | str, dictionary, *, already_lower: bool = False,
+              boundary: str = "strict") -> Column:
     """array<string> of dictionary terms found in ``text``, as ONE column
     expression: ``contains`` prefilter + word-boundary regex per term.
 
@@ -60,7 +61,7 @@ def tag_terms(text: Column | str, dictionary, *, already_lower: bool = False) ->
     if not terms:
         return _empty()
     lt = (F.col(text) if isinstance(text, str) else text) if already_lower else lowered(text)
-    hits = [F.when(term_hit(lt, term), F.lit(term)) for term in terms]
+    hits = [F.when(term_hit(lt, term, boundary), F.lit(term)) for term in terms]
     return F.coalesce(F.array_compact(F.array(*hits)), _empty())
 
 
@@ -69,7 +70,7 @@ _FOUND = "__tag_found"
 
 
 def with_tags(df: DataFrame, text_col: str, dictionary, out_col: str = "skills_extracted",
-              method: str = "hybrid") -> DataFrame:
+              method: str = "hybrid", boundary: str = "strict") -> DataFrame:
     """Add ``out_col`` = dictionary terms found in ``text_col``.
 
     ``hybrid`` (default): the lower-cased text and its token-set hits are
@@ -81,7 +82,7 @@ def with_tags(df: DataFrame, text_col: str, dictionary, out_col: str = "skills_e
     """
     terms = as_terms(dictionary)
     if method == "regex" or not terms:
-        return df.withColumn(out_col, tag_terms(text_col, terms))
+        return df.withColumn(out_col, tag_terms(text_col, terms, boundary=boundary))
     if method != "hybrid":
         raise ValueError(f"unknown tagging method {method!r}")
     single = [t for t in terms if is_single_token(t.lower())]
@@ -94,6 +95,6 @@ def with_tags(df: DataFrame, text_col: str, dictionary, out_col: str = "skills_e
     lt, found = F.col(_LOWER), F.col(_FOUND)
     single_set = set(single)
     hits = [F.when(F.array_contains(found, F.lit(t.lower())), F.lit(t)) if t in single_set
-            else F.when(term_hit(lt, t), F.lit(t)) for t in terms]
+            else F.when(term_hit(lt, t, boundary), F.lit(t)) for t in terms]
     out = staged.withColumn(out_col, F.coalesce(F.array_compact(F.array(*hits)), _empty()))
     return out.drop(_LOWER, _FOUND)

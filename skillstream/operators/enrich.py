@@ -23,13 +23,15 @@ JOIN_TAGGER_MIN_TERMS = 150
 
 def with_skills(df: DataFrame, dictionary=None, text_col: str = "description",
                 out_col: str = "skills_extracted", method: str = "auto",
-                row_key: str | None = None) -> DataFrame:
+                row_key: str | None = None, boundary: str = "strict") -> DataFrame:
     terms = as_terms(default_skills() if dictionary is None else dictionary)
     if method == "auto":
         method = "hybrid" if len(terms) <= JOIN_TAGGER_MIN_TERMS else "join"
     if method in ("hybrid", "regex"):
-        return with_tags(df, text_col, terms, out_col=out_col, method=method)
+        return with_tags(df, text_col, terms, out_col=out_col, method=method, boundary=boundary)
     if method == "join":
+        if boundary != "strict":
+            raise ValueError("the join tagger implements the strict boundary only")
         from .tag_join import tag_terms_join
         return tag_terms_join(df, text_col, terms, out_col=out_col, row_key=row_key)
     raise ValueError(f"unknown tagging method {method!r}")

@@ -4,9 +4,8 @@ Same result as ``functions.tagging.with_tags`` (terms in dictionary order,
 each once, empty array when nothing matches), with a cost that is flat in
 the dictionary size:
 
-1. rows are hash-partitioned once on a row key; every later step keeps
-   that partitioning, so the aggregation and the join back below need no
-   further shuffle;
+1. every row gets a deterministic, never-NULL key (user key + content
+   hashes), safe to recompute after an executor loss;
 2. each text is tokenised into its distinct word-character runs, which
    are equi-joined with the dictionary on the term's first word run
    (broadcast when the dictionary size — known on the driver — is within
@@ -14,8 +13,16 @@ the dictionary size:
 3. a single-token term that joins is a hit; a multi-run term ("c++",
    "apache spark") that joins is only a candidate and is verified with its
    word-boundary regex against its own row's text;
-4. hits are collected per row (bounded by the dictionary size) and joined
-   back; terms without any word character go through the regex tagger.
+4. hits are collected per key (bounded by the dictionary size; partial
+   aggregation first) and joined back to the rows; a hot key on the row
+   side is split by AQE's skew-join handling. Terms without any word
+   character go through the regex tagger.
+
+Cost: one scan for the tokens, one for the rows, and the shuffles of the
+verification texts and of the join back. The default tagger
+(``with_tags``) has no shuffle at all, so this path is chosen only for
+dictionaries large enough that a per-row pass over the term list
+dominates.
 """
 
 from __future__ import annotations
@@ -59,7 +66,7 @@ def content_key(text: Column, row_key: Column | None = None) -> Column:
 
 
 def tag_terms_join(df: DataFrame, text_col: str, dictionary, out_col: str = "skills_extracted",
-                   row_key: str | None = None, num_partitions: int | None = None) -> DataFrame:
+                   row_key: str | None = None) -> DataFrame:
     spark = df.sparkSession
     terms = as_terms(dictionary)
     rows, loose = [], []
@@ -73,25 +80,26 @@ def tag_terms_join(df: DataFrame, text_col: str, dictionary, out_col: str = "ski
     if len(rows) <= BROADCAST_TERMS:
         dict_df = F.broadcast(dict_df)
 
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = content_key(F.col(text_col), F.col(row_key) if row_key else None)
     base = df.withColumn(_RK, key)
-    # One exchange of (key, lower text), shared by the token branch and the
-    # verification branch (identical plans, so Spark reuses the shuffle).
-    texts = (base.select(_RK, F.lower(F.col(text_col)).alias(_LT))
-                 .repartition(n, F.col(_RK)))
+    texts = base.select(_RK, F.lower(F.col(text_col)).alias(_LT))
 
     toks = texts.select(_RK, F.explode(text_tokens(F.col(_LT))).alias(_TOK))
     cand = toks.join(dict_df, F.col(_TOK) == F.col("first_run"), "inner")
     single_hits = cand.where("single").select(_RK, "ordinal", "term")
-    multi = cand.where(~F.col("single")).select(_RK, "ordinal", "term", "pattern")
-    multi_hits = (multi.join(texts, _RK, "inner")
+    # Copies of one text share a key (a group of copies may be a third of
+    # all rows): both sides of the verification join are reduced to one row
+    # per key first (partial aggregation collapses copies map-side), so the
+    # join is one-to-one per key instead of copies x copies.
+    multi = cand.where(~F.col("single")).select(_RK, "ordinal", "term", "pattern").distinct()
+    one_text = texts.groupBy(_RK).agg(F.first(_LT).alias(_LT))
+    multi_hits = (multi.join(one_text, _RK, "inner")
                        .where(F.regexp_like(F.col(_LT), F.col("pattern")))
                        .select(_RK, "ordinal", "term"))
     hits = (single_hits.unionByName(multi_hits).groupBy(_RK)
             .agg(F.array_sort(F.collect_set(F.struct("ordinal", "term"))).alias("__tag_hits")))
     if loose:
-        loose_hits = texts.select(_RK, F.array_compact(F.array(*[
+        loose_hits = one_text.select(_RK, F.array_compact(F.array(*[
             F.when(term_hit(F.col(_LT), t), F.struct(F.lit(i).alias("ordinal"), F.lit(t).alias("term")))
             for i, t in loose])).alias("__tag_loose"))
         hits = (loose_hits.join(hits, _RK, "left")

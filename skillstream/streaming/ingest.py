@@ -48,9 +48,20 @@ def read_envelopes(spark: SparkSession, fmt: str, path: str | None = None,
         "value", "timestamp")
 
 
-def enriched_stream(envelopes: DataFrame, dictionary=None) -> DataFrame:
-    """Decode + enrich a stream; the same functions as in batch."""
-    return enrich(decode_postings(envelopes), dictionary)
+def enriched_stream(envelopes: DataFrame, dictionary=None,
+                    dedupe_within: str | None = None) -> DataFrame:
+    """Decode + enrich a stream; the same functions as in batch.
+
+    ``dedupe_within`` (opt-in, e.g. ``"1 hour"``): drop a posting whose
+    ``job_id`` was already seen within that delay of envelope time (producer
+    retries). Off by default: postings are never de-duplicated, as in the
+    source system. The state is bounded by the watermark.
+    """
+    decoded = decode_postings(envelopes)
+    if dedupe_within:
+        decoded = (decoded.withWatermark("kafka_timestamp", dedupe_within)
+                          .dropDuplicatesWithinWatermark(["job_id"]))
+    return enrich(decoded, dictionary)
 
 
 def start_ingest(enriched: DataFrame, table_path: str, checkpoint: str, fmt: str = "parquet",
@@ -71,10 +82,11 @@ def start_ingest(enriched: DataFrame, table_path: str, checkpoint: str, fmt: str
 def run_ingest(spark: SparkSession, source_fmt: str, source: str | None, table_path: str,
                checkpoint: str, dictionary=None, options: dict | None = None,
                max_files_per_trigger: int | None = None, available_now: bool = True,
-               partition_by: list[str] | None = None) -> StreamingQuery:
+               partition_by: list[str] | None = None,
+               dedupe_within: str | None = None) -> StreamingQuery:
     """R1 end to end; with ``available_now`` it processes what is there and stops."""
     env = read_envelopes(spark, source_fmt, source, options, max_files_per_trigger)
-    q = start_ingest(enriched_stream(env, dictionary), table_path, checkpoint,
+    q = start_ingest(enriched_stream(env, dictionary, dedupe_within), table_path, checkpoint,
                      available_now=available_now, partition_by=partition_by)
     if available_now:
         q.awaitTermination()

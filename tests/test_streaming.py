@@ -65,3 +65,21 @@ def test_stream_alerts_exactly_once_across_restart(spark, scratch):
     assert got.count() == expect.count()
     assert got.groupBy(*key).count().where("count > 1").count() == 0
     assert got.select(*key).exceptAll(expect.select(*key)).count() == 0
+
+
+def test_optional_dedupe_within_watermark(spark, scratch):
+    raw = fixture_postings(spark, SF001).select(*POSTING_COLS)
+    msgs, table, ck = scratch("msgs"), scratch("table"), scratch("ck")
+    publish(raw.unionByName(raw).repartition(2), msgs)  # every posting sent twice
+    run_ingest(spark, "text", msgs, table, ck, TEST_SKILLS, dedupe_within="1 hour")
+    assert read_table(spark, table).count() == raw.count()
+
+
+def test_partitioned_sink_reads_back_in_table_order(spark, scratch):
+    raw = fixture_postings(spark, SF001).select(*POSTING_COLS)
+    msgs, table, ck = scratch("msgs"), scratch("table"), scratch("ck")
+    publish(raw.repartition(2), msgs)
+    run_ingest(spark, "text", msgs, table, ck, TEST_SKILLS, partition_by=["posted_date"])
+    back = read_table(spark, table)
+    assert back.columns == ENRICHED_COLS and back.count() == raw.count()
+    assert dict(back.dtypes)["posted_date"] == "date"

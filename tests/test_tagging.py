@@ -92,3 +92,23 @@ def test_differential_on_documents(spark):
         assert regex[d] == expect, d
         assert joined[d] == expect, d
     assert hits > 1000
+
+
+def test_join_tagger_with_hot_group_of_copies(spark):
+    """A third of the rows are copies of one text; every copy gets its tags."""
+    hot = "We need C++ and Apache Spark and Python"
+    rows = [(i, hot if i % 3 == 0 else f"doc {i} uses sql and node.js") for i in range(300)]
+    df = spark.createDataFrame(rows, "id INT, text STRING")
+    out = {r.id: r.t for r in tag_terms_join(df, "text", default_skills(), "t").collect()}
+    assert len(out) == 300
+    for i, text in rows:
+        assert out[i] == python_tags(text, default_skills())
+
+
+def test_symbol_aware_boundary():
+    from skillstream.functions.dictionary import term_pattern as tp
+    strict, aware = tp("C++"), tp("C++", boundary="symbol_aware")
+    assert re.search(strict.replace(r"\p{L}\p{N}_", r"\w"), "uses c++ daily") is None
+    assert re.search(aware.replace(r"\p{L}\p{N}_", r"\w"), "uses c++ daily")
+    assert re.search(aware.replace(r"\p{L}\p{N}_", r"\w"), "c++") and not re.search(
+        aware.replace(r"\p{L}\p{N}_", r"\w"), "xc++")
