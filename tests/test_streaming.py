@@ -83,3 +83,22 @@ def test_partitioned_sink_reads_back_in_table_order(spark, scratch):
     back = read_table(spark, table)
     assert back.columns == ENRICHED_COLS and back.count() == raw.count()
     assert dict(back.dtypes)["posted_date"] == "date"
+
+
+def test_running_skill_counts_survive_restart(spark, scratch):
+    from skillstream.operators.metrics import top_skills
+    from skillstream.streaming.aggregates import latest_counts, running_skill_counts
+    raw = fixture_postings(spark, SF001).select(*POSTING_COLS)
+    msgs, table, ck, out, rck = (scratch("msgs"), scratch("table"), scratch("ck"),
+                                 scratch("counts"), scratch("counts-ck"))
+    half = raw.where(F.length("job_id") % 2 == 0)
+    publish(half.repartition(2), msgs)
+    run_ingest(spark, "text", msgs, table, ck, TEST_SKILLS)
+    schema = read_table(spark, table).schema
+    running_skill_counts(read_posting_stream(spark, table, schema), out, rck)
+    publish(raw.subtract(half).repartition(2), msgs)
+    run_ingest(spark, "text", msgs, table, ck, TEST_SKILLS)
+    running_skill_counts(read_posting_stream(spark, table, schema), out, rck)  # restart, continue
+    got = {r.skill: r.job_count for r in latest_counts(spark, out).collect()}
+    expect = {r.skill: r.job_count for r in top_skills(read_table(spark, table), 1000).collect()}
+    assert got == expect
