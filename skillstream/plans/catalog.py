@@ -28,7 +28,7 @@ from ..streaming.alerts import read_posting_stream, stream_alerts
 from ..streaming.ingest import run_ingest
 from ..session import scratch_path
 from ..sources.fixtures import fixture_postings
-from ..sources.tables import read_table, write_table
+from ..sources.tables import compact_table, read_table, write_table
 from . import params as P
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -167,6 +167,13 @@ def q_stream_alerts(spark, sf_dir):
     return spark.read.parquet(out).drop("batch_id", "processed_timestamp")
 
 
+def q_compact_postings(spark, sf_dir):
+    """Merge the small files left by the micro-batches of the ingest stream."""
+    dst = compact_table(spark, _ingested(spark, sf_dir), scratch_path(spark, "compacted"),
+                        target_file_bytes=64 << 20)
+    return read_table(spark, dst).drop(*STREAM_DROP)
+
+
 def q_stream_top_skills(spark, sf_dir):
     """Running skill counts kept by a complete-mode stream, then the top 10."""
     table = _ingested(spark, sf_dir)
@@ -246,6 +253,7 @@ QUERIES: dict[str, Query] = {
     "ingest_stream": q_ingest_stream,
     "stream_alerts": q_stream_alerts,
     "stream_top_skills": q_stream_top_skills,
+    "compact_postings": q_compact_postings,
     # the same generic operators on the event log
     "events_props": q_events_props,
     "events_timeline": q_events_timeline,

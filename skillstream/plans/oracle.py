@@ -234,6 +234,7 @@ FROM ({_top50()}) r""")
         "SELECT * EXCLUDE (processed_timestamp, kafka_timestamp) FROM enriched")
     q["stream_alerts"] = _with(f"SELECT * EXCLUDE (processed_timestamp) FROM ({_matches(since=False)})")
     q["stream_top_skills"] = q["top_skills"]
+    q["compact_postings"] = q["ingest_stream"]
     q["events_props"] = "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events"
     q["events_timeline"] = ("SELECT CAST(ts AS DATE) AS day, count(*) AS job_count FROM events "
                             "WHERE ts IS NOT NULL GROUP BY 1 ORDER BY 1")

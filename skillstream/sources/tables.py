@@ -44,3 +44,36 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "app
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
+
+
+def table_bytes(spark: SparkSession, path: str) -> int:
+    """Stored size of a table folder, from file-system metadata (no data read)."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(jpath).getLength())
+
+
+def compact_table(spark: SparkSession, src: str, dst: str, fmt: str = "parquet",
+                  target_file_bytes: int = 256 << 20, partition_col: str | None = None,
+                  partition_value=None) -> str:
+    """Rewrite a table (or one partition of it) into files of about
+    ``target_file_bytes`` in a new folder ``dst`` and return ``dst``.
+
+    A stream that appends every few seconds leaves many small files; this
+    job merges them. The file count comes from the stored size (metadata
+    only); rows are spread round-robin, which Spark makes deterministic on
+    retry by sorting before the shuffle. Readers switch to ``dst`` once the
+    write has committed; the source is left untouched.
+    """
+    src_path = src
+    df = spark.read.format(fmt).load(src_path)
+    if partition_col is not None:
+        part_dir = f"{src.rstrip('/')}/{partition_col}={partition_value}"
+        n_bytes = table_bytes(spark, part_dir)
+        df = df.where(F.col(partition_col) == F.lit(partition_value)).drop(partition_col)
+    else:
+        n_bytes = table_bytes(spark, src_path)
+    n_files = max(1, -(-n_bytes // target_file_bytes))
+    df.repartition(n_files).write.format(fmt).mode("overwrite").save(dst)
+    return dst

@@ -102,3 +102,22 @@ def test_running_skill_counts_survive_restart(spark, scratch):
     got = {r.skill: r.job_count for r in latest_counts(spark, out).collect()}
     expect = {r.skill: r.job_count for r in top_skills(read_table(spark, table), 1000).collect()}
     assert got == expect
+
+
+def test_compaction_keeps_rows_and_merges_files(spark, scratch):
+    from skillstream.sources.tables import compact_table
+    raw = fixture_postings(spark, SF001).select(*POSTING_COLS)
+    msgs, table, ck = scratch("msgs"), scratch("table"), scratch("ck")
+    publish(raw.repartition(4), msgs)
+    run_ingest(spark, "text", msgs, table, ck, TEST_SKILLS, max_files_per_trigger=1,
+               partition_by=["posted_date"])
+    src = read_table(spark, table)
+    day = src.where(F.col("posted_date").isNotNull()).select("posted_date").first().posted_date
+    dst = compact_table(spark, table, scratch("compacted"), partition_col="posted_date",
+                        partition_value=str(day))
+    back = spark.read.parquet(dst)
+    assert len(back.inputFiles()) == 1
+    want = src.where(F.col("posted_date") == F.lit(day)).drop("posted_date")
+    assert back.exceptAll(want.select(*back.columns)).count() == 0 and back.count() == want.count()
+    whole = compact_table(spark, table, scratch("compacted-all"))
+    assert spark.read.parquet(whole).count() == raw.count()
