@@ -143,5 +143,19 @@ def is_single_token(term: str) -> bool:
     return bool(term) and all(_is_word_char(c) for c in term)
 
 
+def word_runs(term: str) -> list[str]:
+    """Maximal runs of word characters in a term, in order ("ci/cd" -> ci, cd)."""
+    out, cur = [], []
+    for ch in term:
+        if _is_word_char(ch):
+            cur.append(ch)
+        elif cur:
+            out.append("".join(cur))
+            cur = []
+    if cur:
+        out.append("".join(cur))
+    return out
+
+
 def has_word_char(term: str) -> bool:
     return any(_is_word_char(c) for c in term)

@@ -11,8 +11,10 @@ combined in one expression:
   term array via a hash set, so the cost is one pass over the text however
   many single-token terms there are.
 * **multi-run terms** (containing spaces or symbols: "c++", "node.js",
-  "apache spark"): a cheap substring test (``contains``) first, and the
-  word-boundary regex only for texts that pass it.
+  "apache spark"): every word run of a match is itself a whole token, so
+  the same token-set intersection pre-screens them and the word-boundary
+  regex runs only for texts that contain all of the term's word runs.
+  (Terms with no word character at all use a substring test instead.)
 
 The result lists matched terms in dictionary order, each at most once, with
 the dictionary's spelling; NULL or empty text gives an empty array.
@@ -25,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .dictionary import WORD_CLASS, as_terms, is_single_token, term_pattern
+from .dictionary import WORD_CLASS, as_terms, is_single_token, term_pattern, word_runs
 
 TOKEN_PATTERN = WORD_CLASS + "+"
 
@@ -85,16 +87,33 @@ def with_tags(df: DataFrame, text_col: str, dictionary, out_col: str = "skills_e
         return df.withColumn(out_col, tag_terms(text_col, terms, boundary=boundary))
     if method != "hybrid":
         raise ValueError(f"unknown tagging method {method!r}")
-    single = [t for t in terms if is_single_token(t.lower())]
+    single = {t for t in terms if is_single_token(t.lower())}
+    runs = {t: word_runs(t.lower()) for t in terms if t not in single}
+    # Every word run of a matching term is a whole token of the text, so
+    # one token-set intersection answers single-token terms and pre-screens
+    # multi-run terms, whose regex then runs only for true candidates.
+    vocab = sorted({t.lower() for t in single} | {w for rs in runs.values() for w in rs})
     staged = df.withColumn(_LOWER, F.lower(F.col(text_col)))
-    if single:
-        lowers = sorted({t.lower() for t in single})
+    if vocab:
         staged = staged.withColumn(
-            _FOUND, F.array_intersect(F.array(*[F.lit(t) for t in lowers]),
+            _FOUND, F.array_intersect(F.array(*[F.lit(v) for v in vocab]),
                                       text_tokens(F.col(_LOWER))))
     lt, found = F.col(_LOWER), F.col(_FOUND)
-    single_set = set(single)
-    hits = [F.when(F.array_contains(found, F.lit(t.lower())), F.lit(t)) if t in single_set
-            else F.when(term_hit(lt, t, boundary), F.lit(t)) for t in terms]
+
+    def has(token):
+        return F.array_contains(found, F.lit(token))
+
+    hits = []
+    for t in terms:
+        if t in single:
+            cond = has(t.lower())
+        elif runs[t]:
+            cond = has(runs[t][0])
+            for w in runs[t][1:]:
+                cond = cond & has(w)
+            cond = cond & lt.rlike(term_pattern(t, boundary))
+        else:  # no word character at all: substring test, then regex
+            cond = term_hit(lt, t, boundary)
+        hits.append(F.when(cond, F.lit(t)))
     out = staged.withColumn(out_col, F.coalesce(F.array_compact(F.array(*hits)), _empty()))
     return out.drop(_LOWER, _FOUND)

@@ -16,9 +16,13 @@ from ..functions.scoring import classify_seniority, parse_posted_date, skill_cou
 from ..functions.tagging import with_tags
 from ..schema import ENRICHED_COLS
 
-# Above this many terms the join-based tagger is used: its cost is flat in
-# the dictionary size, the single-expression tagger's is linear.
-JOIN_TAGGER_MIN_TERMS = 150
+# Above this many terms the join-based tagger is used. Measured on 10,000
+# documents (24.7 MB of text, local[8]): hybrid vs join = 2.2 s vs 12.9 s at
+# 100 terms, 5.5 s vs 16.0 s at 1,000, 21.4 s vs 43.0 s at 5,000. The
+# hybrid tagger answers all single-token terms with one token-set
+# intersection, so it stays ahead; the join tagger is for dictionaries too
+# large to hold as one expression in the plan.
+JOIN_TAGGER_MIN_TERMS = 50_000
 
 
 def with_skills(df: DataFrame, dictionary=None, text_col: str = "description",
