@@ -226,9 +226,9 @@ FROM ({_top50()}) r""")
                 "description, posted_date, link, salary_range")
     q["decode_json"] = f"WITH raw AS ({RAW_POSTINGS}) SELECT {raw_cols}, kafka_timestamp FROM raw"
     q["encode_json"] = (f"WITH raw AS ({RAW_POSTINGS}) SELECT job_id AS key, to_json(struct_pack("
-                        + ", ".join(f"{c} := {c}" for c in raw_cols.split(", ")) + ")) AS value FROM raw")
+                        + ", ".join(f"{c} := {c}" for c in raw_cols.split(", ")) + "))::VARCHAR AS value FROM raw")
     q["publish_stats"] = ("SELECT count(*) AS total, count(*) AS sent, count(*) - count(*) AS failed, "
-                          "CASE WHEN count(*) > 0 THEN 100.0 ELSE 0.0 END AS success_pct FROM documents")
+                          "CAST(CASE WHEN count(*) > 0 THEN 100.0 ELSE 0.0 END AS DOUBLE) AS success_pct FROM documents")
     q["postings_json"] = f"WITH raw AS ({RAW_POSTINGS}) SELECT {raw_cols} FROM raw"
     q["ingest_stream"] = _with(
         "SELECT * EXCLUDE (processed_timestamp, kafka_timestamp) FROM enriched")

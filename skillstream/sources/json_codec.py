@@ -20,7 +20,8 @@ def decode_postings(envelopes: DataFrame, value_col: str = "value",
     value) becomes an all-NULL row that is kept (see ``split_quarantine``).
     The envelope time is carried as ``kafka_timestamp``.
     """
-    ts = (F.col(ts_col) if ts_col else F.lit(None)).cast("timestamp").alias("kafka_timestamp")
+    # the envelope time keeps its type (Kafka/file sources give TIMESTAMP)
+    ts = (F.col(ts_col) if ts_col else F.lit(None).cast("timestamp")).alias("kafka_timestamp")
     return (envelopes.select(F.from_json(F.col(value_col).cast("string"), POSTING_SCHEMA).alias("data"),
                              ts)
                      .select("data.*", "kafka_timestamp"))
