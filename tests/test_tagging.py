@@ -112,3 +112,34 @@ def test_symbol_aware_boundary():
     assert re.search(aware.replace(r"\p{L}\p{N}_", r"\w"), "uses c++ daily")
     assert re.search(aware.replace(r"\p{L}\p{N}_", r"\w"), "c++") and not re.search(
         aware.replace(r"\p{L}\p{N}_", r"\w"), "xc++")
+
+
+def test_randomized_texts_match_python_regex(spark):
+    """Random texts over an alphabet rich in boundary cases (symbols next to
+    words, accented letters, digits, underscore, whitespace kinds) against
+    random terms built from the same pieces: every tagger equals a plain
+    Python ``\\b`` search."""
+    import random
+    rnd = random.Random(20240101)
+    pieces = ["c", "go", "r", "net", "js", "node", "ci", "cd", "é", "ü", "ß", "x1", "_", "+", "++",
+              ".", "/", "-", "#", "&", "'", " ", "  ", "\t", "\n", ",", "2", "ai"]
+    def gen(lo, hi):
+        return "".join(rnd.choice(pieces) for _ in range(rnd.randint(lo, hi)))
+    terms = []
+    while len(terms) < 60:
+        t = gen(1, 3).strip()
+        if t and t.lower() not in {x.lower() for x in terms} and "\n" not in t and "\t" not in t:
+            terms.append(t)
+    texts = [(i, gen(0, 40)) for i in range(3000)]
+    df = spark.createDataFrame(texts, "id INT, text STRING")
+    hybrid = {r.id: r.t for r in with_tags(df, "text", terms, "t").collect()}
+    regex = {r.id: r.t for r in with_tags(df, "text", terms, "t", method="regex").collect()}
+    joined = {r.id: r.t for r in tag_terms_join(df, "text", terms, "t", row_key="id").collect()}
+    hits = 0
+    for i, text in texts:
+        expect = python_tags(text, terms)
+        hits += len(expect)
+        assert hybrid[i] == expect, (text, hybrid[i], expect)
+        assert regex[i] == expect, (text, regex[i], expect)
+        assert joined[i] == expect, (text, joined[i], expect)
+    assert hits > 500
