@@ -18,9 +18,9 @@ from pyspark.sql import types as T
 
 from ..schema import ALERT_CONFIG_SCHEMA, ALERT_HIT_COLS, ALERT_SCHEMA
 
-# Largest alert table sent whole to every task. Above it, keyword alerts
-# use an equi-join on the keyword and the remaining alerts are matched in
-# broadcast chunks of this size.
+# Largest (exploded) alert table sent whole to every task; above it the
+# alert side of an equi-join is shuffled, and criterion-less alerts are
+# matched in broadcast chunks of this size.
 ALERT_BROADCAST_LIMIT = 10_000
 DIGEST_CAP = 50
 CARD_SKILLS = 10
@@ -127,76 +127,134 @@ def alert_filter(df: DataFrame, alert: dict, since=None) -> DataFrame:
 
 # ------------------------------------------------------- set-based matching
 
-def _criteria(p: str = "p", a: str = "a", with_keywords: bool = True) -> Column:
-    """Join predicate of posting ``p`` against alert ``a`` (all of P2-P5)."""
+def _size0(col: Column) -> Column:
+    return F.size(F.coalesce(col, _empty())) == 0
+
+
+def _criteria(p: str = "p", a: str = "a", skip: tuple = ()) -> Column:
+    """Join predicate of posting ``p`` against alert ``a`` (P2-P5); criteria
+    named in ``skip`` are already guaranteed by an equi-join key."""
     def col(side, name):
         return F.col(f"{side}.{name}")
 
     def member(lst, value):
-        return (F.size(F.coalesce(col(a, lst), _empty())) == 0) | F.array_contains(col(a, lst), value)
-
-    cond = (member("locations", col(p, "location"))
-            & member("seniority_levels", col(p, "seniority"))
-            & (F.coalesce(col(a, "min_skills_count"), F.lit(0)).eqNullSafe(0)
-               | (col(p, "skills_count") >= col(a, "min_skills_count"))))
-    if with_keywords:
-        cond = cond & ((F.size(F.coalesce(col(a, "keywords"), _empty())) == 0)
+        return _size0(col(a, lst)) | F.array_contains(col(a, lst), value)
+
+    cond = (F.coalesce(col(a, "min_skills_count"), F.lit(0)).eqNullSafe(0)
+            | (col(p, "skills_count") >= col(a, "min_skills_count")))
+    if "locations" not in skip:
+        cond = cond & member("locations", col(p, "location"))
+    if "seniority_levels" not in skip:
+        cond = cond & member("seniority_levels", col(p, "seniority"))
+    if "keywords" not in skip:
+        cond = cond & (_size0(col(a, "keywords"))
                        | F.arrays_overlap(col(p, "skills_extracted"), col(a, "keywords")))
     return cond
 
 
-def _alert_cols(a: str = "a") -> list[Column]:
-    return [F.col(f"{a}.alert_id"), F.col(f"{a}.name").alias("alert_name")]
+def _out(p: str = "p", a: str = "a") -> list[Column]:
+    return [F.col(f"{a}.alert_id"), F.col(f"{a}.name").alias("alert_name"),
+            *[F.col(f"{p}.{c}") for c in ALERT_HIT_COLS]]
+
 
+def _maybe_broadcast(df: DataFrame, n_rows: int, limit: int) -> DataFrame:
+    return F.broadcast(df) if n_rows <= limit else df
 
-def _theta_match(postings: DataFrame, alerts: DataFrame) -> DataFrame:
-    p, a = postings.alias("p"), F.broadcast(alerts.alias("a"))
-    return p.join(a, _criteria(), "inner").select(
-        *_alert_cols(), *[F.col(f"p.{c}") for c in ALERT_HIT_COLS])
 
+def _theta_match(postings: DataFrame, alerts: DataFrame, n_alerts: int, limit: int) -> DataFrame:
+    """Alerts without any list criterion: every posting is a candidate (the
+    output itself is postings x alerts), so a broadcast nested-loop join in
+    chunks of ``limit`` alerts is the plan."""
+    out = None
+    n_chunks = max(1, -(-n_alerts // limit))
+    for i in range(n_chunks):
+        chunk = alerts if n_chunks == 1 else alerts.where(
+            F.pmod(F.col("alert_id"), F.lit(n_chunks)) == i)
+        part = postings.alias("p").join(F.broadcast(chunk).alias("a"), _criteria(), "inner") \
+                                  .select(*_out())
+        out = part if out is None else out.unionByName(part)
+    return out
 
-def _keyword_match(postings: DataFrame, alerts: DataFrame) -> DataFrame:
-    """Equi-join on (skill == keyword) for alerts that have keywords.
 
-    A posting that shares several keywords with an alert must be reported
-    once, without a de-duplication shuffle: only the join row whose keyword
-    is the smallest shared one survives the residual predicate.
+def _list_match(postings: DataFrame, alerts: DataFrame, n_rows: int, limit: int,
+                alert_list: str, posting_key: Column, posting_is_list: bool) -> DataFrame:
+    """Equi-join on one list criterion of the alerts (exploded, distinct).
+
+    ``posting_is_list``: the posting side is an array too (skills); then a
+    posting sharing several values with an alert joins several times, and
+    only the row whose value is the smallest shared one is kept — each
+    (alert, posting) pair is emitted once with no de-duplication shuffle.
     """
-    pk = postings.select("*", F.explode("skills_extracted").alias("kw")).alias("p")
-    ak = (alerts.where(F.size(F.coalesce("keywords", _empty())) > 0)
-                .select("*", F.explode(F.array_distinct("keywords")).alias("kw")).alias("a"))
-    first_shared = F.array_min(F.array_intersect(F.col("p.skills_extracted"), F.col("a.keywords")))
-    cond = ((F.col("p.kw") == F.col("a.kw")) & _criteria(with_keywords=False)
-            & (F.col("a.kw") == first_shared))
-    return pk.join(ak, cond, "inner").select(
-        *_alert_cols(), *[F.col(f"p.{c}") for c in ALERT_HIT_COLS])
+    pk = postings.select("*", (F.explode(posting_key) if posting_is_list else posting_key)
+                         .alias("jk")).alias("p")
+    ak = alerts.select("*", F.explode(F.array_distinct(alert_list)).alias("jk")).alias("a")
+    ak = _maybe_broadcast(ak, n_rows, limit)
+    cond = (F.col("p.jk") == F.col("a.jk")) & _criteria(skip=(alert_list,))
+    if posting_is_list:
+        first_shared = F.array_min(F.array_intersect(F.col("p.skills_extracted"),
+                                                     F.col(f"a.{alert_list}")))
+        cond = cond & (F.col("a.jk") == first_shared)
+    return pk.join(ak, cond, "inner").select(*_out())
+
+
+def _route() -> Column:
+    return (F.when(~_size0(F.col("keywords")), F.lit("keywords"))
+             .when(~_size0(F.col("locations")), F.lit("locations"))
+             .when(~_size0(F.col("seniority_levels")), F.lit("seniority_levels"))
+             .otherwise(F.lit("none")))
 
 
 def match_alerts(postings: DataFrame, alerts: DataFrame, since=None,
-                 broadcast_limit: int = ALERT_BROADCAST_LIMIT) -> DataFrame:
+                 broadcast_limit: int = ALERT_BROADCAST_LIMIT, method: str = "route") -> DataFrame:
     """Every (enabled alert, posting) pair that satisfies the alert.
 
-    Output: ``alert_id, alert_name`` + the hit columns. Uncapped. Small
-    alert tables (checked by count) are broadcast and matched with one
-    nested-loop pass over the postings. Larger ones: alerts with keywords
-    are matched by an equi-join on the keyword (exploded on both sides;
-    AQE splits a hot skill), the rest in broadcast chunks of
-    ``broadcast_limit`` alerts each.
+    Output: ``alert_id, alert_name`` + the hit columns; uncapped. Each alert
+    is routed to an equi-join on its most selective list criterion —
+    keywords (posting skills exploded), else locations, else seniority
+    levels — with the remaining criteria as a residual predicate, so the
+    work is proportional to candidate pairs, not postings x alerts. Only
+    alerts without any list criterion (which match every posting that passes
+    the skill minimum) use a broadcast nested-loop join. Alert sides are
+    broadcast when their size, counted first, is within ``broadcast_limit``;
+    otherwise the join shuffles and AQE splits a hot key (a skill in a third
+    of all postings).
     """
     if since is not None:
         postings = since_filter(postings, since)
     postings = postings.select(*ALERT_HIT_COLS)
-    alerts = enabled_alerts(alerts)
-    n_alerts = alerts.count()
-    if n_alerts <= broadcast_limit:
-        return _theta_match(postings, alerts)
-    out = _keyword_match(postings, alerts)
-    rest = alerts.where(F.size(F.coalesce("keywords", _empty())) == 0)
-    n_rest = rest.count()
-    n_chunks = (n_rest + broadcast_limit - 1) // broadcast_limit
-    for i in range(n_chunks):
-        chunk = rest.where(F.pmod(F.col("alert_id"), F.lit(n_chunks)) == i)
-        out = out.unionByName(_theta_match(postings, chunk))
+    enabled = enabled_alerts(alerts)
+    if method == "theta":  # reference form: every alert tested against every posting
+        return _theta_match(postings, enabled, enabled.count(), broadcast_limit)
+    route = _route()
+    routed = enabled.withColumn("route", route).withColumn(
+        "route_rows", F.greatest(F.lit(1), F.size(F.array_distinct(
+            F.when(route == "keywords", F.col("keywords"))
+             .when(route == "locations", F.col("locations"))
+             .when(route == "seniority_levels", F.col("seniority_levels"))))))
+    # one row per route: number of alerts and of exploded alert rows
+    sizes = {r["route"]: (r["n"], r["rows"]) for r in routed.groupBy("route").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("route_rows").alias("rows")).collect()}
+    parts = []
+    for name, (n, rows) in sizes.items():
+        group = routed.where(F.col("route") == name).drop("route", "route_rows")
+        if name == "keywords":
+            parts.append(_list_match(postings, group, rows, broadcast_limit, "keywords",
+                                     F.col("skills_extracted"), True))
+        elif name == "locations":
+            parts.append(_list_match(postings, group, rows, broadcast_limit, "locations",
+                                     F.col("location"), False))
+        elif name == "seniority_levels":
+            parts.append(_list_match(postings, group, rows, broadcast_limit, "seniority_levels",
+                                     F.col("seniority"), False))
+        else:
+            parts.append(_theta_match(postings, group, n, broadcast_limit))
+    if not parts:
+        return postings.limit(0).select(F.lit(None).cast("int").alias("alert_id"),
+                                        F.lit(None).cast("string").alias("alert_name"),
+                                        *ALERT_HIT_COLS)
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
     return out
 
 

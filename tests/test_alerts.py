@@ -31,14 +31,29 @@ def test_set_based_equals_loop_over_alerts(spark):
     assert sum(1 for r in joined if r.alert_name == "a") == 53
 
 
-def test_keyword_equijoin_path_equals_broadcast_path(spark):
+def test_routed_equijoins_equal_theta_join(spark):
     t = posting_table(spark, SF01)
     alerts = AL.alerts_frame(spark, P.TEST_ALERTS + [
         {"name": "e", "email": "e", "keywords": ["The", "Of", "And"], "locations": None,
-         "seniority_levels": None, "min_skills_count": None, "enabled": True}])
-    small = AL.match_alerts(t, alerts, since=P.SINCE).collect()
-    big = AL.match_alerts(t, alerts, since=P.SINCE, broadcast_limit=1).collect()
-    assert _key(small) == _key(big)  # each (alert, posting) exactly once on both paths
+         "seniority_levels": None, "min_skills_count": None, "enabled": True},
+        {"name": "f", "email": "f", "keywords": [], "locations": ["LOC_1", "LOC_1", "LOC_4"],
+         "seniority_levels": ["Junior"], "min_skills_count": 2, "enabled": True},
+        {"name": "g", "email": "g", "keywords": None, "locations": [],
+         "seniority_levels": ["Senior", "Mid"], "min_skills_count": None, "enabled": True},
+        {"name": "h", "email": "h", "keywords": None, "locations": None,
+         "seniority_levels": None, "min_skills_count": 12, "enabled": True}])
+    theta = AL.match_alerts(t, alerts, since=P.SINCE, method="theta").collect()
+    for limit in (10_000, 1):  # broadcast alert sides, then shuffled joins / chunks
+        routed = AL.match_alerts(t, alerts, since=P.SINCE, broadcast_limit=limit).collect()
+        assert _key(routed) == _key(theta)  # each (alert, posting) exactly once
+    assert {r.alert_name for r in theta} >= {"a", "b", "e", "f", "g", "h"}
+
+
+def test_no_enabled_alerts_gives_empty_result(spark):
+    t = posting_table(spark, SF01)
+    off = AL.alerts_frame(spark, [{"name": "x", "email": "x", "keywords": ["The"], "enabled": False}])
+    m = AL.match_alerts(t, off)
+    assert m.count() == 0 and m.columns[:2] == ["alert_id", "alert_name"]
 
 
 def test_top50_and_digest(spark):
