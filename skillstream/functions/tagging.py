@@ -36,9 +36,14 @@ def lowered(text: Column | str) -> Column:
     return F.lower(F.col(text) if isinstance(text, str) else text)
 
 
+def token_runs(lower_text: Column) -> Column:
+    """All maximal word-character runs of a (lower-cased) text, in order."""
+    return F.regexp_extract_all(lower_text, F.lit(TOKEN_PATTERN), 0)
+
+
 def text_tokens(lower_text: Column) -> Column:
     """Distinct maximal word-character runs of a (lower-cased) text."""
-    return F.array_distinct(F.regexp_extract_all(lower_text, F.lit(TOKEN_PATTERN), 0))
+    return F.array_distinct(token_runs(lower_text))
 
 
 def term_hit(lower_text: Column, term: str, boundary: str = "strict") -> Column:
@@ -95,9 +100,11 @@ def with_tags(df: DataFrame, text_col: str, dictionary, out_col: str = "skills_e
     vocab = sorted({t.lower() for t in single} | {w for rs in runs.values() for w in rs})
     staged = df.withColumn(_LOWER, F.lower(F.col(text_col)))
     if vocab:
+        # array_intersect hashes its second argument and de-duplicates the
+        # result itself, so the token list needs no separate distinct pass.
         staged = staged.withColumn(
             _FOUND, F.array_intersect(F.array(*[F.lit(v) for v in vocab]),
-                                      text_tokens(F.col(_LOWER))))
+                                      token_runs(F.col(_LOWER))))
     lt, found = F.col(_LOWER), F.col(_FOUND)
 
     def has(token):
