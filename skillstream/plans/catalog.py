@@ -20,15 +20,15 @@ from ..operators import alerts as AL
 from ..operators import metrics as M
 from ..operators.enrich import enrich
 from ..operators.tag_join import tag_terms_join
-from ..schema import ALERT_HIT_COLS, POSTING_COLS
+from ..schema import ALERT_HIT_COLS
+from ..session import scratch_path
+from ..sources.fixtures import fixture_postings
 from ..sources.json_codec import (decode_postings, encode_postings, publish, publish_stats,
                                   read_postings_json)
+from ..sources.tables import compact_table, read_table, write_table
 from ..streaming.aggregates import latest_counts, running_skill_counts
 from ..streaming.alerts import read_posting_stream, stream_alerts
 from ..streaming.ingest import run_ingest
-from ..session import scratch_path
-from ..sources.fixtures import fixture_postings
-from ..sources.tables import compact_table, read_table, write_table
 from . import params as P
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,10 +109,8 @@ def q_alert_digest_cards(spark, sf_dir):
 
 def q_decode_json(spark, sf_dir):
     """Encode each posting as a JSON message and decode it again (batch)."""
-    raw = fixture_postings(spark, sf_dir)
-    env = raw.select(F.to_json(F.struct(*POSTING_COLS), {"ignoreNullFields": "false"}).alias("value"),
-                     F.col("kafka_timestamp").alias("timestamp"))
-    return decode_postings(env)
+    env = encode_postings(fixture_postings(spark, sf_dir), carry=["kafka_timestamp"])
+    return decode_postings(env.withColumnRenamed("kafka_timestamp", "timestamp"))
 
 
 def q_encode_json(spark, sf_dir):

@@ -38,13 +38,14 @@ def split_quarantine(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     return decoded.where(~is_malformed()), decoded.where(is_malformed())
 
 
-def encode_postings(df: DataFrame, key_col: str | None = "job_id") -> DataFrame:
+def encode_postings(df: DataFrame, key_col: str | None = "job_id",
+                    carry: list[str] | None = None) -> DataFrame:
     """Raw postings -> envelopes ``key, value`` (one JSON object per row; NULL
-    fields are written as ``null``)."""
+    fields are written as ``null``), plus any ``carry`` columns unchanged."""
     value = F.to_json(F.struct(*[F.col(c) for c in POSTING_COLS]),
                       {"ignoreNullFields": "false"}).alias("value")
     key = (F.col(key_col) if key_col else F.lit(None)).cast("string").alias("key")
-    return df.select(key, value)
+    return df.select(key, value, *(carry or []))
 
 
 def read_postings_json(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
