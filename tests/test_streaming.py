@@ -121,3 +121,17 @@ def test_compaction_keeps_rows_and_merges_files(spark, scratch):
     assert back.exceptAll(want.select(*back.columns)).count() == 0 and back.count() == want.count()
     whole = compact_table(spark, table, scratch("compacted-all"))
     assert spark.read.parquet(whole).count() == raw.count()
+
+
+def test_envelope_file_formats(spark, scratch):
+    from skillstream.streaming.ingest import enriched_stream, read_envelopes, start_ingest
+    raw = fixture_postings(spark, SF001).select(*POSTING_COLS)
+    for fmt in ("parquet", "json"):
+        src, table, ck = scratch(f"env-{fmt}"), scratch("table"), scratch("ck")
+        publish(raw.repartition(2), src, fmt=fmt)  # envelope columns: key, value
+        env = read_envelopes(spark, fmt, src)
+        q = start_ingest(enriched_stream(env, TEST_SKILLS), table, ck, available_now=True)
+        q.awaitTermination()
+        got = read_table(spark, table).select(*CMP)
+        want = enrich(raw, TEST_SKILLS).select(*CMP)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
