@@ -59,3 +59,26 @@ def enrich(df: DataFrame, dictionary=None, now: Column | None = None,
     if "kafka_timestamp" not in out.columns:
         out = out.withColumn("kafka_timestamp", F.lit(None).cast("timestamp"))
     return out.select(*ENRICHED_COLS)
+
+
+def backfill_experience_level(df: DataFrame, default: str | None = "Mid-Level",
+                              seed: str | None = None, out_col: str = "experience_level",
+                              inferred_col: str | None = None) -> DataFrame:
+    """Fill a missing ``experience_level`` from the job title.
+
+    Postings that state a level keep it; otherwise the title rule decides
+    (intern -> Internship, senior/lead/principal -> Senior, junior or
+    "... engineer i" -> Entry-Level); when the title says nothing either,
+    ``default`` is used, or, with ``default=None`` and a ``seed`` column, a
+    stable hash of the seed picks Entry-Level or Mid-Level.
+    """
+    from ..functions.scoring import infer_experience_level
+    inferred = infer_experience_level("title", seed=seed)
+    out = df
+    if inferred_col:
+        out = out.withColumn(inferred_col, inferred)
+        inferred = F.col(inferred_col)
+    fill = F.coalesce(F.col("experience_level"), inferred)
+    if default is not None:
+        fill = F.coalesce(fill, F.lit(default))
+    return out.withColumn(out_col, fill)

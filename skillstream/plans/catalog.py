@@ -14,11 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dictionary import TEST_SKILLS
-from ..functions.scoring import infer_experience_level, parse_posted_date
+from ..functions.scoring import parse_posted_date
 from ..functions.tagging import with_tags
 from ..operators import alerts as AL
 from ..operators import metrics as M
-from ..operators.enrich import enrich
+from ..operators.enrich import backfill_experience_level, enrich
 from ..operators.tag_join import tag_terms_join
 from ..schema import ALERT_HIT_COLS
 from ..session import scratch_path
@@ -93,10 +93,9 @@ def q_posted_date(spark, sf_dir):
 
 
 def q_infer_level(spark, sf_dir):
-    raw = fixture_postings(spark, sf_dir)
-    inferred = infer_experience_level("title")
-    return raw.select("job_id", "title", "experience_level", inferred.alias("inferred_level"),
-                      F.coalesce("experience_level", inferred, F.lit("Mid-Level")).alias("filled_level"))
+    raw = fixture_postings(spark, sf_dir).select("job_id", "title", "experience_level")
+    return backfill_experience_level(raw, default="Mid-Level", out_col="filled_level",
+                                     inferred_col="inferred_level")
 
 
 def q_alert_digest(spark, sf_dir):
