@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.alerts import match_alerts
+from ..operators.alerts import alert_digest, match_alerts
 
 
 def read_posting_stream(spark: SparkSession, table_path: str, schema,
@@ -30,11 +30,23 @@ def read_posting_stream(spark: SparkSession, table_path: str, schema,
 
 def stream_alerts(postings: DataFrame, load_alerts: Callable[[SparkSession], DataFrame],
                   out_path: str, checkpoint: str, available_now: bool = True,
-                  processing_time: str = "15 minutes") -> StreamingQuery:
+                  processing_time: str = "15 minutes", digest_path: str | None = None,
+                  subject_prefix: str = "Job Alert") -> StreamingQuery:
+    """Start the incremental alert stream.
+
+    ``digest_path``: also write, per micro-batch, one digest row per alert
+    with hits (subject, counts, first 50 cards) to
+    ``<digest_path>/batch_id=<id>`` — the content of one notification cycle.
+    """
     def deliver(batch: DataFrame, batch_id: int) -> None:
         alerts = load_alerts(batch.sparkSession)
-        (match_alerts(batch, alerts).write.mode("overwrite")
-            .parquet(f"{out_path}/batch_id={batch_id}"))
+        target = f"{out_path}/batch_id={batch_id}"
+        match_alerts(batch, alerts).write.mode("overwrite").parquet(target)
+        if digest_path:
+            stored = batch.sparkSession.read.parquet(target)
+            emails = alerts.select("alert_id", "email")
+            (alert_digest(stored, prefix=subject_prefix, emails=emails).write.mode("overwrite")
+                .parquet(f"{digest_path}/batch_id={batch_id}"))
 
     w = postings.writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
