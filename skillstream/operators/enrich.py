@@ -28,6 +28,9 @@ JOIN_TAGGER_MIN_TERMS = 50_000
 def with_skills(df: DataFrame, dictionary=None, text_col: str = "description",
                 out_col: str = "skills_extracted", method: str = "auto",
                 row_key: str | None = None, boundary: str = "strict") -> DataFrame:
+    if isinstance(dictionary, DataFrame):  # a dictionary table: join tagger
+        from .tag_join import tag_terms_join
+        return tag_terms_join(df, text_col, dictionary, out_col=out_col, row_key=row_key)
     terms = as_terms(default_skills() if dictionary is None else dictionary)
     if method == "auto":
         method = "hybrid" if len(terms) <= JOIN_TAGGER_MIN_TERMS else "join"

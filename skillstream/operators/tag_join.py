@@ -31,7 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.dictionary import WORD_CLASS, as_terms, has_word_char, is_single_token, term_pattern
+from ..functions.dictionary import (NON_WORD_CLASS as NON_WORD, WORD_CLASS, as_terms,
+                                    has_word_char, is_single_token, term_pattern)
 from ..functions.tagging import term_hit, text_tokens
 
 import re as _re
@@ -65,19 +66,58 @@ def content_key(text: Column, row_key: Column | None = None) -> Column:
                     F.coalesce(F.length(text), F.lit(-1)).alias("n"))
 
 
+def pattern_column(term: Column) -> Column:
+    """``dictionary.term_pattern`` computed by Spark for a column of terms
+    (used when the dictionary is itself a table)."""
+    t = F.lower(term)
+    # wrap every character that is not a letter, digit or space in [ ],
+    # escaping the four that are special inside a class
+    lit = F.regexp_replace(t, r"([^\p{L}\p{N} ])", "[$1]")
+    lit = F.regexp_replace(lit, r"\[([\^\\\[\]])\]", "[\\\\$1]")
+    word = r"^[\p{L}\p{N}_]"
+    head = F.when(t.rlike(word), F.lit("(?:^|" + NON_WORD + ")")).otherwise(F.lit(WORD_CLASS))
+    tail = F.when(t.rlike(r"[\p{L}\p{N}_]$"), F.lit("(?:" + NON_WORD + "|$)")).otherwise(
+        F.lit(WORD_CLASS))
+    return F.concat(head, lit, tail)
+
+
+def dictionary_table(dictionary: DataFrame, term_col: str = "skill",
+                     ordinal_col: str | None = "ordinal") -> DataFrame:
+    """A dictionary table -> (ordinal, term, first_run, single, pattern, has_word)."""
+    t = F.col(term_col)
+    lt = F.lower(t)
+    ordinal = F.col(ordinal_col) if ordinal_col else F.monotonically_increasing_id()
+    return dictionary.select(
+        ordinal.cast("int").alias("ordinal"), t.alias("term"),
+        F.regexp_extract(lt, WORD_CLASS + "+", 0).alias("first_run"),
+        lt.rlike("^" + WORD_CLASS + "+$").alias("single"),
+        pattern_column(t).alias("pattern"),
+        lt.rlike(WORD_CLASS).alias("has_word"))
+
+
 def tag_terms_join(df: DataFrame, text_col: str, dictionary, out_col: str = "skills_extracted",
                    row_key: str | None = None) -> DataFrame:
+    """``dictionary``: a list of terms / (term, category) pairs, or a table
+    with ``skill`` and ``ordinal`` columns (output order = ordinal)."""
     spark = df.sparkSession
-    terms = as_terms(dictionary)
-    rows, loose = [], []
-    for i, t in enumerate(terms):
-        tl = t.lower()
-        if has_word_char(tl):
-            rows.append((i, t, _first_word_run(tl), is_single_token(tl), term_pattern(t)))
-        else:
-            loose.append((i, t))
-    dict_df = spark.createDataFrame(rows, _DICT_SCHEMA)
-    if len(rows) <= BROADCAST_TERMS:
+    if isinstance(dictionary, DataFrame):
+        table = dictionary_table(dictionary)
+        dict_df = table.where("has_word").drop("has_word")
+        # terms without any word character are few by nature (symbols only)
+        loose = [(r.ordinal, r.term) for r in table.where(~F.col("has_word")).collect()]
+        n_terms = dictionary.count()
+    else:
+        terms = as_terms(dictionary)
+        rows, loose = [], []
+        for i, t in enumerate(terms):
+            tl = t.lower()
+            if has_word_char(tl):
+                rows.append((i, t, _first_word_run(tl), is_single_token(tl), term_pattern(t)))
+            else:
+                loose.append((i, t))
+        dict_df = spark.createDataFrame(rows, _DICT_SCHEMA)
+        n_terms = len(rows)
+    if n_terms <= BROADCAST_TERMS:
         dict_df = F.broadcast(dict_df)
 
     key = content_key(F.col(text_col), F.col(row_key) if row_key else None)

@@ -143,3 +143,32 @@ def test_randomized_texts_match_python_regex(spark):
         assert regex[i] == expect, (text, regex[i], expect)
         assert joined[i] == expect, (text, joined[i], expect)
     assert hits > 500
+
+
+def test_dictionary_as_table(spark):
+    """The join tagger takes the dictionary as a table; patterns derived in
+    Spark equal the Python pattern builder, and results equal the list form."""
+    from skillstream.functions.dictionary import dictionary_frame
+    from skillstream.operators.tag_join import dictionary_table
+    extra = ["a^b", "x\\\\y", "[tag]", "c#", "_u_", "++", "é-ü"]
+    terms = default_skills() + extra
+    table = dictionary_frame(spark, terms)
+    derived = {r.term: r.pattern for r in dictionary_table(table).collect()}
+    for t in terms:
+        assert derived[t] == term_pattern(t), t
+    docs = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(GOLDEN)] +
+                                 [(100, "a^b x\\\\y [tag] c#1 _u_ a++b é-ü")], "id INT, text STRING")
+    a = {r.id: r.t for r in tag_terms_join(docs, "text", table, "t", row_key="id").collect()}
+    b = {r.id: r.t for r in tag_terms_join(docs, "text", terms, "t", row_key="id").collect()}
+    assert a == b and a[100] == python_tags("a^b x\\\\y [tag] c#1 _u_ a++b é-ü", terms)
+
+
+def test_enrich_with_dictionary_table(spark):
+    from skillstream.functions.dictionary import dictionary_frame
+    from skillstream.operators.enrich import enrich
+    from skillstream.sources.fixtures import fixture_postings
+    from conftest import SF001
+    raw = fixture_postings(spark, SF001)
+    a = enrich(raw, dictionary_frame(spark, TEST_SKILLS), now=F.col("processed_timestamp"))
+    b = enrich(raw, TEST_SKILLS, now=F.col("processed_timestamp"))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
