@@ -32,11 +32,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dictionary import (NON_WORD_CLASS as NON_WORD, WORD_CLASS, as_terms,
-                                    has_word_char, is_single_token, term_pattern)
+                                    has_word_char, is_single_token, term_pattern, word_runs)
 from ..functions.tagging import term_hit, text_tokens
 
-import re as _re
-
 BROADCAST_TERMS = 1_000_000
 
 _RK, _LT, _TOK = "__tag_rk", "__tag_lower", "__tag_tok"
@@ -47,13 +45,9 @@ _DICT_SCHEMA = T.StructType([
     T.StructField("single", T.BooleanType(), False),
     T.StructField("pattern", T.StringType(), False),
 ])
-_WORD_RUN = _re.compile(r"[^\W]+", _re.UNICODE)
-
-
 def _first_word_run(term_lower: str) -> str:
-    for m in _WORD_RUN.finditer(term_lower):
-        return m.group(0)
-    return ""
+    runs = word_runs(term_lower)
+    return runs[0] if runs else ""
 
 
 def content_key(text: Column, row_key: Column | None = None) -> Column:
