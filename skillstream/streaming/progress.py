@@ -21,6 +21,7 @@ def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     rows = []
     for p in query.recentProgress:
         rate = p.get("inputRowsPerSecond")
+        rate = float(rate) if rate is not None else 0.0
         rows.append((p.get("timestamp"), int(p.get("batchId", 0)), int(p.get("numInputRows", 0)),
-                     float(rate) if rate is not None else 0.0))
+                     rate if rate == rate else 0.0))  # NaN (no elapsed time) -> 0
     return spark.createDataFrame(rows, PROGRESS_SCHEMA)
