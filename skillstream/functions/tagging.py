@@ -56,6 +56,14 @@ def _empty() -> Column:
     return F.array().cast("array<string>")
 
 
+def _drop_nulls(arr: Column) -> Column:
+    """Remove the NULL slots of a hit array. ``array_except`` keeps the order
+    of its first argument and (unlike ``array_compact``, a lambda filter)
+    is compiled by whole-stage codegen; hits are distinct terms, so its
+    set semantics change nothing."""
+    return F.array_except(arr, F.array(F.lit(None).cast("string")))
+
+
 def tag_terms(text: Column | str, dictionary, *, already_lower: bool = False,
               boundary: str = "strict") -> Column:
     """array<string> of dictionary terms found in ``text``, as ONE column
@@ -69,7 +77,7 @@ def tag_terms(text: Column | str, dictionary, *, already_lower: bool = False,
         return _empty()
     lt = (F.col(text) if isinstance(text, str) else text) if already_lower else lowered(text)
     hits = [F.when(term_hit(lt, term, boundary), F.lit(term)) for term in terms]
-    return F.coalesce(F.array_compact(F.array(*hits)), _empty())
+    return F.coalesce(_drop_nulls(F.array(*hits)), _empty())
 
 
 _LOWER = "__tag_lower"
@@ -122,5 +130,5 @@ def with_tags(df: DataFrame, text_col: str, dictionary, out_col: str = "skills_e
         else:  # no word character at all: substring test, then regex
             cond = term_hit(lt, t, boundary)
         hits.append(F.when(cond, F.lit(t)))
-    out = staged.withColumn(out_col, F.coalesce(F.array_compact(F.array(*hits)), _empty()))
+    out = staged.withColumn(out_col, F.coalesce(_drop_nulls(F.array(*hits)), _empty()))
     return out.drop(_LOWER, _FOUND)

@@ -48,3 +48,12 @@ def test_alert_join_is_broadcast_and_cap_is_group_limit(spark):
 def test_cooccurrence_has_no_join(spark):
     p = physical(M.skill_cooccurrence(posting_table(spark, SF001)))
     assert "Join" not in p and "CartesianProduct" not in p
+
+
+def test_tagging_stays_in_whole_stage_codegen(spark):
+    from skillstream.functions.dictionary import default_skills
+    from skillstream.functions.tagging import with_tags
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    p = physical(with_tags(docs, "text", default_skills(), "t").select("doc_id", "t"))
+    tagging = [line for line in p.splitlines() if "array_except(array(CASE WHEN" in line]
+    assert tagging and all(line.lstrip(" +-:").startswith("*(") for line in tagging), p
