@@ -116,16 +116,14 @@ def skill_cooccurrence(df: DataFrame, k: int = 10, col: str = "skills_extracted"
     before one aggregation, so no join and no driver collect is needed.
     """
     members = top_skills(df, k, col).agg(F.sort_array(F.collect_list("skill"))).scalar()
-    # The member list is projected first: subqueries may not sit inside lambdas.
-    m = F.col("m")
-    pairs = F.flatten(F.transform(m, lambda x: F.transform(
-        F.filter(m, lambda y: y != x),
-        lambda y: F.struct(x.alias("skill_a"), y.alias("skill_b")))))
-    hits = (df.select(F.array_intersect(
-                F.coalesce(F.col(col), F.array().cast("array<string>")), members).alias("m"))
-              .where(F.size("m") > 1)
-              .select(F.explode(pairs).alias("p"))
-              .select("p.skill_a", "p.skill_b", F.lit(1).alias("n")))
+    # Ordered pairs of distinct members by exploding the (<= k) member list
+    # twice; no lambda, so the stage stays in whole-stage codegen.
+    m = F.array_intersect(F.coalesce(F.col(col), F.array().cast("array<string>")), members)
+    hits = (df.select(m.alias("m")).where(F.size("m") > 1)
+              .select(F.explode("m").alias("skill_a"), "m")
+              .select("skill_a", F.explode("m").alias("skill_b"))
+              .where(F.col("skill_a") != F.col("skill_b"))
+              .select("skill_a", "skill_b", F.lit(1).alias("n")))
     grid = (df.sparkSession.range(1)
             .select(F.explode(members).alias("skill_a"))
             .select("skill_a", F.explode(members).alias("skill_b"), F.lit(0).alias("n")))
