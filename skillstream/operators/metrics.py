@@ -65,36 +65,45 @@ def experience_distribution(df: DataFrame) -> DataFrame:
         F.asc_nulls_last("experience_level"))
 
 
-def distinct_count_scalar(df: DataFrame, col: str) -> Column:
+def distinct_count_scalar(df: DataFrame, col: str, approx: bool = False) -> Column:
     """Number of distinct non-NULL elements of an array column, as a scalar subquery.
 
     The subquery is planned once (explode -> partial distinct -> count)
     and its single value is inlined, so no join is needed to attach it.
+    ``approx``: HyperLogLog++ sketch instead (fixed memory, one pass).
     """
-    return skill_rows(df, col, "v").distinct().agg(F.count(F.lit(1))).scalar()
+    rows = skill_rows(df, col, "v")
+    if approx:
+        return rows.agg(F.approx_count_distinct("v")).scalar()
+    return rows.distinct().agg(F.count(F.lit(1))).scalar()
 
 
-def kpis(df: DataFrame) -> DataFrame:
+def _distinct(col: str, approx: bool) -> Column:
+    return F.approx_count_distinct(col) if approx else F.count_distinct(col)
+
+
+def kpis(df: DataFrame, approx: bool = False) -> DataFrame:
     """One-row KPI table (A1): total postings (all rows, also all-NULL ones),
     distinct companies, distinct extracted skills and the mean skill count
-    rounded half-even to one decimal; an empty table gives zeros."""
+    rounded half-even to one decimal; an empty table gives zeros.
+    Exact by default; ``approx=True`` uses HyperLogLog++ for the distincts."""
     return df.agg(
         F.count(F.lit(1)).alias("total_jobs"),
-        F.count_distinct("company").alias("total_companies"),
+        _distinct("company", approx).alias("total_companies"),
         F.coalesce(F.bround(F.avg("skills_count"), 1), F.lit(0.0)).alias("avg_skills"),
     ).select("total_jobs", "total_companies",
-             distinct_count_scalar(df, "skills_extracted").alias("unique_skills"),
+             distinct_count_scalar(df, "skills_extracted", approx).alias("unique_skills"),
              "avg_skills")
 
 
-def dataset_profile(df: DataFrame) -> DataFrame:
+def dataset_profile(df: DataFrame, approx: bool = False) -> DataFrame:
     """Distinct companies, locations and required skills of a posting set."""
     return df.agg(
         F.count(F.lit(1)).alias("total_jobs"),
-        F.count_distinct("company").alias("companies"),
-        F.count_distinct("location").alias("locations"),
+        _distinct("company", approx).alias("companies"),
+        _distinct("location", approx).alias("locations"),
     ).select("total_jobs", "companies", "locations",
-             distinct_count_scalar(df, "skills_required").alias("unique_required_skills"))
+             distinct_count_scalar(df, "skills_required", approx).alias("unique_required_skills"))
 
 
 def seniority_options(df: DataFrame) -> DataFrame:

@@ -77,3 +77,13 @@ def test_listing_by_seniority_all_and_empty(spark):
     t = posting_table(spark, SF01)
     assert M.listing_by_seniority(t, "all").count() == t.count()
     assert M.listing_by_seniority(t.limit(0), "Senior").count() == 0
+
+
+def test_approximate_distincts_are_close(spark):
+    t = posting_table(spark, SF01)
+    exact, approx = M.kpis(t).first(), M.kpis(t, approx=True).first()
+    assert approx.total_jobs == exact.total_jobs and approx.avg_skills == exact.avg_skills
+    for c in ("total_companies", "unique_skills"):
+        assert abs(approx[c] - exact[c]) <= max(1, 0.05 * exact[c])
+    p = M.dataset_profile(t, approx=True).first()
+    assert p.companies > 0 and p.locations > 0
