@@ -87,3 +87,20 @@ def test_approximate_distincts_are_close(spark):
         assert abs(approx[c] - exact[c]) <= max(1, 0.05 * exact[c])
     p = M.dataset_profile(t, approx=True).first()
     assert p.companies > 0 and p.locations > 0
+
+
+def test_keyset_paging_walks_whole_listing_including_null_dates(spark):
+    from conftest import SF001
+    t = posting_table(spark, SF001)
+    ordered = [r.job_id for r in t.orderBy(F.desc_nulls_last("posted_date"),
+                                           F.asc_nulls_last("job_id")).collect()]
+    dates = {r.job_id: r.posted_date for r in t.select("job_id", "posted_date").collect()}
+    walked, last = [], None
+    while True:
+        page = (M.listing_page(t, 0, 25) if last is None
+                else M.listing_after(t, dates[last], last, 25)).collect()
+        if not page:
+            break
+        walked += [r.job_id for r in page]
+        last = page[-1].job_id
+    assert walked == ordered and any(dates[j] is None for j in walked)
