@@ -157,5 +157,47 @@ def word_runs(term: str) -> list[str]:
     return out
 
 
+# Run encoding: every maximal word-character run of a text is wrapped in
+# MARK (a non-word control character; one that already occurs in the text
+# is first mapped to MARK_SUB, another non-word character, which changes no
+# boundary). In the encoded text a term matches (strict boundary) exactly
+# when its needle occurs as a plain substring: the term's own word runs
+# wrapped the same way, plus a MARK on a symbol end, which stands for the
+# adjacent word run that the strict boundary requires there.
+MARK = "\u0001"
+MARK_SUB = "\u0002"
+
+
+def run_needle(term: str) -> str | None:
+    """Substring that finds ``term`` in run-encoded lower-cased text, or None
+    for terms containing the marker characters (those keep the regex)."""
+    t = term.lower()
+    if not t or MARK in t or MARK_SUB in t:
+        return None
+    body = []
+    for i, run in enumerate(_runs(t)):
+        body.append(MARK + run + MARK if _is_word_char(run[0]) else run)
+    needle = "".join(body)
+    if not _is_word_char(t[0]):
+        needle = MARK + needle
+    if not _is_word_char(t[-1]):
+        needle = needle + MARK
+    return needle
+
+
+def _runs(t: str) -> list[str]:
+    out, cur, kind = [], [], None
+    for ch in t:
+        k = _is_word_char(ch)
+        if cur and k != kind:
+            out.append("".join(cur))
+            cur = []
+        cur.append(ch)
+        kind = k
+    if cur:
+        out.append("".join(cur))
+    return out
+
+
 def has_word_char(term: str) -> bool:
     return any(_is_word_char(c) for c in term)

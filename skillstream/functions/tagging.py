@@ -27,7 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .dictionary import WORD_CLASS, as_terms, is_single_token, term_pattern, word_runs
+from .dictionary import (MARK, MARK_SUB, WORD_CLASS, as_terms, is_single_token, run_needle,
+                         term_pattern, word_runs)
 
 TOKEN_PATTERN = WORD_CLASS + "+"
 
@@ -41,6 +42,19 @@ def token_runs(lower_text: Column) -> Column:
     return F.regexp_extract_all(lower_text, F.lit(TOKEN_PATTERN), 0)
 
 
+def run_encoded(lower_text: Column) -> Column:
+    """Lower-cased text with every word-character run wrapped in MARK
+    (see ``dictionary.run_needle``); one regex pass over the text."""
+    safe = F.translate(lower_text, MARK, MARK_SUB)
+    return F.regexp_replace(safe, "(" + TOKEN_PATTERN + ")", MARK + "$1" + MARK)
+
+
+# With more multi-run terms than this, they are answered by substring tests
+# on the run-encoded text (one extra pass per row) instead of one regex
+# pass per candidate term.
+ENCODED_MIN_MULTI = 4
+
+
 def text_tokens(lower_text: Column) -> Column:
     """Distinct maximal word-character runs of a (lower-cased) text."""
     return F.array_distinct(token_runs(lower_text))
@@ -82,6 +96,7 @@ def tag_terms(text: Column | str, dictionary, *, already_lower: bool = False,
 
 _LOWER = "__tag_lower"
 _FOUND = "__tag_found"
+_ENC = "__tag_enc"
 
 
 def with_tags(df: DataFrame, text_col: str, dictionary, out_col: str = "skills_extracted",
@@ -113,11 +128,20 @@ def with_tags(df: DataFrame, text_col: str, dictionary, out_col: str = "skills_e
         staged = staged.withColumn(
             _FOUND, F.array_intersect(F.array(*[F.lit(v) for v in vocab]),
                                       token_runs(F.col(_LOWER))))
+    needles = {t: run_needle(t) for t in runs} if boundary == "strict" else {}
+    encoded = sum(1 for t in runs if needles.get(t)) > ENCODED_MIN_MULTI
+    if encoded:
+        staged = staged.withColumn(_ENC, run_encoded(F.col(_LOWER)))
     lt, found = F.col(_LOWER), F.col(_FOUND)
 
     def has(token):
         return F.array_contains(found, F.lit(token))
 
+    def verify(t):
+        if encoded and needles.get(t):
+            return F.col(_ENC).contains(F.lit(needles[t]))
+        return lt.rlike(term_pattern(t, boundary))
+
     hits = []
     for t in terms:
         if t in single:
@@ -126,9 +150,11 @@ def with_tags(df: DataFrame, text_col: str, dictionary, out_col: str = "skills_e
             cond = has(runs[t][0])
             for w in runs[t][1:]:
                 cond = cond & has(w)
-            cond = cond & lt.rlike(term_pattern(t, boundary))
-        else:  # no word character at all: substring test, then regex
+            cond = cond & verify(t)
+        elif encoded and needles.get(t):  # no word character at all
+            cond = lt.contains(F.lit(t.lower())) & verify(t)
+        else:
             cond = term_hit(lt, t, boundary)
         hits.append(F.when(cond, F.lit(t)))
     out = staged.withColumn(out_col, F.coalesce(_drop_nulls(F.array(*hits)), _empty()))
-    return out.drop(_LOWER, _FOUND)
+    return out.drop(_LOWER, _FOUND, _ENC)

@@ -17,12 +17,13 @@ from ..functions.tagging import with_tags
 from ..schema import ENRICHED_COLS
 
 # Above this many terms the join-based tagger is used. Measured on 10,000
-# documents (24.7 MB of text, local[8]): hybrid vs join = 2.2 s vs 12.9 s at
-# 100 terms, 5.5 s vs 16.0 s at 1,000, 21.4 s vs 43.0 s at 5,000. The
-# hybrid tagger answers all single-token terms with one token-set
-# intersection, so it stays ahead; the join tagger is for dictionaries too
-# large to hold as one expression in the plan.
-JOIN_TAGGER_MIN_TERMS = 50_000
+# documents (24.7 MB of text, local[8], warm; a synthetic dictionary with
+# about half multi-run terms), hybrid vs join: 3.2 s vs 4.2 s at 100 terms,
+# 7.5 s vs 7.9 s at 300, 6.5 s vs 6.2 s at 500, 10.5 s vs 6.7 s at 1,000 and
+# 47.7 s vs 10.1 s at 5,000. The hybrid's generated code grows with the
+# dictionary (one branch per term, compiled into one class); the join's cost
+# is flat in it.
+JOIN_TAGGER_MIN_TERMS = 400
 
 
 def with_skills(df: DataFrame, dictionary=None, text_col: str = "description",

@@ -11,8 +11,9 @@ the dictionary size:
    (broadcast when the dictionary size — known on the driver — is within
    ``BROADCAST_TERMS``, else a shuffled join);
 3. a single-token term that joins is a hit; a multi-run term ("c++",
-   "apache spark") that joins is only a candidate and is verified with its
-   word-boundary regex against its own row's text;
+   "apache spark") that joins is only a candidate and is verified against
+   its own row's run-encoded text by a substring test (exact, no regex;
+   see ``dictionary.run_needle``);
 4. hits are collected per key (bounded by the dictionary size; partial
    aggregation first) and joined back to the rows; a hot key on the row
    side is split by AQE's skew-join handling. Terms without any word
@@ -31,19 +32,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.dictionary import (NON_WORD_CLASS as NON_WORD, WORD_CLASS, as_terms,
-                                    has_word_char, is_single_token, term_pattern, word_runs)
-from ..functions.tagging import term_hit, text_tokens
+from ..functions.dictionary import (MARK, MARK_SUB, NON_WORD_CLASS as NON_WORD, WORD_CLASS,
+                                    as_terms, has_word_char, is_single_token, run_needle,
+                                    term_pattern, word_runs)
+from ..functions.tagging import run_encoded, term_hit, text_tokens
 
 BROADCAST_TERMS = 1_000_000
 
-_RK, _LT, _TOK = "__tag_rk", "__tag_lower", "__tag_tok"
+_RK, _LT, _TOK, _ENC = "__tag_rk", "__tag_lower", "__tag_tok", "__tag_enc"
 _DICT_SCHEMA = T.StructType([
     T.StructField("ordinal", T.IntegerType(), False),
     T.StructField("term", T.StringType(), False),
     T.StructField("first_run", T.StringType(), False),
     T.StructField("single", T.BooleanType(), False),
     T.StructField("pattern", T.StringType(), False),
+    T.StructField("needle", T.StringType(), True),
 ])
 def _first_word_run(term_lower: str) -> str:
     runs = word_runs(term_lower)
@@ -75,9 +78,19 @@ def pattern_column(term: Column) -> Column:
     return F.concat(head, lit, tail)
 
 
+def needle_column(term: Column) -> Column:
+    """``dictionary.run_needle`` computed by Spark for a column of terms."""
+    t = F.lower(term)
+    body = F.regexp_replace(t, "(" + WORD_CLASS + "+)", MARK + "$1" + MARK)
+    lead = F.when(t.rlike("^" + WORD_CLASS), F.lit("")).otherwise(F.lit(MARK))
+    trail = F.when(t.rlike(WORD_CLASS + "$"), F.lit("")).otherwise(F.lit(MARK))
+    unsafe = t.contains(MARK) | t.contains(MARK_SUB)
+    return F.when(~unsafe, F.concat(lead, body, trail))
+
+
 def dictionary_table(dictionary: DataFrame, term_col: str = "skill",
                      ordinal_col: str | None = "ordinal") -> DataFrame:
-    """A dictionary table -> (ordinal, term, first_run, single, pattern, has_word)."""
+    """A dictionary table -> (ordinal, term, first_run, single, pattern, needle, has_word)."""
     t = F.col(term_col)
     lt = F.lower(t)
     ordinal = F.col(ordinal_col) if ordinal_col else F.monotonically_increasing_id()
@@ -86,6 +99,7 @@ def dictionary_table(dictionary: DataFrame, term_col: str = "skill",
         F.regexp_extract(lt, WORD_CLASS + "+", 0).alias("first_run"),
         lt.rlike("^" + WORD_CLASS + "+$").alias("single"),
         pattern_column(t).alias("pattern"),
+        needle_column(t).alias("needle"),
         lt.rlike(WORD_CLASS).alias("has_word"))
 
 
@@ -100,17 +114,21 @@ def tag_terms_join(df: DataFrame, text_col: str, dictionary, out_col: str = "ski
         # terms without any word character are few by nature (symbols only)
         loose = [(r.ordinal, r.term) for r in table.where(~F.col("has_word")).collect()]
         n_terms = dictionary.count()
+        need_plain = table.where(~F.col("single") & F.col("needle").isNull()).limit(1).count() > 0
     else:
         terms = as_terms(dictionary)
         rows, loose = [], []
         for i, t in enumerate(terms):
             tl = t.lower()
             if has_word_char(tl):
-                rows.append((i, t, _first_word_run(tl), is_single_token(tl), term_pattern(t)))
+                rows.append((i, t, _first_word_run(tl), is_single_token(tl), term_pattern(t),
+                             run_needle(t)))
             else:
                 loose.append((i, t))
         dict_df = spark.createDataFrame(rows, _DICT_SCHEMA)
         n_terms = len(rows)
+        need_plain = any(not r[3] and r[5] is None for r in rows) or any(
+            run_needle(t) is None for _, t in loose)
     if n_terms <= BROADCAST_TERMS:
         dict_df = F.broadcast(dict_df)
 
@@ -125,16 +143,27 @@ def tag_terms_join(df: DataFrame, text_col: str, dictionary, out_col: str = "ski
     # all rows): both sides of the verification join are reduced to one row
     # per key first (partial aggregation collapses copies map-side), so the
     # join is one-to-one per key instead of copies x copies.
-    multi = cand.where(~F.col("single")).select(_RK, "ordinal", "term", "pattern").distinct()
-    one_text = texts.groupBy(_RK).agg(F.first(_LT).alias(_LT))
-    multi_hits = (multi.join(one_text, _RK, "inner")
-                       .where(F.regexp_like(F.col(_LT), F.col("pattern")))
+    # Verification needs no regex: in the run-encoded text a multi-run term
+    # matches exactly when its needle is a substring (``run_needle``); the
+    # plain text is shipped too only for terms without a needle.
+    multi = (cand.where(~F.col("single"))
+                 .select(_RK, "ordinal", "term", "pattern", "needle").distinct())
+    text_aggs = [F.first(_ENC).alias(_ENC)] + ([F.first(_LT).alias(_LT)] if need_plain else [])
+    one_text = (texts.withColumn(_ENC, run_encoded(F.col(_LT)))
+                     .groupBy(_RK).agg(*text_aggs))
+    by_needle = F.col(_ENC).contains(F.col("needle"))
+    ok = (F.when(F.col("needle").isNotNull(), by_needle)
+           .otherwise(F.regexp_like(F.col(_LT), F.col("pattern"))) if need_plain else by_needle)
+    multi_hits = (multi.join(one_text, _RK, "inner").where(ok)
                        .select(_RK, "ordinal", "term"))
     hits = (single_hits.unionByName(multi_hits).groupBy(_RK)
             .agg(F.array_sort(F.collect_set(F.struct("ordinal", "term"))).alias("__tag_hits")))
     if loose:
+        def loose_hit(t):
+            n = run_needle(t)
+            return F.col(_ENC).contains(F.lit(n)) if n is not None else term_hit(F.col(_LT), t)
         loose_hits = one_text.select(_RK, F.array_compact(F.array(*[
-            F.when(term_hit(F.col(_LT), t), F.struct(F.lit(i).alias("ordinal"), F.lit(t).alias("term")))
+            F.when(loose_hit(t), F.struct(F.lit(i).alias("ordinal"), F.lit(t).alias("term")))
             for i, t in loose])).alias("__tag_loose"))
         hits = (loose_hits.join(hits, _RK, "left")
                 .select(_RK, F.array_sort(F.concat(

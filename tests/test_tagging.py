@@ -122,7 +122,8 @@ def test_randomized_texts_match_python_regex(spark):
     import random
     rnd = random.Random(20240101)
     pieces = ["c", "go", "r", "net", "js", "node", "ci", "cd", "é", "ü", "ß", "x1", "_", "+", "++",
-              ".", "/", "-", "#", "&", "'", " ", "  ", "\t", "\n", ",", "2", "ai"]
+              ".", "/", "-", "#", "&", "'", " ", "  ", "\t", "\n", ",", "2", "ai",
+              "\u0001", "\u0002"]
     def gen(lo, hi):
         return "".join(rnd.choice(pieces) for _ in range(rnd.randint(lo, hi)))
     terms = []
@@ -153,9 +154,10 @@ def test_dictionary_as_table(spark):
     extra = ["a^b", "x\\\\y", "[tag]", "c#", "_u_", "++", "é-ü"]
     terms = default_skills() + extra
     table = dictionary_frame(spark, terms)
-    derived = {r.term: r.pattern for r in dictionary_table(table).collect()}
+    from skillstream.functions.dictionary import run_needle
+    derived = {r.term: (r.pattern, r.needle) for r in dictionary_table(table).collect()}
     for t in terms:
-        assert derived[t] == term_pattern(t), t
+        assert derived[t] == (term_pattern(t), run_needle(t)), t
     docs = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(GOLDEN)] +
                                  [(100, "a^b x\\\\y [tag] c#1 _u_ a++b é-ü")], "id INT, text STRING")
     a = {r.id: r.t for r in tag_terms_join(docs, "text", table, "t", row_key="id").collect()}
@@ -172,3 +174,20 @@ def test_enrich_with_dictionary_table(spark):
     a = enrich(raw, dictionary_frame(spark, TEST_SKILLS), now=F.col("processed_timestamp"))
     b = enrich(raw, TEST_SKILLS, now=F.col("processed_timestamp"))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_auto_switch_to_join_tagger_keeps_results(spark):
+    import random
+    from skillstream.operators.enrich import JOIN_TAGGER_MIN_TERMS, with_skills
+    from conftest import SF001
+    rnd = random.Random(5)
+    syl = ["en", "ou", "la", "re", "th", "an", "er", "de", "on", "es", "in", "ai"]
+    extra = set()
+    while len(extra) < JOIN_TAGGER_MIN_TERMS:
+        w = "".join(rnd.choice(syl) for _ in range(rnd.randint(1, 3)))
+        extra.add(w if rnd.random() > 0.2 else w + rnd.choice([" ", "-", "'"]) + rnd.choice(syl))
+    terms = TEST_SKILLS + default_skills() + sorted(extra)
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    auto = {r.doc_id: r.t for r in with_skills(docs, terms, "text", "t", row_key="doc_id").collect()}
+    hybrid = {r.doc_id: r.t for r in with_tags(docs, "text", terms, "t").collect()}
+    assert auto == hybrid and sum(len(v) for v in auto.values()) > 1000
