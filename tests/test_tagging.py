@@ -134,6 +134,7 @@ def test_randomized_texts_match_python_regex(spark):
     texts = [(i, gen(0, 40)) for i in range(3000)]
     df = spark.createDataFrame(texts, "id INT, text STRING")
     hybrid = {r.id: r.t for r in with_tags(df, "text", terms, "t").collect()}
+    encoded = {r.id: r.t for r in with_tags(df, "text", terms, "t", verify="encoded").collect()}
     regex = {r.id: r.t for r in with_tags(df, "text", terms, "t", method="regex").collect()}
     joined = {r.id: r.t for r in tag_terms_join(df, "text", terms, "t", row_key="id").collect()}
     hits = 0
@@ -141,6 +142,7 @@ def test_randomized_texts_match_python_regex(spark):
         expect = python_tags(text, terms)
         hits += len(expect)
         assert hybrid[i] == expect, (text, hybrid[i], expect)
+        assert encoded[i] == expect, (text, encoded[i], expect)
         assert regex[i] == expect, (text, regex[i], expect)
         assert joined[i] == expect, (text, joined[i], expect)
     assert hits > 500
