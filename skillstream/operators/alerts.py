@@ -22,6 +22,10 @@ from ..schema import ALERT_CONFIG_SCHEMA, ALERT_HIT_COLS, ALERT_SCHEMA
 # alert side of an equi-join is shuffled, and criterion-less alerts are
 # matched in broadcast chunks of this size.
 ALERT_BROADCAST_LIMIT = 10_000
+# Up to this many alerts, one broadcast nested-loop pass (a few predicate
+# checks per posting) is cheaper than exploding every posting's skills for
+# an equi-join; above it, alerts are routed to equi-joins.
+THETA_MAX_ALERTS = 32
 DIGEST_CAP = 50
 CARD_SKILLS = 10
 SUBJECT_PREFIX = "Job Alert"
@@ -205,11 +209,13 @@ def _route() -> Column:
 
 
 def match_alerts(postings: DataFrame, alerts: DataFrame, since=None,
-                 broadcast_limit: int = ALERT_BROADCAST_LIMIT, method: str = "route") -> DataFrame:
+                 broadcast_limit: int = ALERT_BROADCAST_LIMIT, method: str = "auto",
+                 theta_max: int = THETA_MAX_ALERTS) -> DataFrame:
     """Every (enabled alert, posting) pair that satisfies the alert.
 
-    Output: ``alert_id, alert_name`` + the hit columns; uncapped. Each alert
-    is routed to an equi-join on its most selective list criterion —
+    Output: ``alert_id, alert_name`` + the hit columns; uncapped. A small
+    alert set (<= ``theta_max`` enabled alerts) is broadcast and matched in
+    one nested-loop pass. Otherwise each alert is routed to an equi-join on its most selective list criterion —
     keywords (posting skills exploded), else locations, else seniority
     levels — with the remaining criteria as a residual predicate, so the
     work is proportional to candidate pairs, not postings x alerts. Only
@@ -234,6 +240,9 @@ def match_alerts(postings: DataFrame, alerts: DataFrame, since=None,
     # one row per route: number of alerts and of exploded alert rows
     sizes = {r["route"]: (r["n"], r["rows"]) for r in routed.groupBy("route").agg(
         F.count(F.lit(1)).alias("n"), F.sum("route_rows").alias("rows")).collect()}
+    n_alerts = sum(n for n, _ in sizes.values())
+    if method == "auto" and 0 < n_alerts <= min(theta_max, broadcast_limit):
+        return _theta_match(postings, enabled, n_alerts, broadcast_limit)
     parts = []
     for name, (n, rows) in sizes.items():
         group = routed.where(F.col("route") == name).drop("route", "route_rows")

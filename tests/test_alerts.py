@@ -44,7 +44,8 @@ def test_routed_equijoins_equal_theta_join(spark):
          "seniority_levels": None, "min_skills_count": 12, "enabled": True}])
     theta = AL.match_alerts(t, alerts, since=P.SINCE, method="theta").collect()
     for limit in (10_000, 1):  # broadcast alert sides, then shuffled joins / chunks
-        routed = AL.match_alerts(t, alerts, since=P.SINCE, broadcast_limit=limit).collect()
+        routed = AL.match_alerts(t, alerts, since=P.SINCE, broadcast_limit=limit,
+                                 theta_max=0).collect()
         assert _key(routed) == _key(theta)  # each (alert, posting) exactly once
     assert {r.alert_name for r in theta} >= {"a", "b", "e", "f", "g", "h"}
 

@@ -38,10 +38,12 @@ def test_since_filter_pushed_to_scan(spark):
 
 def test_alert_join_is_broadcast_and_cap_is_group_limit(spark):
     t = posting_table(spark, SF001)
-    m = AL.match_alerts(t, AL.alerts_frame(spark, P.TEST_ALERTS), since=P.SINCE)
-    p = physical(m)
-    assert "BroadcastHashJoin" in p  # keyword alert "a": equi-join on the keyword
-    assert "BroadcastNestedLoopJoin" in p  # criterion-less alert "b" matches every posting
+    alerts = AL.alerts_frame(spark, P.TEST_ALERTS)
+    m = AL.match_alerts(t, alerts, since=P.SINCE)
+    assert "BroadcastNestedLoopJoin" in physical(m)  # small alert set: one broadcast pass
+    routed = physical(AL.match_alerts(t, alerts, since=P.SINCE, theta_max=0))
+    assert "BroadcastHashJoin" in routed  # keyword alert "a": equi-join on the keyword
+    assert "BroadcastNestedLoopJoin" in routed  # criterion-less alert "b" matches every posting
     assert "WindowGroupLimit" in physical(AL.top_hits(m))
 
 
