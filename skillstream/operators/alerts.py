@@ -215,8 +215,8 @@ def match_alerts(postings: DataFrame, alerts: DataFrame, since=None,
 
     Output: ``alert_id, alert_name`` + the hit columns; uncapped. A small
     alert set (<= ``theta_max`` enabled alerts) is broadcast and matched in
-    one nested-loop pass. Otherwise each alert is routed to an equi-join on its most selective list criterion —
-    keywords (posting skills exploded), else locations, else seniority
+    one nested-loop pass. Otherwise each alert is routed to an equi-join on
+    its most selective list criterion — keywords (posting skills exploded), else locations, else seniority
     levels — with the remaining criteria as a residual predicate, so the
     work is proportional to candidate pairs, not postings x alerts. Only
     alerts without any list criterion (which match every posting that passes
@@ -231,6 +231,10 @@ def match_alerts(postings: DataFrame, alerts: DataFrame, since=None,
     enabled = enabled_alerts(alerts)
     if method == "theta":  # reference form: every alert tested against every posting
         return _theta_match(postings, enabled, enabled.count(), broadcast_limit)
+    if method == "auto" and theta_max > 0:
+        n_alerts = enabled.count()
+        if 0 < n_alerts <= min(theta_max, broadcast_limit):
+            return _theta_match(postings, enabled, n_alerts, broadcast_limit)
     route = _route()
     routed = enabled.withColumn("route", route).withColumn(
         "route_rows", F.greatest(F.lit(1), F.size(F.array_distinct(
@@ -240,9 +244,6 @@ def match_alerts(postings: DataFrame, alerts: DataFrame, since=None,
     # one row per route: number of alerts and of exploded alert rows
     sizes = {r["route"]: (r["n"], r["rows"]) for r in routed.groupBy("route").agg(
         F.count(F.lit(1)).alias("n"), F.sum("route_rows").alias("rows")).collect()}
-    n_alerts = sum(n for n, _ in sizes.values())
-    if method == "auto" and 0 < n_alerts <= min(theta_max, broadcast_limit):
-        return _theta_match(postings, enabled, n_alerts, broadcast_limit)
     parts = []
     for name, (n, rows) in sizes.items():
         group = routed.where(F.col("route") == name).drop("route", "route_rows")
