@@ -272,16 +272,28 @@ def hit_order() -> list[Column]:
     return [F.desc_nulls_last("processed_timestamp"), F.asc_nulls_last("job_id")]
 
 
-def top_hits(matches: DataFrame, cap: int = DIGEST_CAP) -> DataFrame:
+TOP_HITS_FAN_IN = 256
+
+
+def top_hits(matches: DataFrame, cap: int = DIGEST_CAP, fan_in: int = TOP_HITS_FAN_IN) -> DataFrame:
     """At most ``cap`` hits per alert, newest first, with their rank.
 
-    Catalyst plans this as a per-task ``WindowGroupLimit`` before the
-    shuffle, so even an alert that matches a third of all postings moves
-    only ``cap`` rows per task.
+    A two-level top-K, so that an alert matching a third of all postings
+    never funnels its rows into one task. Level 1 keeps ``cap`` rows per
+    (alert, slot), where the slot is the producing task's partition id
+    modulo ``fan_in`` (stable when a task is retried); level 2 keeps ``cap``
+    per alert from at most ``cap * fan_in`` rows. Catalyst adds a per-task
+    ``WindowGroupLimit`` before each shuffle, so every task ships at most
+    ``cap`` rows per group.
     """
-    w = Window.partitionBy("alert_id").orderBy(*hit_order())
-    return (matches.withColumn("hit_rank", F.row_number().over(w))
-                   .where(F.col("hit_rank") <= cap))
+    slot = F.pmod(F.spark_partition_id(), F.lit(fan_in))
+    w1 = Window.partitionBy("alert_id", "__hit_slot").orderBy(*hit_order())
+    level1 = (matches.withColumn("__hit_slot", slot)
+                     .withColumn("__hit_r", F.row_number().over(w1))
+                     .where(F.col("__hit_r") <= cap).drop("__hit_r", "__hit_slot"))
+    w2 = Window.partitionBy("alert_id").orderBy(*hit_order())
+    return (level1.withColumn("hit_rank", F.row_number().over(w2))
+                  .where(F.col("hit_rank") <= cap))
 
 
 def alert_digest(matches: DataFrame, cap: int = DIGEST_CAP, prefix: str = SUBJECT_PREFIX,
