@@ -14,10 +14,12 @@ the dictionary size:
    "apache spark") that joins is only a candidate and is verified against
    its own row's run-encoded text by a substring test (exact, no regex;
    see ``dictionary.run_needle``);
-4. hits are collected per key (bounded by the dictionary size; partial
-   aggregation first) and joined back to the rows; a hot key on the row
-   side is split by AQE's skew-join handling. Terms without any word
-   character go through the regex tagger.
+4. hits are collected per key as a set (bounded by the dictionary size;
+   partial aggregation first) and joined back to the rows; a hot key on the
+   row side is split by AQE's skew-join handling. The verification texts
+   are kept one per (key, slot of the producing task), so a group of copies
+   never funnels into one task. Terms without any word character are
+   checked on the same texts.
 
 Cost: one scan for the tokens, one for the rows, and the shuffles of the
 verification texts and of the join back. The default tagger
@@ -38,6 +40,7 @@ from ..functions.dictionary import (MARK, MARK_SUB, NON_WORD_CLASS as NON_WORD,
 from ..functions.tagging import run_encoded, term_hit, text_tokens
 
 BROADCAST_TERMS = 1_000_000
+TEXT_FAN_IN = 256
 
 _RK, _LT, _TOK, _ENC = "__tag_rk", "__tag_lower", "__tag_tok", "__tag_enc"
 _DICT_SCHEMA = T.StructType([
@@ -140,17 +143,21 @@ def tag_terms_join(df: DataFrame, text_col: str, dictionary, out_col: str = "ski
     cand = toks.join(dict_df, F.col(_TOK) == F.col("first_run"), "inner")
     single_hits = cand.where("single").select(_RK, "ordinal", "term")
     # Copies of one text share a key (a group of copies may be a third of
-    # all rows): both sides of the verification join are reduced to one row
-    # per key first (partial aggregation collapses copies map-side), so the
-    # join is one-to-one per key instead of copies x copies.
-    # Verification needs no regex: in the run-encoded text a multi-run term
-    # matches exactly when its needle is a substring (``run_needle``); the
-    # plain text is shipped too only for terms without a needle.
+    # all rows). Candidates are reduced to one row per (key, term) first
+    # (partial aggregation collapses copies map-side). Verification needs no
+    # regex: in the run-encoded text a multi-run term matches exactly when
+    # its needle is a substring (``run_needle``); the plain text is shipped
+    # too only for terms without a needle.
     multi = (cand.where(~F.col("single"))
                  .select(_RK, "ordinal", "term", "pattern", "needle").distinct())
+    # One text per (key, slot), the slot being the producing task's
+    # partition id mod TEXT_FAN_IN (stable on retry): a group of copies that
+    # holds a third of all rows then reaches at most TEXT_FAN_IN verification
+    # rows per key, and no single task receives every copy of it.
     text_aggs = [F.first(_ENC).alias(_ENC)] + ([F.first(_LT).alias(_LT)] if need_plain else [])
     one_text = (texts.withColumn(_ENC, run_encoded(F.col(_LT)))
-                     .groupBy(_RK).agg(*text_aggs))
+                     .withColumn("__tag_slot", F.pmod(F.spark_partition_id(), F.lit(TEXT_FAN_IN)))
+                     .groupBy(_RK, "__tag_slot").agg(*text_aggs).drop("__tag_slot"))
     by_needle = F.col(_ENC).contains(F.col("needle"))
     ok = (F.when(F.col("needle").isNotNull(), by_needle)
            .otherwise(F.regexp_like(F.col(_LT), F.col("pattern"))) if need_plain else by_needle)
@@ -162,9 +169,10 @@ def tag_terms_join(df: DataFrame, text_col: str, dictionary, out_col: str = "ski
         def loose_hit(t):
             n = run_needle(t)
             return F.col(_ENC).contains(F.lit(n)) if n is not None else term_hit(F.col(_LT), t)
-        loose_hits = one_text.select(_RK, F.array_compact(F.array(*[
+        loose_hits = (one_text.select(_RK, F.array_compact(F.array(*[
             F.when(loose_hit(t), F.struct(F.lit(i).alias("ordinal"), F.lit(t).alias("term")))
             for i, t in loose])).alias("__tag_loose"))
+            .groupBy(_RK).agg(F.first("__tag_loose").alias("__tag_loose")))
         hits = (loose_hits.join(hits, _RK, "left")
                 .select(_RK, F.array_sort(F.concat(
                     F.coalesce("__tag_hits", F.array().cast("array<struct<ordinal:int,term:string>>")),
