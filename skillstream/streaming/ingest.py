@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.enrich import enrich
+from ..schema import POSTING_COLS
 from ..sources.json_codec import decode_postings
 
 ENVELOPE_SCHEMA = T.StructType([T.StructField("value", T.StringType()),
@@ -52,15 +53,21 @@ def enriched_stream(envelopes: DataFrame, dictionary=None,
                     dedupe_within: str | None = None) -> DataFrame:
     """Decode + enrich a stream; the same functions as in batch.
 
-    ``dedupe_within`` (opt-in, e.g. ``"1 hour"``): drop a posting whose
-    ``job_id`` was already seen within that delay of envelope time (producer
-    retries). Off by default: postings are never de-duplicated, as in the
-    source system. The state is bounded by the watermark.
+    ``dedupe_within`` (opt-in, e.g. ``"1 hour"``): drop a message that
+    repeats one seen within that delay of envelope time (producer retries).
+    A repeat is the same ``job_id`` with the same payload (a hash of all
+    posting fields): ids are random and may collide, and two different
+    postings that share an id are both kept. Off by default: postings are
+    never de-duplicated, as in the source system. The state is bounded by
+    the watermark.
     """
     decoded = decode_postings(envelopes)
     if dedupe_within:
-        decoded = (decoded.withWatermark("kafka_timestamp", dedupe_within)
-                          .dropDuplicatesWithinWatermark(["job_id"]))
+        payload = F.xxhash64(*[F.col(c) for c in POSTING_COLS])
+        decoded = (decoded.withColumn("__payload", payload)
+                          .withWatermark("kafka_timestamp", dedupe_within)
+                          .dropDuplicatesWithinWatermark(["job_id", "__payload"])
+                          .drop("__payload"))
     return enrich(decoded, dictionary)
 
 

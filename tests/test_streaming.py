@@ -135,3 +135,12 @@ def test_envelope_file_formats(spark, scratch):
         got = read_table(spark, table).select(*CMP)
         want = enrich(raw, TEST_SKILLS).select(*CMP)
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_dedupe_keeps_distinct_postings_sharing_an_id(spark, scratch):
+    raw = fixture_postings(spark, SF001).select(*POSTING_COLS)
+    clash = raw.withColumn("title", F.lit("Another posting, same id"))
+    msgs, table, ck = scratch("msgs"), scratch("table"), scratch("ck")
+    publish(raw.unionByName(raw).unionByName(clash).repartition(2), msgs)
+    run_ingest(spark, "text", msgs, table, ck, TEST_SKILLS, dedupe_within="1 hour")
+    assert read_table(spark, table).count() == 2 * raw.count()
