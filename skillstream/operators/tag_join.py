@@ -92,11 +92,15 @@ def needle_column(term: Column) -> Column:
 
 
 def dictionary_table(dictionary: DataFrame, term_col: str = "skill",
-                     ordinal_col: str | None = "ordinal") -> DataFrame:
-    """A dictionary table -> (ordinal, term, first_run, single, pattern, needle, has_word)."""
+                     ordinal_col: str = "ordinal") -> DataFrame:
+    """A dictionary table -> (ordinal, term, first_run, single, pattern, needle, has_word).
+
+    The ordinal column fixes the output order of matched terms."""
+    if ordinal_col not in dictionary.columns:
+        raise ValueError(f"dictionary table needs an {ordinal_col!r} column (output order)")
     t = F.col(term_col)
     lt = F.lower(t)
-    ordinal = F.col(ordinal_col) if ordinal_col else F.monotonically_increasing_id()
+    ordinal = F.col(ordinal_col)
     return dictionary.select(
         ordinal.cast("int").alias("ordinal"), t.alias("term"),
         F.regexp_extract(lt, WORD_CLASS + "+", 0).alias("first_run"),
