@@ -46,10 +46,20 @@ def alerts_frame(spark: SparkSession, alerts: list[dict]) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-def alerts_from_config(config: DataFrame) -> DataFrame:
-    """Config rows (``ALERT_CONFIG_SCHEMA``) -> one row per alert with ``alert_id``."""
-    return (config.select(F.posexplode("alerts").alias("alert_id", "a"))
-                  .select(F.col("alert_id").cast("int"), "a.*"))
+def alerts_from_config(config: DataFrame, source: Column | None = None) -> DataFrame:
+    """Config rows (``ALERT_CONFIG_SCHEMA``) -> one row per alert with ``alert_id``.
+
+    Without ``source`` the id is the alert's position in its document; with
+    a ``source`` column (e.g. the file path) it is a hash of (source,
+    position), so alerts read from several files never share an id.
+    """
+    cols = [F.posexplode("alerts").alias("pos", "a")]
+    if source is not None:
+        cols.append(source.alias("__src"))
+    exploded = config.select(*cols)
+    alert_id = (F.col("pos").cast("int") if source is None
+                else F.xxhash64(F.col("__src"), F.col("pos")))
+    return exploded.select(alert_id.alias("alert_id"), "a.*")
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
@@ -60,12 +70,13 @@ def read_alerts(spark: SparkSession, path: str) -> DataFrame:
     """
     try:
         cfg = spark.read.schema(ALERT_CONFIG_SCHEMA).option("multiLine", "true").json(path)
-        cfg.schema  # force resolution of the path
+        cfg = cfg.select("*", F.col("_metadata.file_path").alias("__file"))
     except Exception as exc:  # path does not exist
         if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
             raise
-        cfg = spark.createDataFrame([], ALERT_CONFIG_SCHEMA)
-    return alerts_from_config(cfg)
+        cfg = spark.createDataFrame([], ALERT_CONFIG_SCHEMA).withColumn(
+            "__file", F.lit(None).cast("string"))
+    return alerts_from_config(cfg, F.col("__file"))
 
 
 def read_alert_settings(spark: SparkSession, path: str) -> DataFrame:

@@ -91,3 +91,10 @@ def test_read_alert_config(spark, scratch):
     assert AL.read_alerts(spark, os.path.join(d, "bad.json")).count() == 0
     s = AL.read_alert_settings(spark, os.path.join(d, "alerts.json")).first()
     assert s.check_interval_minutes == 15 and s.smtp_config.port == 587
+    # a folder of config files: ids stay unique across files
+    os.makedirs(os.path.join(d, "many"))
+    for i in range(2):
+        with open(os.path.join(d, "many", f"a{i}.json"), "w") as f:
+            json.dump(cfg, f)
+    many = AL.read_alerts(spark, os.path.join(d, "many"))
+    assert many.count() == 4 and many.select("alert_id").distinct().count() == 4
