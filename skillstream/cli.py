@@ -21,7 +21,7 @@ import sys
 from .functions.dictionary import default_dictionary
 from .operators import metrics as M
 from .operators.alerts import read_alerts
-from .session import build_session
+from .session import CLUSTER_CONF, build_session
 from .sources.json_codec import publish, read_postings_json
 from .sources.tables import read_table
 from .streaming.alerts import read_posting_stream, stream_alerts
@@ -56,6 +56,8 @@ def _dictionary(path, spark):
 
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="skillstream")
+    ap.add_argument("--cluster", action="store_true",
+                    help="apply the large-cluster settings (session.CLUSTER_CONF)")
     sub = ap.add_subparsers(dest="cmd", required=True)
     ing = sub.add_parser("ingest")
     ing.add_argument("--source-format", default="kafka")
@@ -87,7 +89,8 @@ def main(argv=None) -> int:
     pu.add_argument("--json-lines", action="store_true")
     args = ap.parse_args(argv)
 
-    spark = build_session(app_name=f"skillstream-{args.cmd}")
+    spark = build_session(app_name=f"skillstream-{args.cmd}",
+                          extra=CLUSTER_CONF if args.cluster else None)
     if args.cmd == "ingest":
         q = run_ingest(spark, args.source_format, args.source, args.table, args.checkpoint,
                        dictionary=_dictionary(args.dictionary_csv, spark),

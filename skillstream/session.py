@@ -20,6 +20,22 @@ DEFAULT_CONF = {
 }
 
 
+# Starting point for a large cluster (about 100 TB of postings, ~4,000
+# cores); see README "Sizing for 100 TB". Scan splits of 128 MB are 10-60 s
+# tagging tasks, cheap to retry. The initial shuffle width suits the joins
+# whose size grows with the data; AQE coalesces the many small metric
+# exchanges and splits skewed join partitions.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(128 << 20),
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 << 20),
+    "spark.sql.autoBroadcastJoinThreshold": str(32 << 20),
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
 def build_session(master: str | None = None, app_name: str = "skillstream",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
