@@ -29,12 +29,19 @@ JOIN_TAGGER_MIN_TERMS = 400
 def with_skills(df: DataFrame, dictionary=None, text_col: str = "description",
                 out_col: str = "skills_extracted", method: str = "auto",
                 row_key: str | None = None, boundary: str = "strict") -> DataFrame:
+    # The join tagger joins its per-row hits back to the rows, which on a
+    # stream would be a stream-stream join; streams use the hybrid tagger
+    # (exact for any dictionary size; its plan grows with the term list).
+    if df.isStreaming and (isinstance(dictionary, DataFrame) or method == "join"):
+        raise ValueError("the join tagger works on batch DataFrames; give a streaming job the "
+                         "dictionary as a list (hybrid tagger)")
     if isinstance(dictionary, DataFrame):  # a dictionary table: join tagger
         from .tag_join import tag_terms_join
         return tag_terms_join(df, text_col, dictionary, out_col=out_col, row_key=row_key)
     terms = as_terms(default_skills() if dictionary is None else dictionary)
     if method == "auto":
-        method = "hybrid" if len(terms) <= JOIN_TAGGER_MIN_TERMS else "join"
+        method = ("hybrid" if df.isStreaming or len(terms) <= JOIN_TAGGER_MIN_TERMS
+                  else "join")
     if method in ("hybrid", "regex"):
         return with_tags(df, text_col, terms, out_col=out_col, method=method, boundary=boundary)
     if method == "join":

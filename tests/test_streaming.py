@@ -144,3 +144,16 @@ def test_dedupe_keeps_distinct_postings_sharing_an_id(spark, scratch):
     publish(raw.unionByName(raw).unionByName(clash).repartition(2), msgs)
     run_ingest(spark, "text", msgs, table, ck, TEST_SKILLS, dedupe_within="1 hour")
     assert read_table(spark, table).count() == 2 * raw.count()
+
+
+def test_stream_with_large_dictionary_uses_hybrid_tagger(spark, scratch):
+    from skillstream.functions.dictionary import default_skills
+    from skillstream.operators.enrich import JOIN_TAGGER_MIN_TERMS
+    raw = fixture_postings(spark, SF001).select(*POSTING_COLS)
+    terms = TEST_SKILLS + default_skills() + [f"zz{i}" for i in range(JOIN_TAGGER_MIN_TERMS)]
+    msgs, table, ck = scratch("msgs"), scratch("table"), scratch("ck")
+    publish(raw.repartition(2), msgs)
+    run_ingest(spark, "text", msgs, table, ck, terms)
+    got = read_table(spark, table).select(*CMP)
+    want = enrich(raw, terms).select(*CMP)  # batch: join tagger
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
