@@ -59,3 +59,13 @@ def test_tagging_stays_in_whole_stage_codegen(spark):
     p = physical(with_tags(docs, "text", default_skills(), "t").select("doc_id", "t"))
     tagging = [line for line in p.splitlines() if "array_except(array(CASE WHEN" in line]
     assert tagging and all(line.lstrip(" +-:").startswith("*(") for line in tagging), p
+
+
+def test_parallelism_guard_is_a_no_op_for_wide_input(spark):
+    from skillstream.sources.tables import ensure_parallelism
+    wide = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
+    assert ensure_parallelism(wide, "id") is wide
+    narrow = spark.range(0, 1000, numPartitions=1)
+    spread = ensure_parallelism(narrow, "id")
+    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert "Exchange hashpartitioning(id" in physical(spread)
