@@ -33,3 +33,19 @@ def test_publish_ingest_alerts_dashboard(spark, scratch):
     dash = scratch("cli-dash")
     assert cli.main(["dashboard", "--table", table, "--out", dash]) == 0
     assert spark.read.parquet(f"{dash}/kpis").first().total_jobs == raw.count()
+
+
+def test_ingest_with_dictionary_csv(spark, scratch):
+    from pyspark.sql import functions as F
+    from skillstream.functions.dictionary import TEST_SKILLS
+    raw = fixture_postings(spark, SF001).select(*POSTING_COLS)
+    src = scratch("cli-dict").removeprefix("file:")
+    csv = os.path.join(src, "skills.csv")
+    with open(csv, "w") as f:
+        f.write("skill\n" + "\n".join(TEST_SKILLS) + "\n")
+    msgs, table = scratch("cli-msgs"), scratch("cli-table")
+    raw.select(F.to_json(F.struct(*POSTING_COLS)).alias("value")).write.text(msgs)
+    assert cli.main(["ingest", "--source-format", "text", "--source", msgs, "--table", table,
+                     "--checkpoint", scratch("cli-ck"), "--dictionary-csv", csv, "--once"]) == 0
+    tags = spark.read.parquet(table).select(F.explode("skills_extracted").alias("s"))
+    assert tags.count() > 0 and {r.s for r in tags.distinct().collect()} <= set(TEST_SKILLS)
