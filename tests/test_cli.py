@@ -44,7 +44,7 @@ def test_ingest_with_dictionary_csv(spark, scratch):
     with open(csv, "w") as f:
         f.write("skill\n" + "\n".join(TEST_SKILLS) + "\n")
     msgs, table = scratch("cli-msgs"), scratch("cli-table")
-    raw.select(F.to_json(F.struct(*POSTING_COLS)).alias("value")).write.text(msgs)
+    raw.select(F.to_json(F.struct(*POSTING_COLS)).alias("value")).write.mode("append").text(msgs)
     assert cli.main(["ingest", "--source-format", "text", "--source", msgs, "--table", table,
                      "--checkpoint", scratch("cli-ck"), "--dictionary-csv", csv, "--once"]) == 0
     tags = spark.read.parquet(table).select(F.explode("skills_extracted").alias("s"))
