@@ -69,3 +69,8 @@ def test_parallelism_guard_is_a_no_op_for_wide_input(spark):
     spread = ensure_parallelism(narrow, "id")
     assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert "Exchange hashpartitioning(id" in physical(spread)
+
+
+@pytest.mark.parametrize("name", PLAN_ONLY)
+def test_no_cartesian_product(spark, name):
+    assert "CartesianProduct" not in physical(QUERIES[name](spark, SF001))
