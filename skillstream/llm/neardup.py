@@ -105,7 +105,7 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], slots: int = SLOTS) ->
     parts, level = [], 0
     while len(x):  # levels [0, 1), [1, 2), [2, 4), ...: those that begin below the weight
         low, high = (0, 1) if level == 0 else (1 << (level - 1), 1 << level)
-        parts.append((row, _mix(x + np.uint64(level) * np.uint64(0xD1342543DE82EF95)), w, np.full(len(x), low), np.full(len(x), high - low)))
+        parts.append((row, _mix(x + np.uint64(level * 0xD1342543DE82EF95 % 2**64)), w, np.full(len(x), low), np.full(len(x), high - low)))
         on = w > high
         row, x, w, level = row[on], x[on], w[on], level + 1
     row, seed, w, low, length = (np.concatenate(p) for p in zip(*parts, strict=True))
@@ -113,7 +113,7 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], slots: int = SLOTS) ->
     step = 0
     while len(row):
         step += 1
-        r = _mix(seed + np.uint64(step) * np.uint64(0x9E3779B97F4A7C15))
+        r = _mix(seed + np.uint64(step * 0x9E3779B97F4A7C15 % 2**64))
         # Three draws from one hash: the wait (32 bits), the place in the level and the slot (second hash).
         time = time - np.log(((r >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53) / (length * slots)
         alive = time < best.max(axis=1)[row]  # later points of a process only come later
@@ -214,7 +214,7 @@ def _left_over(buckets: DataFrame, marks: DataFrame, comp: DataFrame) -> DataFra
              .withColumn("l", F.explode(F.sequence(F.lit(0), F.col("lb") - 1))).withColumn("side", F.lit(1)))
     cols = ["bucket", "l", "r", "side", "id", "comp", "marks"]
 
-    def run(key, t: pa.Table) -> pa.Table:
+    def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
         side = t.column("side").to_numpy()
         ids, comps = t.column("id").to_numpy(), t.column("comp").to_numpy()
         sig = np.frombuffer(b"".join(t.column("marks").to_pylist()), np.uint8).reshape(-1, SLOTS)

@@ -175,7 +175,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     rows = places.join(dealt.select("id", F.col("label").alias("_l"), "n", "vec", "keys"), "id").where("label = _l").drop("_l")
     shape, kind = (TABLES, PROBES), _kind(reps)
 
-    def run(key, t: pa.Table) -> pa.Table:
+    def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
         cell = key[2].as_py()
         lo, hi = key[3].as_py(), key[4].as_py()
         own, ids, n = t.column("own").to_numpy(), t.column("id").to_numpy(), t.column("n").to_numpy()
