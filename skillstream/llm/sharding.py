@@ -6,7 +6,8 @@ boundaries over all partitions and probing again only inside the cell that
 holds each target, until a boundary is within tolerance. Then rows move once.
 
 Edge cases: a null text has no bytes and checksum 0 and counts as size 1;
-repeated rows are rows of their own; a group of equal texts is split only if no
+repeated rows are rows of their own (:func:`write_shards` keeps them
+together); a group of equal texts is split only if no
 boundary beside it is within tolerance; an empty table gives an empty result;
 other columns are ignored by :func:`assign_shards` and kept by :func:`write_shards`.
 """
@@ -31,6 +32,14 @@ def _narrow(docs: DataFrame) -> DataFrame:
                        F.xxhash64(text).alias("k1"), F.xxhash64("doc_id").alias("k2")).withColumn("size", F.col("bytes") + 1).drop("bytes")
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Wholly repeated rows, told apart by a running number in their second key, so that a hot one can be split."""
+    same = ["doc_id", "text_crc32", "k1", "k2", "size"]
+    copies = rows.groupBy(*same).agg(F.count("*").alias("n"))
+    copy = copies.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    return copy.withColumn("k2", F.when(F.col("copy") > 1, F.xxhash64("k2", "copy")).otherwise(F.col("k2"))).select(*same)
+
+
 def _probe(rows: DataFrame, key: str, ranges: dict) -> dict:
     """ranges: probe → (condition, low, bits of the range, bits of a cell). Exact bytes of each cell, in one pass for all probes."""
     cell = None
@@ -103,7 +112,7 @@ def _shard(bounds: list[tuple[int, int]]):
 
 def assign_shards(docs: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot (place in the shard, from 0 without gaps)."""
-    rows = store(_narrow(docs), "shard-keys")
+    rows = store(_numbered(_narrow(docs)), "shard-keys")
     bounds = splitters(rows, shards, tolerance) if rows.take(1) else []
     rows = rows.withColumn("shard", _shard(bounds)).withColumn("one", F.lit(1).cast("long"))
     counts = {r["shard"]: r["count"] for r in rows.groupBy("shard").count().collect()}  # one row per shard
