@@ -6,6 +6,7 @@ import os
 import tempfile
 import zipfile
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -96,7 +97,7 @@ def components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
         both = cur.select("v", "u").unionByName(cur.select(F.col("u").alias("v"), F.col("v").alias("u")))
         low = both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m"))
         large = both.join(low, "v").where("u > v").select(F.col("u").alias("v"), F.col("m").alias("u"))
-        large = store(large.distinct(), f"{name}-large")
+        large = store(large, f"{name}-large")
         # Small star: a node and its smaller neighbours are linked to the smallest of them.
         low = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(low, "v").where("u <> m").select(F.col("u").alias("v"), F.col("m").alias("u"))
@@ -110,3 +111,14 @@ def components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     pairs = cur.select(F.col("v").alias("node"), F.col("u").alias("component"))
     return pairs.unionByName(pairs.select(F.col("component").alias("node"), "component").distinct())
+
+
+def spanning(adj: np.ndarray) -> np.ndarray:
+    """The least row reachable from each row of a symmetric 0/1 matrix."""
+    low = np.arange(len(adj))
+    while True:
+        new = np.minimum(low, np.where(adj, low[None, :], len(adj)).min(axis=1, initial=len(adj)))
+        new = new[new]
+        if (new == low).all():
+            return low
+        low = new

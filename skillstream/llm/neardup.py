@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, ship, store
+from .common import components, ship, spanning, store
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -193,41 +193,98 @@ def _agree(pairs: DataFrame, marks: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "ma", "mb").mapInArrow(run, "a long, b long")
 
 
-def _left_over(buckets: DataFrame, marks: DataFrame, comp: DataFrame) -> DataFrame:
-    """Candidate pairs inside buckets that still span components: (a, b), a in a lesser component than b.
+def _open_places(places: DataFrame, comp: DataFrame, columns: list[str]) -> DataFrame:
+    """(bucket, id, ...) dealt into blocks, for buckets that span components.
 
     The largest component of a bucket needs no comparison inside itself: every
-    row outside it meets all rows of the bucket, in blocks of at most BLOCK by
-    BLOCK, and only pairs whose signatures agree leave a block.
+    row outside it (side 0) meets all rows of the bucket (side 1), in blocks
+    (l, r) of about BLOCK by BLOCK rows.
     """
-    m = buckets.where("id <> lead")  # the lead of a bucket has met all its rows
-    m = m.join(comp, m["id"] == comp["node"], "left").select("bucket", "id", F.coalesce("component", "id").alias("comp"))
+    m = places.join(comp, places["id"] == comp["node"], "left").withColumn("comp", F.coalesce("component", "id")).drop("node", "component")
     sizes = m.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
     per = (sizes.groupBy("bucket").agg(F.count("*").alias("comps"), F.sum("n").alias("all"), F.max(F.struct("n", "comp")).alias("top"))
            .where("comps > 1").select("bucket", F.col("top.comp").alias("main"), F.ceil(F.col("all") / BLOCK).cast("int").alias("rb"),
                                       F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("lb")))
-    m = store(m.join(per, "bucket").join(marks, "id"), "near-open")
+    m = m.join(per, "bucket")
     block = F.xxhash64("id", F.lit(7))
     left = (m.where("comp <> main").withColumn("l", F.pmod(block, F.col("lb")).cast("int"))
             .withColumn("r", F.explode(F.sequence(F.lit(0), F.col("rb") - 1))).withColumn("side", F.lit(0)))
     right = (m.withColumn("r", F.pmod(block, F.col("rb")).cast("int"))
              .withColumn("l", F.explode(F.sequence(F.lit(0), F.col("lb") - 1))).withColumn("side", F.lit(1)))
-    cols = ["bucket", "l", "r", "side", "id", "comp", "marks"]
+    columns = ["bucket", "l", "r", "side", "id", "comp", *columns]
+    return left.select(columns).unionByName(right.select(columns))
 
+
+def _promising(places: DataFrame, marks: DataFrame, comp: DataFrame) -> DataFrame:
+    """The (bucket, id) whose signature agrees with one of another component in the bucket."""
     def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
-        side = t.column("side").to_numpy()
-        ids, comps = t.column("id").to_numpy(), t.column("comp").to_numpy()
+        side, ids, comps = (t.column(c).to_numpy() for c in ("side", "id", "comp"))
         sig = np.frombuffer(b"".join(t.column("marks").to_pylist()), np.uint8).reshape(-1, SLOTS)
         i, j = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        a, b = [], []
+        good = np.zeros(len(ids), bool)
         for x in i:
             near = j[((sig[j] == sig[x]).mean(axis=1) >= LEAST_AGREED) & (comps[j] != comps[x])]
-            a.append(np.where(comps[near] < comps[x], ids[near], ids[x]))
-            b.append(np.where(comps[near] < comps[x], ids[x], ids[near]))
-        none = [np.zeros(0, np.int64)]
-        return pa.table({"a": np.concatenate(a or none), "b": np.concatenate(b or none)})
+            good[near] = True
+            good[x] |= len(near) > 0
+        found = np.unique(ids[good])
+        return pa.table({"bucket": np.full(len(found), key[0].as_py()), "id": found})
 
-    return left.select(cols).unionByName(right.select(cols)).groupBy("bucket", "l", "r").applyInArrow(run, "a long, b long").distinct()
+    dealt = _open_places(places.join(marks, "id"), comp, ["marks"])
+    return dealt.groupBy("bucket", "l", "r").applyInArrow(run, "bucket long, id long").distinct()
+
+
+def _bags(texts: DataFrame) -> DataFrame:
+    """(id, text) → id, bag: the sorted elements of its multiset, each occurrence of a shingle an element of its own."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            bags = []
+            for t in b.column("text").to_pylist():
+                h, n = counted(shingles(t))
+                copy = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                bags.append(_mix(np.repeat(h, n) + copy.astype(np.uint64) * np.uint64(0xD1342543DE82EF95)).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(bags, pa.binary())], ["id", "bag"])
+
+    return texts.mapInArrow(run, "id long, bag binary")
+
+
+def block_overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Similarity of every left bag with every right bag: a product of incidence matrices, some columns at a time."""
+    sizes = [np.array([len(x) for x in side]) for side in (left, right)]
+    _, number = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    rows = [np.repeat(np.arange(len(n)), n) for n in sizes]
+    cols = [number[:sizes[0].sum()], number[sizes[0].sum():]]
+    both = np.intersect1d(*cols)
+    common = np.zeros((len(left), len(right)), np.float32)
+    for k in range(0, len(both), 4096):
+        some = both[k:k + 4096]
+        parts = []
+        for row, col, side in zip(rows, cols, (left, right), strict=True):
+            at = np.searchsorted(some, col)
+            hit = (at < len(some)) & (some[np.minimum(at, len(some) - 1)] == col)
+            one = np.zeros((len(side), len(some)), np.float32)
+            one[row[hit], at[hit]] = 1
+            parts.append(one)
+        common += parts[0] @ parts[1].T
+    common = common.astype(np.float64)  # whole numbers below 2^24, so exact so far
+    return common / np.maximum(1, sizes[0][:, None] + sizes[1][None, :] - common)
+
+
+def _found_in_blocks(places: DataFrame, bags: DataFrame, comp: DataFrame, similarity: float) -> DataFrame:
+    """Verified links (a, b) between components inside buckets: exact overlaps, of which a block returns a spanning set."""
+    def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+        side, ids, comps = (t.column(c).to_numpy() for c in ("side", "id", "comp"))
+        bags = [np.frombuffer(x, np.uint64) for x in t.column("bag").to_pylist()]
+        i, j = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        linked = np.zeros((len(ids), len(ids)), bool)
+        if len(i) and len(j):
+            near = block_overlaps([bags[x] for x in i], [bags[x] for x in j]) >= similarity
+            linked[np.ix_(i, j)] = near & (comps[i][:, None] != comps[j][None, :])
+        low = spanning(linked | linked.T)
+        out = np.flatnonzero(low != np.arange(len(ids)))
+        return pa.table({"a": ids[low[out]], "b": ids[out]})
+
+    dealt = _open_places(places.join(bags, "id"), comp, ["bag"])
+    return dealt.groupBy("bucket", "l", "r").applyInArrow(run, "a long, b long").where("a <> b").distinct()
 
 
 def links(docs: DataFrame, exact: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -238,14 +295,23 @@ def links(docs: DataFrame, exact: DataFrame, similarity: float = SIMILARITY) ->
     marks = signed.select("id", "marks")
     rows = signed.select(F.explode("bands").alias("bucket"), "id")
     # Buckets of one text go before anything is joined.
-    shared = rows.groupBy("bucket").agg(F.min("id").alias("lead"), F.count("*").alias("n")).where("n > 1")
-    buckets = store(rows.join(shared.select("bucket", "lead"), "bucket"), "near-buckets")
-    pairs = buckets.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+    shared = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    buckets = store(rows.join(shared, "bucket"), "near-buckets")
+    # A bucket is led by the text that meets most others: the original of a group is nearer to its copies than they are.
+    met = buckets.groupBy("id").agg(F.sum("n").alias("met"))
+    leads = (buckets.join(met, "id").groupBy("bucket").agg(F.max(F.struct("met", (-F.col("id")).alias("least"))).alias("top"))
+             .select("bucket", (-F.col("top.least")).alias("lead")))
+    buckets = store(buckets.join(leads, "bucket").where("id <> lead").select("bucket", "id", "lead", "n"), "near-led")
+    pairs = buckets.select(F.least("lead", "id").alias("a"), F.greatest("lead", "id").alias("b")).distinct()
     pairs = store(_agree(pairs, marks), "near-pairs")
     star = store(_verify(pairs, _texts(docs, exact, pairs), similarity), "near-star")
     comp = store(components(star, "near-star"), "near-comp")
-    more = store(_left_over(buckets, marks, comp), "near-more")
-    found = store(_verify(more, _texts(docs, exact, more), similarity), "near-found")
+    # The lead has met its whole bucket; with three texts or more the others have not met each other.
+    more = store(_promising(buckets.where("n > 2").select("bucket", "id"), marks, comp), "near-more")
+    if not more.take(1):
+        return comp
+    bags = store(_bags(_texts(docs, exact, more.select(F.col("id").alias("a"), F.col("id").alias("b")))), "near-bags")
+    found = store(_found_in_blocks(more, bags, comp, similarity), "near-found")
     if not found.take(1):
         return comp
     stars = comp.select(F.col("node").alias("a"), F.col("component").alias("b"))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, ship, store
+from .common import components, ship, spanning, store
 
 COSINE = 0.98
 TABLES = 5
@@ -147,17 +147,6 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _spanning(adj: np.ndarray) -> np.ndarray:
-    """The least row reachable from each row of a symmetric 0/1 matrix."""
-    low = np.arange(len(adj))
-    while True:
-        new = np.minimum(low, np.where(adj, low[None, :], len(adj)).min(axis=1, initial=len(adj)))
-        new = new[new]
-        if (new == low).all():
-            return low
-        low = new
-
-
 def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """vec_id, n_links, component_id, kept for every vector."""
     spark = vectors.sparkSession
@@ -204,7 +193,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
                 left, right = left[on], right[on]
                 if not len(left):
                     break
-        low = _spanning(near)
+        low = spanning(near)
         own_links = ids[low]
         has = count > 0
         out = np.flatnonzero(has | (low != np.arange(len(ids))))
