@@ -33,7 +33,7 @@ from .common import ship
 NONE = np.int32(2**31 - 1)
 MATRIX_BYTES = 128
 #: Most keys that a worker keeps.
-CACHED = 800_000
+CACHED = 600_000
 #: White space other than the space and the line feed.
 ODD_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 

@@ -42,7 +42,7 @@ SLOTS = BANDS * ROWS
 LEAST_AGREED = 0.66
 BLOCK = 512
 #: Most word hashes that a worker keeps.
-CACHED = 500_000
+CACHED = 300_000
 
 _HASHES: dict[bytes, int] = {}
 
