@@ -24,6 +24,8 @@ every term is tested independently.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,6 +90,44 @@ def tag_terms(text: Column | str, dictionary, *, already_lower: bool = False,
     return F.coalesce(_drop_nulls(F.array(*hits)), _empty())
 
 
+_TERM_TYPE = "array<struct<term:string,runs:array<string>,lower:string,pattern:string>>"
+
+
+def _with_tags_array(df: DataFrame, text_col: str, terms: list[str], out_col: str,
+                     boundary: str) -> DataFrame:
+    """The hybrid's test as one filter over an array of terms: the plan stays
+    the same size however many terms there are (no generated branch per term),
+    so it serves large dictionaries in batch and in streams.
+
+    A term passes when all its word runs are tokens of the text; one that is
+    not a single token must also match its pattern (or, without any word
+    character, occur in the text first).
+    """
+    entries, vocab = [], set()
+    for t in terms:
+        runs = word_runs(t.lower())
+        vocab.update(runs)
+        single = is_single_token(t.lower())
+        entries.append({"term": t, "runs": runs, "lower": t.lower(),
+                        "pattern": None if single else term_pattern(t, boundary)})
+    table = F.from_json(F.lit(json.dumps(entries)), _TERM_TYPE)  # folded into one literal
+    words = F.from_json(F.lit(json.dumps(sorted(vocab))), "array<string>")
+    staged = df.withColumn(_LOWER, F.lower(F.col(text_col)))
+    staged = staged.withColumn(_FOUND, F.array_intersect(words, token_runs(F.col(_LOWER))))
+    lt, found = F.col(_LOWER), F.col(_FOUND)
+
+    def hit(t: Column) -> Column:
+        all_runs = F.size(F.array_except(t["runs"], found)) == 0
+        # the first run is looked up alone: it decides almost every term
+        first = F.coalesce(F.array_contains(found, F.try_element_at(t["runs"], F.lit(1))), F.lit(True))
+        exact = t["pattern"].isNull() | (lt.contains(t["lower"]) & F.regexp_like(lt, t["pattern"]))
+        return first & all_runs & exact
+
+    hits = F.transform(F.filter(table, hit), lambda t: t["term"])
+    out = staged.withColumn(out_col, F.when(lt.isNull(), _empty()).otherwise(hits))
+    return out.drop(_LOWER, _FOUND)
+
+
 _LOWER = "__tag_lower"
 _FOUND = "__tag_found"
 _ENC = "__tag_enc"
@@ -103,7 +143,8 @@ def with_tags(df: DataFrame, text_col: str, dictionary, out_col: str = "skills_e
     tokenised exactly once per row (a nested column expression would be
     re-evaluated by every term that references it); single-token terms are
     then answered from the small hit array and only multi-run terms run
-    their regex. ``regex``: every term by regex (``tag_terms``).
+    their regex. ``regex``: every term by regex (``tag_terms``). ``array``:
+    the hybrid's test over an array of terms, for large dictionaries.
 
     ``verify`` (hybrid, strict boundary): how a pre-screened multi-run term
     is confirmed — ``regex`` (default; each pattern is a literal compiled
@@ -116,6 +157,8 @@ def with_tags(df: DataFrame, text_col: str, dictionary, out_col: str = "skills_e
     terms = as_terms(dictionary)
     if method == "regex" or not terms:
         return df.withColumn(out_col, tag_terms(text_col, terms, boundary=boundary))
+    if method == "array":
+        return _with_tags_array(df, text_col, terms, out_col, boundary)
     if method != "hybrid":
         raise ValueError(f"unknown tagging method {method!r}")
     single = {t for t in terms if is_single_token(t.lower())}

@@ -10,7 +10,6 @@ matched in one job instead of one scan per alert.
 from __future__ import annotations
 
 import datetime as _dt
-import json
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -42,24 +41,24 @@ def alerts_frame(spark: SparkSession, alerts: list[dict]) -> DataFrame:
     for i, a in enumerate(alerts):
         rows.append((i, a.get("name"), a.get("email"), a.get("keywords"), a.get("locations"),
                      a.get("seniority_levels"), a.get("min_skills_count"), a.get("enabled")))
-    schema = T.StructType([T.StructField("alert_id", T.IntegerType(), False)] + ALERT_SCHEMA.fields)
+    schema = T.StructType([T.StructField("alert_id", T.LongType(), False)] + ALERT_SCHEMA.fields)
     return spark.createDataFrame(rows, schema)
 
 
-def alerts_from_config(config: DataFrame, source: Column | None = None) -> DataFrame:
+def alerts_from_config(config: DataFrame) -> DataFrame:
     """Config rows (``ALERT_CONFIG_SCHEMA``) -> one row per alert with ``alert_id``.
 
-    Without ``source`` the id is the alert's position in its document; with
-    a ``source`` column (e.g. the file path) it is a hash of (source,
-    position), so alerts read from several files never share an id.
+    The id is a hash of what the alert says (name, address and criteria, not
+    ``enabled``): it stays the same when alerts are inserted before it, its
+    file moves, or it is switched off and on. An alert that occurs twice is
+    one alert, enabled if one of them is.
     """
-    cols = [F.posexplode("alerts").alias("pos", "a")]
-    if source is not None:
-        cols.append(source.alias("__src"))
-    exploded = config.select(*cols)
-    alert_id = (F.col("pos").cast("int") if source is None
-                else F.xxhash64(F.col("__src"), F.col("pos")))
-    return exploded.select(alert_id.alias("alert_id"), "a.*")
+    alerts = config.select(F.explode("alerts").alias("a")).select("a.*")
+    said = [f.name for f in ALERT_SCHEMA.fields if f.name != "enabled"]
+    enabled = F.max(F.coalesce("enabled", F.lit(True)))
+    return (alerts.withColumn("alert_id", F.xxhash64(*said))
+            .groupBy("alert_id").agg(*[F.first(c).alias(c) for c in said], enabled.alias("enabled"))
+            .select("alert_id", *[f.name for f in ALERT_SCHEMA.fields]))
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
@@ -70,13 +69,12 @@ def read_alerts(spark: SparkSession, path: str) -> DataFrame:
     """
     try:
         cfg = spark.read.schema(ALERT_CONFIG_SCHEMA).option("multiLine", "true").json(path)
-        cfg = cfg.select("*", F.col("_metadata.file_path").alias("__file"))
+        cfg = cfg.select("*")
     except Exception as exc:  # path does not exist
         if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
             raise
-        cfg = spark.createDataFrame([], ALERT_CONFIG_SCHEMA).withColumn(
-            "__file", F.lit(None).cast("string"))
-    return alerts_from_config(cfg, F.col("__file"))
+        cfg = spark.createDataFrame([], ALERT_CONFIG_SCHEMA)
+    return alerts_from_config(cfg)
 
 
 def read_alert_settings(spark: SparkSession, path: str) -> DataFrame:
@@ -168,7 +166,7 @@ def _criteria(p: str = "p", a: str = "a", skip: tuple = ()) -> Column:
 
 
 def _out(p: str = "p", a: str = "a") -> list[Column]:
-    return [F.col(f"{a}.alert_id"), F.col(f"{a}.name").alias("alert_name"),
+    return [F.col(f"{a}.alert_id").cast("bigint").alias("alert_id"), F.col(f"{a}.name").alias("alert_name"),
             *[F.col(f"{p}.{c}") for c in ALERT_HIT_COLS]]
 
 
@@ -270,7 +268,7 @@ def match_alerts(postings: DataFrame, alerts: DataFrame, since=None,
         else:
             parts.append(_theta_match(postings, group, n, broadcast_limit))
     if not parts:
-        return postings.limit(0).select(F.lit(None).cast("int").alias("alert_id"),
+        return postings.limit(0).select(F.lit(None).cast("bigint").alias("alert_id"),
                                         F.lit(None).cast("string").alias("alert_name"),
                                         *ALERT_HIT_COLS)
     out = parts[0]
@@ -280,7 +278,10 @@ def match_alerts(postings: DataFrame, alerts: DataFrame, since=None,
 
 
 def hit_order() -> list[Column]:
-    return [F.desc_nulls_last("processed_timestamp"), F.asc_nulls_last("job_id")]
+    # Rows of one micro-batch share their stamp and ids may repeat: the content
+    # decides last, so only identical rows are interchangeable.
+    return [F.desc_nulls_last("processed_timestamp"), F.asc_nulls_last("job_id"),
+            F.xxhash64(*ALERT_HIT_COLS)]
 
 
 TOP_HITS_FAN_IN = 256
@@ -342,12 +343,3 @@ def digest_cards(digest: DataFrame) -> DataFrame:
     """Digest cards flattened to one row per (alert, card)."""
     return (digest.select("alert_id", "alert_name", F.inline("cards"))
                   .withColumnRenamed("rank", "card_rank"))
-
-
-def load_alert_config_text(text: str) -> list[dict]:
-    """Parse an alert config document held as text (small, driver-side)."""
-    try:
-        cfg = json.loads(text)
-    except json.JSONDecodeError:
-        return []
-    return list(cfg.get("alerts") or [])

@@ -111,7 +111,7 @@ def seniority_options(df: DataFrame) -> DataFrame:
     opts = (df.select(F.col("seniority").alias("value")).where(F.col("value").isNotNull())
               .distinct().select(F.col("value").alias("label"), "value"))
     head = df.sparkSession.range(1).select(F.lit("All").alias("label"), F.lit("all").alias("value"))
-    return head.unionByName(opts)
+    return head.unionByName(opts).orderBy(F.col("value") != "all", "label")
 
 
 def skill_cooccurrence(df: DataFrame, k: int = 10, col: str = "skills_extracted") -> DataFrame:
@@ -145,8 +145,14 @@ def listing(df: DataFrame) -> DataFrame:
     return df.select(*LISTING_COLS)
 
 
+def _listing_tie() -> Column:
+    return F.xxhash64(*LISTING_COLS, "posted_date")
+
+
 def listing_order() -> list[Column]:
-    return [F.desc_nulls_last("posted_date"), F.asc_nulls_last("job_id")]
+    """Newest first; ids may repeat or be missing, so the content decides last
+    and only identical rows are interchangeable."""
+    return [F.desc_nulls_last("posted_date"), F.asc_nulls_last("job_id"), _listing_tie()]
 
 
 def listing_page(df: DataFrame, page: int = 0, size: int = 10) -> DataFrame:
@@ -158,16 +164,38 @@ def listing_page(df: DataFrame, page: int = 0, size: int = 10) -> DataFrame:
     return ordered.limit(size).select(*LISTING_COLS)
 
 
-def listing_after(df: DataFrame, after_date, after_job_id: str, size: int = 10) -> DataFrame:
-    """Keyset page: the ``size`` rows following (after_date, after_job_id)."""
-    d, j = F.col("posted_date"), F.col("job_id")
-    if after_date is None:
-        cond = d.isNull() & (j > F.lit(after_job_id))
-    else:
-        ad = F.lit(str(after_date)).cast("date")
-        cond = d.isNull() | (d < ad) | ((d == ad) & (j > F.lit(after_job_id)))
-    return (df.where(cond).select(*LISTING_COLS, "posted_date")
-              .orderBy(*listing_order()).limit(size).select(*LISTING_COLS))
+def listing_after(df: DataFrame, cursor: dict | None = None, size: int = 10) -> DataFrame:
+    """Keyset page: the ``size`` rows after ``cursor`` (None: from the start),
+    with ``posted_date`` and ``tie`` for ``next_cursor``."""
+    rows = df.select(*LISTING_COLS, "posted_date").withColumn("tie", _listing_tie())
+    shown = 0
+    if cursor is not None:
+        date, job, tie, shown = (cursor[k] for k in ("posted_date", "job_id", "tie", "shown"))
+        d, j = F.col("posted_date"), F.col("job_id")
+        if date is None:
+            later, same_date = F.lit(False), d.isNull()
+        else:
+            day = F.lit(str(date)).cast("date")
+            later, same_date = d.isNull() | (d < day), d == day
+        after = F.lit(False) if job is None else j.isNull() | (j > F.lit(job))
+        rows = rows.where(later | (same_date & (after | (j.eqNullSafe(F.lit(job)) & (F.col("tie") >= F.lit(tie))))))
+    ordered = rows.orderBy(F.desc_nulls_last("posted_date"), F.asc_nulls_last("job_id"), "tie")
+    return (ordered.offset(shown) if shown else ordered).limit(size)
+
+
+def next_cursor(page: list, cursor: dict | None = None) -> dict | None:
+    """The cursor after the collected rows of a page; None after the last page.
+
+    Identical rows share their place in the order: ``shown`` is how many of
+    the last row's kind have been shown, over all pages so far.
+    """
+    if not page:
+        return None
+    key = {k: page[-1][k] for k in ("posted_date", "job_id", "tie")}
+    alike = sum(all(r[k] == key[k] for k in key) for r in page)
+    if cursor is not None and alike == len(page) and all(cursor[k] == key[k] for k in key):
+        alike += cursor["shown"]
+    return {**key, "shown": alike}
 
 
 def listing_by_seniority(df: DataFrame, seniority: str = "all") -> DataFrame:

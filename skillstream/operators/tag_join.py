@@ -8,8 +8,8 @@ the dictionary size:
    hashes), safe to recompute after an executor loss;
 2. each text is tokenised into its distinct word-character runs, which
    are equi-joined with the dictionary on the term's first word run
-   (broadcast when the dictionary size — known on the driver — is within
-   ``BROADCAST_TERMS``, else a shuffled join);
+   (broadcast when the dictionary's estimated bytes are within
+   ``BROADCAST_BYTES``, else a shuffled join);
 3. a single-token term that joins is a hit; a multi-run term ("c++",
    "apache spark") that joins is only a candidate and is verified against
    its own row's run-encoded text by a substring test (exact, no regex;
@@ -39,7 +39,10 @@ from ..functions.dictionary import (MARK, MARK_SUB, NON_WORD_CLASS as NON_WORD,
                                     term_pattern, word_runs)
 from ..functions.tagging import run_encoded, term_hit, text_tokens
 
-BROADCAST_TERMS = 1_000_000
+# Largest dictionary sent whole to every task, in estimated bytes: per term its
+# spelling, first run, pattern and needle (about eight times its text) and row overhead.
+BROADCAST_BYTES = 64 << 20
+TERM_OVERHEAD = 200
 TEXT_FAN_IN = 256
 
 _RK, _LT, _TOK, _ENC = "__tag_rk", "__tag_lower", "__tag_tok", "__tag_enc"
@@ -66,7 +69,7 @@ def content_key(text: Column, row_key: Column | None = None) -> Column:
                     F.coalesce(F.length(text), F.lit(-1)).alias("n"))
 
 
-def pattern_column(term: Column) -> Column:
+def pattern_column(term: Column, boundary: str = "strict") -> Column:
     """``dictionary.term_pattern`` computed by Spark for a column of terms
     (used when the dictionary is itself a table)."""
     t = F.lower(term)
@@ -74,6 +77,10 @@ def pattern_column(term: Column) -> Column:
     # escaping the four that are special inside a class
     lit = F.regexp_replace(t, r"([^\p{L}\p{N} ])", "[$1]")
     lit = F.regexp_replace(lit, r"\[([\^\\\[\]])\]", "[\\\\$1]")
+    if boundary == "symbol_aware":
+        return F.concat(F.lit("(?:^|" + NON_WORD + ")"), lit, F.lit("(?:" + NON_WORD + "|$)"))
+    if boundary != "strict":
+        raise ValueError(f"unknown boundary {boundary!r}")
     word = r"^[\p{L}\p{N}_]"
     head = F.when(t.rlike(word), F.lit("(?:^|" + NON_WORD + ")")).otherwise(F.lit(WORD_CLASS))
     tail = F.when(t.rlike(r"[\p{L}\p{N}_]$"), F.lit("(?:" + NON_WORD + "|$)")).otherwise(
@@ -92,35 +99,40 @@ def needle_column(term: Column) -> Column:
 
 
 def dictionary_table(dictionary: DataFrame, term_col: str = "skill",
-                     ordinal_col: str = "ordinal") -> DataFrame:
+                     ordinal_col: str = "ordinal", boundary: str = "strict") -> DataFrame:
     """A dictionary table -> (ordinal, term, first_run, single, pattern, needle, has_word).
 
-    The ordinal column fixes the output order of matched terms."""
+    The ordinal column fixes the output order of matched terms; a term
+    listed more than once keeps its smallest ordinal. The needle is the
+    strict boundary's test; with another boundary the pattern decides."""
     if ordinal_col not in dictionary.columns:
         raise ValueError(f"dictionary table needs an {ordinal_col!r} column (output order)")
-    t = F.col(term_col)
+    dictionary = (dictionary.where(F.col(term_col).isNotNull() & (F.col(term_col) != ""))
+                  .groupBy(F.col(term_col).alias("term"))
+                  .agg(F.min(F.col(ordinal_col)).cast("int").alias("ordinal")))
+    t = F.col("term")
     lt = F.lower(t)
-    ordinal = F.col(ordinal_col)
     return dictionary.select(
-        ordinal.cast("int").alias("ordinal"), t.alias("term"),
+        "ordinal", "term",
         F.regexp_extract(lt, WORD_CLASS + "+", 0).alias("first_run"),
         lt.rlike("^" + WORD_CLASS + "+$").alias("single"),
-        pattern_column(t).alias("pattern"),
-        needle_column(t).alias("needle"),
+        pattern_column(t, boundary).alias("pattern"),
+        (needle_column(t) if boundary == "strict" else F.lit(None).cast("string")).alias("needle"),
         lt.rlike(WORD_CLASS).alias("has_word"))
 
 
 def tag_terms_join(df: DataFrame, text_col: str, dictionary, out_col: str = "skills_extracted",
-                   row_key: str | None = None) -> DataFrame:
+                   row_key: str | None = None, boundary: str = "strict") -> DataFrame:
     """``dictionary``: a list of terms / (term, category) pairs, or a table
     with ``skill`` and ``ordinal`` columns (output order = ordinal)."""
     spark = df.sparkSession
     if isinstance(dictionary, DataFrame):
-        table = dictionary_table(dictionary)
+        table = dictionary_table(dictionary, boundary=boundary)
         dict_df = table.where("has_word").drop("has_word")
         # terms without any word character are few by nature (symbols only)
         loose = [(r.ordinal, r.term) for r in table.where(~F.col("has_word")).collect()]
-        n_terms = dictionary.count()
+        n_terms, n_bytes = table.agg(F.count(F.lit(1)), F.coalesce(
+            F.sum(F.octet_length("term")), F.lit(0))).first()
         need_plain = table.where(~F.col("single") & F.col("needle").isNull()).limit(1).count() > 0
     else:
         terms = as_terms(dictionary)
@@ -128,15 +140,16 @@ def tag_terms_join(df: DataFrame, text_col: str, dictionary, out_col: str = "ski
         for i, t in enumerate(terms):
             tl = t.lower()
             if has_word_char(tl):
-                rows.append((i, t, _first_word_run(tl), is_single_token(tl), term_pattern(t),
-                             run_needle(t)))
+                rows.append((i, t, _first_word_run(tl), is_single_token(tl),
+                             term_pattern(t, boundary),
+                             run_needle(t) if boundary == "strict" else None))
             else:
                 loose.append((i, t))
         dict_df = spark.createDataFrame(rows, _DICT_SCHEMA)
-        n_terms = len(rows)
-        need_plain = any(not r[3] and r[5] is None for r in rows) or any(
-            run_needle(t) is None for _, t in loose)
-    if n_terms <= BROADCAST_TERMS:
+        n_terms, n_bytes = len(rows), sum(len(r[1].encode()) for r in rows)
+        need_plain = any(not r[3] and r[5] is None for r in rows)
+    need_plain = need_plain or any(boundary != "strict" or run_needle(t) is None for _, t in loose)
+    if n_terms * TERM_OVERHEAD + 8 * n_bytes <= BROADCAST_BYTES:
         dict_df = F.broadcast(dict_df)
 
     key = content_key(F.col(text_col), F.col(row_key) if row_key else None)
@@ -171,8 +184,9 @@ def tag_terms_join(df: DataFrame, text_col: str, dictionary, out_col: str = "ski
             .agg(F.array_sort(F.collect_set(F.struct("ordinal", "term"))).alias("__tag_hits")))
     if loose:
         def loose_hit(t):
-            n = run_needle(t)
-            return F.col(_ENC).contains(F.lit(n)) if n is not None else term_hit(F.col(_LT), t)
+            n = run_needle(t) if boundary == "strict" else None
+            return (F.col(_ENC).contains(F.lit(n)) if n is not None
+                    else term_hit(F.col(_LT), t, boundary))
         loose_hits = (one_text.select(_RK, F.array_compact(F.array(*[
             F.when(loose_hit(t), F.struct(F.lit(i).alias("ordinal"), F.lit(t).alias("term")))
             for i, t in loose])).alias("__tag_loose"))

@@ -100,7 +100,7 @@ def _alert_values() -> str:
 def _matches(since: bool = True) -> str:
     where = f"p.processed_timestamp > {SINCE} AND " if since else ""
     return f"""
-SELECT CAST(a.alert_id AS INTEGER) AS alert_id, a.name AS alert_name, p.job_id, p.title, p.company,
+SELECT CAST(a.alert_id AS BIGINT) AS alert_id, a.name AS alert_name, p.job_id, p.title, p.company,
        p.location, p.experience, p.seniority, p.skills_count, p.skills_extracted, p.link,
        p.posted_date, p.processed_timestamp
 FROM enriched p, ({_alert_values()}) a
@@ -227,8 +227,10 @@ FROM ({_top50()}) r""")
     q["decode_json"] = f"WITH raw AS ({RAW_POSTINGS}) SELECT {raw_cols}, kafka_timestamp FROM raw"
     q["encode_json"] = (f"WITH raw AS ({RAW_POSTINGS}) SELECT job_id AS key, to_json(struct_pack("
                         + ", ".join(f"{c} := {c}" for c in raw_cols.split(", ")) + "))::VARCHAR AS value FROM raw")
-    q["publish_stats"] = ("SELECT count(*) AS total, count(*) AS sent, count(*) - count(*) AS failed, "
-                          "CAST(CASE WHEN count(*) > 0 THEN 100.0 ELSE 0.0 END AS DOUBLE) AS success_pct FROM documents")
+    fits = f"strlen(value) <= {P.MAX_MESSAGE_BYTES}"
+    q["publish_stats"] = (f"SELECT count(*) AS total, count(*) FILTER ({fits}) AS sent, count(*) FILTER (NOT {fits}) AS failed, "
+                          f"round(CAST(count(*) FILTER ({fits}) AS DOUBLE) * 100 / count(*), 1) AS success_pct "
+                          f"FROM ({q['encode_json']}) m")
     q["postings_json"] = f"WITH raw AS ({RAW_POSTINGS}) SELECT {raw_cols} FROM raw"
     q["ingest_stream"] = _with(
         "SELECT * EXCLUDE (processed_timestamp, kafka_timestamp) FROM enriched")

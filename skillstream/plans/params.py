@@ -24,3 +24,6 @@ TEST_ALERTS = [
      "seniority_levels": [], "min_skills_count": 0, "enabled": True},
 ]
 ALERT_A = TEST_ALERTS[0]
+
+# largest message that the publish run may send
+MAX_MESSAGE_BYTES = 4_000

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -56,13 +55,15 @@ def build_session(master: str | None = None, app_name: str = "skillstream",
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster this must already be set to shared storage. Only when it
-    is unset (unit tests, a laptop) do we create a local one.
+    On a cluster it must be set to shared storage. Only a local session
+    (unit tests, a laptop) gets one of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="skillstream-ck-")
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
@@ -70,9 +71,8 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder name under the shared checkpoint root."""
-    root = checkpoint_root(spark)
-    path = f"{root}/skillstream/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.removeprefix("file:"), exist_ok=True)
+    """A fresh, unique folder under the shared checkpoint root, made in that root's file system."""
+    path = f"{checkpoint_root(spark)}/skillstream/{name}-{uuid.uuid4().hex[:12]}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
     return path

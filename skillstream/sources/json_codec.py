@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import POSTING_COLS, POSTING_SCHEMA
@@ -63,15 +63,24 @@ def read_postings_json(spark: SparkSession, path: str, multi_line: bool = True)
     return df.select(*POSTING_COLS)
 
 
-def publish(df: DataFrame, target: str, fmt: str = "text", options: dict | None = None) -> None:
-    """Publish postings as JSON messages.
+def publish(df: DataFrame, target: str, fmt: str = "text", options: dict | None = None,
+            max_message_bytes: int | None = None) -> dict:
+    """Publish postings as JSON messages (S4); returns this run's counts.
 
     ``fmt``: ``text`` (JSON lines, one file per partition), ``json``,
     ``parquet`` (envelope columns), or ``kafka`` (``target`` = topic; needs
     the connector and ``kafka.bootstrap.servers`` in ``options``). Each
-    partition is one unit of sending; no global numbering of rows.
+    partition is one unit of sending; no global numbering of rows. A message
+    above ``max_message_bytes`` (brokers refuse large ones) counts as failed
+    and is not sent. The counts (total, sent) are observed while writing, so
+    they cover this run only, whatever the target already holds.
     """
     env = encode_postings(df)
+    fits = (F.lit(True) if max_message_bytes is None
+            else F.octet_length("value") <= F.lit(max_message_bytes))
+    counts = Observation()
+    env = env.observe(counts, F.count(F.lit(1)).alias("total"),
+                      F.coalesce(F.sum(fits.cast("long")), F.lit(0)).alias("sent")).where(fits)
     opts = dict(options or {})
     if fmt == "text":
         env.select("value").write.mode("append").options(**opts).text(target)
@@ -79,15 +88,13 @@ def publish(df: DataFrame, target: str, fmt: str = "text", options: dict | None
         env.write.format("kafka").options(**opts).option("topic", target).save()
     else:
         env.write.mode("append").format(fmt).options(**opts).save(target)
+    return dict(counts.get)
 
 
-def publish_stats(total: DataFrame, delivered: DataFrame) -> DataFrame:
-    """Sent / failed / success rate (1 decimal) of a publish run: ``total``
-    is what was to be sent, ``delivered`` what the sink holds."""
-    t = total.agg(F.count(F.lit(1)).alias("total"))
-    sent = delivered.agg(F.count(F.lit(1))).scalar()
-    return (t.select("total", sent.alias("sent"))
-             .select("total", "sent", (F.col("total") - F.col("sent")).alias("failed"),
-                     F.when(F.col("total") > 0,
-                            F.round(F.col("sent") * 100.0 / F.col("total"), 1))
-                      .otherwise(F.lit(0.0)).alias("success_pct")))
+def publish_stats(spark: SparkSession, counts: dict) -> DataFrame:
+    """Sent / failed / success rate (1 decimal) of one publish run."""
+    t = spark.range(1).select(F.lit(int(counts["total"])).cast("long").alias("total"),
+                              F.lit(int(counts["sent"])).cast("long").alias("sent"))
+    return t.select("total", "sent", (F.col("total") - F.col("sent")).alias("failed"),
+                    F.when(F.col("total") > 0, F.round(F.col("sent") * 100.0 / F.col("total"), 1))
+                     .otherwise(F.lit(0.0)).alias("success_pct"))

@@ -54,26 +54,36 @@ def table_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(jpath).getLength())
 
 
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 def compact_table(spark: SparkSession, src: str, dst: str, fmt: str = "parquet",
                   target_file_bytes: int = 256 << 20, partition_col: str | None = None,
-                  partition_value=None) -> str:
+                  partition_value=None, partition_by: list[str] | None = None) -> str:
     """Rewrite a table (or one partition of it) into files of about
     ``target_file_bytes`` in a new folder ``dst`` and return ``dst``.
 
     A stream that appends every few seconds leaves many small files; this
-    job merges them. The file count comes from the stored size (metadata
-    only); rows are spread round-robin, which Spark makes deterministic on
-    retry by sorting before the shuffle. Readers switch to ``dst`` once the
-    write has committed; the source is left untouched.
+    job merges them. ``partition_by``: the table's partition columns, kept as
+    its layout. ``partition_col`` with ``partition_value`` (None: the NULL
+    partition) merges that partition only, into the same partition of
+    ``dst``, so the column is there when ``dst`` is read. The file count
+    comes from the stored size (metadata only). Readers switch to ``dst``
+    once the write has committed; the source is left untouched.
     """
-    src_path = src
-    df = spark.read.format(fmt).load(src_path)
+    df = spark.read.format(fmt).load(src)
     if partition_col is not None:
-        part_dir = f"{src.rstrip('/')}/{partition_col}={partition_value}"
-        n_bytes = table_bytes(spark, part_dir)
-        df = df.where(F.col(partition_col) == F.lit(partition_value)).drop(partition_col)
+        name = f"{partition_col}={NULL_PARTITION if partition_value is None else partition_value}"
+        n_files = max(1, -(-table_bytes(spark, f"{src.rstrip('/')}/{name}") // target_file_bytes))
+        value = F.lit(partition_value).cast(df.schema[partition_col].dataType)
+        part = df.where(F.col(partition_col).eqNullSafe(value)).drop(partition_col)
+        part.repartition(n_files).write.format(fmt).mode("overwrite").save(f"{dst.rstrip('/')}/{name}")
+        return dst
+    n_files = max(1, -(-table_bytes(spark, src) // target_file_bytes))
+    if partition_by:
+        # rows of a partition meet in few tasks; AQE splits large ones and merges small ones
+        spread = df.hint("rebalance", *[F.col(c) for c in partition_by])
+        spread.write.format(fmt).mode("overwrite").partitionBy(*partition_by).save(dst)
     else:
-        n_bytes = table_bytes(spark, src_path)
-    n_files = max(1, -(-n_bytes // target_file_bytes))
-    df.repartition(n_files).write.format(fmt).mode("overwrite").save(dst)
+        df.repartition(n_files).write.format(fmt).mode("overwrite").save(dst)
     return dst

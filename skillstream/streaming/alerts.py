@@ -21,8 +21,9 @@ from ..operators.alerts import alert_digest, match_alerts
 
 
 def read_posting_stream(spark: SparkSession, table_path: str, schema,
-                        max_files_per_trigger: int | None = None) -> DataFrame:
-    r = spark.readStream.format("parquet").schema(schema)
+                        max_files_per_trigger: int | None = None,
+                        fmt: str = "parquet") -> DataFrame:
+    r = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.load(table_path)

@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.enrich import enrich
-from ..schema import POSTING_COLS
 from ..sources.json_codec import decode_postings
 
 ENVELOPE_SCHEMA = T.StructType([T.StructField("value", T.StringType()),
@@ -55,20 +54,21 @@ def enriched_stream(envelopes: DataFrame, dictionary=None,
 
     ``dedupe_within`` (opt-in, e.g. ``"1 hour"``): drop a message that
     repeats one seen within that delay of envelope time (producer retries).
-    A repeat is the same ``job_id`` with the same payload (a hash of all
-    posting fields): ids are random and may collide, and two different
-    postings that share an id are both kept. Off by default: postings are
-    never de-duplicated, as in the source system. The state is bounded by
-    the watermark.
+    A repeat has the same message text (by a 256-bit hash); ids may collide,
+    so two different messages that share an id are both kept. Messages
+    without a ``job_id`` (malformed ones among them) are never dropped and
+    keep no state. A message that arrives later than the watermark is
+    dropped with its state. Off by default: postings are never
+    de-duplicated, as in the source system.
     """
-    decoded = decode_postings(envelopes)
     if dedupe_within:
-        payload = F.xxhash64(*[F.col(c) for c in POSTING_COLS])
-        decoded = (decoded.withColumn("__payload", payload)
-                          .withWatermark("kafka_timestamp", dedupe_within)
-                          .dropDuplicatesWithinWatermark(["job_id", "__payload"])
-                          .drop("__payload"))
-    return enrich(decoded, dictionary)
+        text = F.col("value").cast("string")
+        has_id = F.get_json_object(text, "$.job_id").isNotNull()
+        known = (envelopes.where(has_id).withColumn("__message", F.sha2(text, 256))
+                 .withWatermark("timestamp", dedupe_within)
+                 .dropDuplicatesWithinWatermark(["__message"]).drop("__message"))
+        envelopes = known.unionByName(envelopes.where(~has_id))
+    return enrich(decode_postings(envelopes), dictionary)
 
 
 def start_ingest(enriched: DataFrame, table_path: str, checkpoint: str, fmt: str = "parquet",
@@ -90,10 +90,14 @@ def run_ingest(spark: SparkSession, source_fmt: str, source: str | None, table_p
                checkpoint: str, dictionary=None, options: dict | None = None,
                max_files_per_trigger: int | None = None, available_now: bool = True,
                partition_by: list[str] | None = None,
-               dedupe_within: str | None = None) -> StreamingQuery:
+               dedupe_within: str | None = None, fmt: str = "parquet",
+               processing_time: str | None = "10 seconds",
+               max_offsets_per_trigger: int | None = None) -> StreamingQuery:
     """R1 end to end; with ``available_now`` it processes what is there and stops."""
-    env = read_envelopes(spark, source_fmt, source, options, max_files_per_trigger)
+    env = read_envelopes(spark, source_fmt, source, options, max_files_per_trigger,
+                         max_offsets_per_trigger)
     q = start_ingest(enriched_stream(env, dictionary, dedupe_within), table_path, checkpoint,
+                     fmt=fmt, processing_time=processing_time,
                      available_now=available_now, partition_by=partition_by)
     if available_now:
         q.awaitTermination()

@@ -9,7 +9,7 @@ from skillstream.operators import alerts as AL
 from skillstream.plans import params as P
 from skillstream.plans.catalog import posting_table
 
-from conftest import SF01
+from conftest import SF001, SF01
 
 
 def _key(rows):
@@ -91,10 +91,26 @@ def test_read_alert_config(spark, scratch):
     assert AL.read_alerts(spark, os.path.join(d, "bad.json")).count() == 0
     s = AL.read_alert_settings(spark, os.path.join(d, "alerts.json")).first()
     assert s.check_interval_minutes == 15 and s.smtp_config.port == 587
-    # a folder of config files: ids stay unique across files
+    # a folder of config files: an alert found in two files is one alert
     os.makedirs(os.path.join(d, "many"))
     for i in range(2):
         with open(os.path.join(d, "many", f"a{i}.json"), "w") as f:
             json.dump(cfg, f)
     many = AL.read_alerts(spark, os.path.join(d, "many"))
-    assert many.count() == 4 and many.select("alert_id").distinct().count() == 4
+    ids = {r.alert_id for r in many.collect()}
+    assert many.count() == 2 and ids == {r.alert_id for r in a.collect()}
+    # its id stays when alerts come before it, or when it is switched off
+    moved = {"alerts": [{"name": "new", "email": "n@x"}] + [dict(x, enabled=False) for x in cfg["alerts"]]}
+    with open(os.path.join(d, "moved.json"), "w") as f:
+        json.dump(moved, f)
+    assert ids < {r.alert_id for r in AL.read_alerts(spark, os.path.join(d, "moved.json")).collect()}
+
+
+def test_top_hits_do_not_depend_on_partitioning(spark):
+    from skillstream.schema import ALERT_HIT_COLS
+    t = posting_table(spark, SF001).limit(120).withColumn("job_id", F.lit("same"))
+    t = t.withColumn("processed_timestamp", F.lit("2024-01-01").cast("timestamp"))
+    m = t.select(F.lit(1).cast("bigint").alias("alert_id"), F.lit("x").alias("alert_name"), *ALERT_HIT_COLS)
+    m = spark.createDataFrame(m.collect(), m.schema)
+    got = [sorted(tuple(map(str, r)) for r in AL.top_hits(m.repartition(n), 50).collect()) for n in (1, 3, 8)]
+    assert got[0] == got[1] == got[2] and len(got[0]) == 50

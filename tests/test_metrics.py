@@ -68,8 +68,9 @@ def test_keyset_paging_equals_offset_paging(spark):
     t = posting_table(spark, SF01)
     p0 = M.listing_page(t, 0, 10).collect()
     p1 = M.listing_page(t, 1, 10).collect()
-    last = t.where(F.col("job_id") == p0[-1].job_id).select("posted_date").first().posted_date
-    after = M.listing_after(t, last, p0[-1].job_id, 10).collect()
+    first = M.listing_after(t, None, 10).collect()
+    assert [r.job_id for r in first] == [r.job_id for r in p0]
+    after = M.listing_after(t, M.next_cursor(first), 10).collect()
     assert [r.job_id for r in after] == [r.job_id for r in p1]
 
 
@@ -95,12 +96,25 @@ def test_keyset_paging_walks_whole_listing_including_null_dates(spark):
     ordered = [r.job_id for r in t.orderBy(F.desc_nulls_last("posted_date"),
                                            F.asc_nulls_last("job_id")).collect()]
     dates = {r.job_id: r.posted_date for r in t.select("job_id", "posted_date").collect()}
-    walked, last = [], None
-    while True:
-        page = (M.listing_page(t, 0, 25) if last is None
-                else M.listing_after(t, dates[last], last, 25)).collect()
-        if not page:
-            break
+    walked, cursor = [], None
+    while page := M.listing_after(t, cursor, 25).collect():
         walked += [r.job_id for r in page]
-        last = page[-1].job_id
+        cursor = M.next_cursor(page, cursor)
     assert walked == ordered and any(dates[j] is None for j in walked)
+
+
+def test_keyset_paging_loses_no_row_with_repeated_or_missing_ids(spark):
+    base = posting_table(spark, "/root/testdata/sf0.001").limit(1).drop("job_id", "posted_date")
+    keys = [("a", "2024-01-02"), ("a", "2024-01-02"), ("a", "2024-01-02"), (None, "2024-01-02"),
+            (None, "2024-01-02"), ("b", "2024-01-01"), (None, None), ("c", None), ("c", None), (None, None)]
+    k = spark.createDataFrame([(j, d, i // 2) for i, (j, d) in enumerate(keys)], "job_id string, d string, v int")
+    t = (k.crossJoin(base).withColumn("posted_date", F.col("d").cast("date"))
+         .withColumn("title", F.col("v").cast("string")))
+    whole = [(r.job_id, r.title) for r in M.listing_page(t, 0, 100).collect()]
+    assert len(whole) == len(keys)
+    for size in (1, 2, 3, 7):
+        walked, cursor = [], None
+        while page := M.listing_after(t, cursor, size).collect():
+            walked += [(r.job_id, r.title) for r in page]
+            cursor = M.next_cursor(page, cursor)
+        assert walked == whole, size

@@ -117,7 +117,7 @@ def test_compaction_keeps_rows_and_merges_files(spark, scratch):
                         partition_value=str(day))
     back = spark.read.parquet(dst)
     assert len(back.inputFiles()) == 1
-    want = src.where(F.col("posted_date") == F.lit(day)).drop("posted_date")
+    want = src.where(F.col("posted_date") == F.lit(day))
     assert back.exceptAll(want.select(*back.columns)).count() == 0 and back.count() == want.count()
     whole = compact_table(spark, table, scratch("compacted-all"))
     assert spark.read.parquet(whole).count() == raw.count()
@@ -157,3 +157,60 @@ def test_stream_with_large_dictionary_uses_hybrid_tagger(spark, scratch):
     got = read_table(spark, table).select(*CMP)
     want = enrich(raw, terms).select(*CMP)  # batch: join tagger
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_dedupe_keeps_distinct_malformed_messages(spark, scratch):
+    msgs, table, ck = scratch("msgs"), scratch("table"), scratch("ck")
+    good = '{"job_id": "1", "title": "a"}'
+    lines = ["{bad", "[1]", "not json", '{"title": "no id"}', good, good, '{"job_id": "1", "title": "b"}']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(msgs)
+    run_ingest(spark, "text", msgs, table, ck, TEST_SKILLS, dedupe_within="1 hour")
+    back = read_table(spark, table)
+    assert back.count() == 6 and back.where("job_id = '1'").count() == 2
+
+
+def test_alerts_switched_off_edited_and_inserted_between_batches(spark, scratch):
+    from skillstream.operators import alerts as AL
+    from skillstream.schema import ALERT_CONFIG_SCHEMA
+    raw = fixture_postings(spark, SF001)
+    table, out, ck = scratch("table"), scratch("out"), scratch("ck")
+    full = enrich(raw, TEST_SKILLS, now=F.col("processed_timestamp"))
+    one = {"name": "any", "email": "a@x"}
+    states = [[one], [dict(one, enabled=False)], [{"name": "new", "email": "b@x", "min_skills_count": 1}, one]]
+    parts = full.randomSplit([1.0, 1.0, 1.0], seed=3)
+    for part, state in zip(parts, states):
+        part.write.mode("append").parquet(table)
+
+        def load(s, state=state):
+            return AL.alerts_from_config(s.createDataFrame(
+                [([tuple(a.get(f.name) for f in AL.ALERT_SCHEMA.fields) for a in state], None, None)],
+                ALERT_CONFIG_SCHEMA))
+
+        stream_alerts(read_posting_stream(spark, table, full.schema), load, out, ck)
+    got = spark.read.parquet(out)
+    assert dict(got.dtypes)["alert_id"] == "bigint"
+    assert got.where("alert_name = 'any'").select("alert_id").distinct().count() == 1
+    assert got.where("alert_name = 'any'").count() == parts[0].count() + parts[2].count()
+
+
+def test_compaction_keeps_the_partition_layout_and_the_null_date(spark, scratch):
+    from skillstream.sources.tables import compact_table
+    full = enrich(fixture_postings(spark, SF001), TEST_SKILLS, now=F.col("processed_timestamp"))
+    full = full.withColumn("posted_date", F.when(F.xxhash64("job_id") % 5 == 0, None).otherwise(F.lit("2024-01-02").cast("date")))
+    src, dst, part = scratch("src"), scratch("dst") + "/t", scratch("part") + "/t"
+    full.repartition(6).write.mode("append").partitionBy("posted_date").parquet(src)
+    whole = read_table(spark, compact_table(spark, src, dst, partition_by=["posted_date"]))
+    assert whole.exceptAll(full).count() == 0 and whole.count() == full.count()
+    compact_table(spark, src, part, partition_col="posted_date")
+    compact_table(spark, src, part, partition_col="posted_date", partition_value="2024-01-02")
+    both = read_table(spark, part)
+    assert both.count() == full.count() and both.where("posted_date is null").count() == full.where("posted_date is null").count()
+
+
+def test_publish_counts_cover_the_run_only(spark, scratch):
+    raw = fixture_postings(spark, SF001).select(*POSTING_COLS)
+    msgs = scratch("msgs")
+    n = raw.count()
+    assert publish(raw, msgs) == {"total": n, "sent": n} == publish(raw, msgs)
+    some = publish(raw, scratch("small"), max_message_bytes=2000)
+    assert some["total"] == n and 0 < some["sent"] < n

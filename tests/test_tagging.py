@@ -193,3 +193,41 @@ def test_auto_switch_to_join_tagger_keeps_results(spark):
     auto = {r.doc_id: r.t for r in with_skills(docs, terms, "text", "t", row_key="doc_id").collect()}
     hybrid = {r.doc_id: r.t for r in with_tags(docs, "text", terms, "t").collect()}
     assert auto == hybrid and sum(len(v) for v in auto.values()) > 1000
+
+
+SYMBOL_TEXTS = ["uses C++ daily", "c++11 and C++", "Node.js, CI/CD; .NET", "x.net y", "plain go text", None, "", "C+ + R&D team", "machine learning ops",
+                "zz7 zz399 zz1200", "Go go GO", "++", "a ++ b", "node js"]
+SYMBOL_TERMS = ["C++", "Node.js", "CI/CD", ".NET", "Go", "R&D", "machine learning", "++", "C"]
+
+
+@pytest.mark.parametrize("boundary", ["strict", "symbol_aware"])
+@pytest.mark.parametrize("n", [100, 201, 399, 401, 1000])
+def test_boundary_holds_at_every_dictionary_size_and_form(spark, n, boundary):
+    import re
+    from skillstream.functions.dictionary import term_pattern
+    from skillstream.operators.enrich import with_skills
+    terms = SYMBOL_TERMS + [f"zz{i}" for i in range(n - len(SYMBOL_TERMS))]
+
+    def brute(text):
+        low = (text or "").lower()
+        patterns = ((t, term_pattern(t, boundary).replace(r"\p{L}\p{N}_", r"\w")) for t in terms)
+        return [t for t, p in patterns if re.search(p, low)]
+
+    df = spark.createDataFrame(list(enumerate(SYMBOL_TEXTS)), "job_id int, description string")
+    want = {i: brute(t) for i, t in enumerate(SYMBOL_TEXTS)}
+    got = {r.job_id: r.skills_extracted for r in with_skills(df, terms, boundary=boundary).collect()}
+    assert got == want
+    arr = {r.job_id: r.skills_extracted for r in with_skills(df, terms, boundary=boundary, method="array").collect()}
+    assert arr == want
+    table = spark.createDataFrame([(t, i) for i, t in enumerate(terms)] + [("Go", 5000)], "skill string, ordinal int")
+    got = {r.job_id: r.skills_extracted for r in with_skills(df, table, boundary=boundary).collect()}
+    assert got == want
+
+
+def test_a_large_dictionary_needs_no_python_and_no_shuffle(spark):
+    from skillstream.operators.enrich import with_skills
+    df = spark.createDataFrame([(1, "zz5 text")], "job_id int, description string")
+    out = with_skills(df, [f"zz{i}" for i in range(350)])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan
+    assert out.first().skills_extracted == ["zz5"]
