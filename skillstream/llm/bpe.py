@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from .common import ship
 
@@ -287,7 +288,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
             ids = pa.array(bpe.encode(b.column(text).to_pylist()), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*b.columns, ids], [*b.schema.names, to])
 
-    return docs.drop(to).mapInArrow(run, docs.drop(to).schema.add(to, "array<int>"))
+    return docs.drop(to).mapInArrow(run, docs.drop(to).schema.add(to, T.ArrayType(T.IntegerType())))
 
 
 def decode(rows: DataFrame, path: str | None = None, ids: str = "ids", to: str = "decoded") -> DataFrame:
@@ -301,7 +302,7 @@ def decode(rows: DataFrame, path: str | None = None, ids: str = "ids", to: str =
             out = [bpe.decode(np.array(x or [], np.int32)) for x in b.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], [*b.schema.names, to])
 
-    return rows.drop(to).mapInArrow(run, rows.drop(to).schema.add(to, "binary"))
+    return rows.drop(to).mapInArrow(run, rows.drop(to).schema.add(to, T.BinaryType()))
 
 
 def digests(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:

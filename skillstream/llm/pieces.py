@@ -2,7 +2,7 @@
 
 An Aho-Corasick automaton lists all vocabulary matches of a segment; dynamic
 programming carries, for each place, the best score and the number of ids of
-the best path. Ties go as in the tokenizer's own search: a path is replaced
+the best path. Ties go as in the tokenizer's lattice search: a path is replaced
 only by a better one, and starts are tried from the left, so the longest piece
 wins. A character without a piece of its own may be an unknown of the least
 score less 10, written as its bytes.
