@@ -20,7 +20,7 @@ import sys
 
 from .functions.dictionary import default_dictionary
 from .operators import metrics as M
-from .operators.alerts import read_alerts
+from .operators.alerts import check_interval, read_alerts
 from .session import CLUSTER_CONF, build_session
 from .sources.json_codec import publish, read_postings_json
 from .sources.tables import read_table
@@ -67,6 +67,10 @@ def main(argv=None) -> int:
     ing.add_argument("--checkpoint", required=True)
     ing.add_argument("--dictionary-csv", default=None, help="CSV with a 'skill' column")
     ing.add_argument("--max-files-per-trigger", type=int, default=None)
+    ing.add_argument("--max-offsets-per-trigger", type=int, default=None)
+    ing.add_argument("--format", default="parquet", help="format of the posting table")
+    ing.add_argument("--interval", default="10 seconds")
+    ing.add_argument("--progress", default=None, help="table that gets a row per micro-batch")
     ing.add_argument("--partition-by", action="append")
     ing.add_argument("--dedupe-within", default=None)
     ing.add_argument("--once", action="store_true")
@@ -76,10 +80,13 @@ def main(argv=None) -> int:
     al.add_argument("--out", required=True)
     al.add_argument("--digests", default=None)
     al.add_argument("--checkpoint", required=True)
-    al.add_argument("--interval", default="15 minutes")
+    al.add_argument("--format", default="parquet", help="format of the posting table")
+    al.add_argument("--max-files-per-trigger", type=int, default=None)
+    al.add_argument("--interval", default=None, help="default: the alerts file's check interval")
     al.add_argument("--once", action="store_true")
     da = sub.add_parser("dashboard")
     da.add_argument("--table", required=True)
+    da.add_argument("--format", default="parquet", help="format of the posting table")
     da.add_argument("--out", required=True)
     pu = sub.add_parser("publish")
     pu.add_argument("--input", required=True)
@@ -96,20 +103,23 @@ def main(argv=None) -> int:
                        dictionary=_dictionary(args.dictionary_csv, spark),
                        options=_options(args.option),
                        max_files_per_trigger=args.max_files_per_trigger,
+                       max_offsets_per_trigger=args.max_offsets_per_trigger,
                        available_now=args.once, partition_by=args.partition_by,
-                       dedupe_within=args.dedupe_within)
+                       dedupe_within=args.dedupe_within, fmt=args.format,
+                       processing_time=args.interval, progress_path=args.progress)
         if not args.once:
             q.awaitTermination()
     elif args.cmd == "alerts":
-        schema = read_table(spark, args.table).schema
-        q = stream_alerts(read_posting_stream(spark, args.table, schema),
-                          lambda s: read_alerts(s, args.alerts_file), args.out, args.checkpoint,
-                          available_now=args.once, processing_time=args.interval,
+        schema = read_table(spark, args.table, fmt=args.format).schema
+        postings = read_posting_stream(spark, args.table, schema, args.max_files_per_trigger, args.format)
+        q = stream_alerts(postings, lambda s: read_alerts(s, args.alerts_file), args.out,
+                          args.checkpoint, available_now=args.once,
+                          processing_time=args.interval or check_interval(spark, args.alerts_file),
                           digest_path=args.digests)
         if not args.once:
             q.awaitTermination()
     elif args.cmd == "dashboard":
-        table = read_table(spark, args.table)
+        table = read_table(spark, args.table, fmt=args.format)
         for name, fn in DASHBOARD_SETS.items():
             fn(table).write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{name}")
     elif args.cmd == "publish":

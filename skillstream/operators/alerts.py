@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import ALERT_CONFIG_SCHEMA, ALERT_HIT_COLS, ALERT_SCHEMA
+from ..schema import ALERT_FILE_SCHEMA, ALERT_HIT_COLS, ALERT_SCHEMA
 
 # Largest (exploded) alert table sent whole to every task; above it the
 # alert side of an equi-join is shuffled, and criterion-less alerts are
@@ -28,6 +28,8 @@ THETA_MAX_ALERTS = 32
 DIGEST_CAP = 50
 CARD_SKILLS = 10
 SUBJECT_PREFIX = "Job Alert"
+DEFAULT_INTERVAL = 15
+
 
 def _empty() -> Column:
     return F.array().cast("array<string>")
@@ -53,7 +55,10 @@ def alerts_from_config(config: DataFrame) -> DataFrame:
     file moves, or it is switched off and on. An alert that occurs twice is
     one alert, enabled if one of them is.
     """
-    alerts = config.select(F.explode("alerts").alias("a")).select("a.*")
+    return _identified(config.select(F.explode("alerts").alias("a")).select("a.*"))
+
+
+def _identified(alerts: DataFrame) -> DataFrame:
     said = [f.name for f in ALERT_SCHEMA.fields if f.name != "enabled"]
     enabled = F.max(F.coalesce("enabled", F.lit(True)))
     return (alerts.withColumn("alert_id", F.xxhash64(*said))
@@ -65,23 +70,55 @@ def read_alerts(spark: SparkSession, path: str) -> DataFrame:
     """Read an alert config file (one JSON document per file) as an alert table.
 
     A missing file gives an empty table; an invalid file parses to a NULL
-    ``alerts`` list and therefore also to no alerts.
+    ``alerts`` list and therefore also to no alerts. An alert with a value of
+    the wrong type is left out (see ``rejected_alerts``): read as missing,
+    the value would lift a restriction and the alert would match more.
     """
+    parsed = _parsed_alerts(_read_config(spark, path))
+    return _identified(parsed.where(F.size("wrong") == 0).drop("wrong"))
+
+
+def rejected_alerts(spark: SparkSession, path: str) -> DataFrame:
+    """name, email and the fields of the wrong type (``wrong``) of the alerts that ``read_alerts`` leaves out."""
+    return _parsed_alerts(_read_config(spark, path)).where(F.size("wrong") > 0).select("name", "email", "wrong")
+
+
+def _read_config(spark: SparkSession, path: str) -> DataFrame:
     try:
-        cfg = spark.read.schema(ALERT_CONFIG_SCHEMA).option("multiLine", "true").json(path)
+        cfg = spark.read.schema(ALERT_FILE_SCHEMA).option("multiLine", "true").json(path)
         cfg = cfg.select("*")
     except Exception as exc:  # path does not exist
         if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
             raise
-        cfg = spark.createDataFrame([], ALERT_CONFIG_SCHEMA)
-    return alerts_from_config(cfg)
+        cfg = spark.createDataFrame([], ALERT_FILE_SCHEMA)
+    return cfg
+
+
+def _parsed_alerts(config: DataFrame) -> DataFrame:
+    """Alert rows in their types, and ``wrong``: the fields whose text is not of its type. An empty text is missing."""
+    said = config.select(F.explode("alerts").alias("a")).select("a.*")
+    values, wrong = [], []
+    for f in ALERT_SCHEMA.fields:
+        text = F.when(F.col(f.name) != "", F.col(f.name))
+        if isinstance(f.dataType, T.ArrayType):
+            value = F.from_json(text, f.dataType)
+        else:
+            value = text.try_cast(f.dataType)
+        values.append(value.alias(f.name))
+        wrong.append(F.when(text.isNotNull() & value.isNull(), F.lit(f.name)))
+    return said.select(*values, F.array_compact(F.array(*wrong)).alias("wrong"))
 
 
 def read_alert_settings(spark: SparkSession, path: str) -> DataFrame:
     """Check interval (default 15 minutes) and mail settings of a config file."""
-    cfg = spark.read.schema(ALERT_CONFIG_SCHEMA).option("multiLine", "true").json(path)
-    return cfg.select(F.coalesce("check_interval_minutes", F.lit(15)).alias("check_interval_minutes"),
-                      "smtp_config")
+    return _read_config(spark, path).select(
+        F.coalesce("check_interval_minutes", F.lit(DEFAULT_INTERVAL)).alias("check_interval_minutes"), "smtp_config")
+
+
+def check_interval(spark: SparkSession, path: str) -> str:
+    """The check interval of a config file as a trigger interval (of several files, the shortest)."""
+    least = read_alert_settings(spark, path).agg(F.min("check_interval_minutes")).first()[0]
+    return f"{least or DEFAULT_INTERVAL} minutes"
 
 
 def enabled_alerts(alerts: DataFrame) -> DataFrame:

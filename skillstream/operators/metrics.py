@@ -11,7 +11,7 @@ that results are deterministic.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import LISTING_COLS
@@ -107,11 +107,13 @@ def dataset_profile(df: DataFrame, approx: bool = False) -> DataFrame:
 
 
 def seniority_options(df: DataFrame) -> DataFrame:
-    """Filter options: ("All", "all") then every distinct seniority."""
+    """Filter options: ("All", "all") then every distinct seniority by name (A9), with their place."""
     opts = (df.select(F.col("seniority").alias("value")).where(F.col("value").isNotNull())
               .distinct().select(F.col("value").alias("label"), "value"))
     head = df.sparkSession.range(1).select(F.lit("All").alias("label"), F.lit("all").alias("value"))
-    return head.unionByName(opts).orderBy(F.col("value") != "all", "label")
+    # one row per seniority class: three at most in an enriched table
+    place = F.row_number().over(Window.orderBy(F.col("value") != "all", "label")).alias("option_rank")
+    return head.unionByName(opts).select("label", "value", place).orderBy("option_rank")
 
 
 def skill_cooccurrence(df: DataFrame, k: int = 10, col: str = "skills_extracted") -> DataFrame:

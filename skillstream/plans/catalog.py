@@ -26,7 +26,7 @@ from ..sources.fixtures import fixture_postings
 from ..sources.json_codec import (decode_postings, encode_postings, publish, publish_stats,
                                   read_postings_json)
 from ..sources.tables import compact_table, read_table, write_table
-from ..streaming.aggregates import latest_counts, running_skill_counts
+from ..streaming.aggregates import latest_counts, running_counts, running_skill_counts
 from ..streaming.alerts import read_posting_stream, stream_alerts
 from ..streaming.ingest import run_ingest
 from . import params as P
@@ -173,17 +173,32 @@ def q_compact_postings(spark, sf_dir):
     return read_table(spark, dst).drop(*STREAM_DROP)
 
 
-def q_stream_top_skills(spark, sf_dir):
-    """Running skill counts kept by a complete-mode stream, then the top 10."""
+def _running(spark, sf_dir, start) -> DataFrame:
+    """The newest count table of a running aggregation over the ingested postings."""
     table = _ingested(spark, sf_dir)
-    out = scratch_path(spark, "running-skills")
+    out = scratch_path(spark, "running")
     schema = read_table(spark, table).schema
-    running_skill_counts(read_posting_stream(spark, table, schema, max_files_per_trigger=4),
-                         out, scratch_path(spark, "running-ck"))
-    counts = latest_counts(spark, out)
+    start(read_posting_stream(spark, table, schema, max_files_per_trigger=4),
+          out, scratch_path(spark, "running-ck"))
+    return latest_counts(spark, out)
+
+
+def q_stream_top_skills(spark, sf_dir):
+    """Running skill counts kept by a complete-mode stream, then the top 10."""
+    counts = _running(spark, sf_dir, running_skill_counts)
     return counts.orderBy(F.desc(M.COUNT_COL), F.asc("skill")).limit(10)
 
 
+def q_stream_top_locations(spark, sf_dir):
+    counts = _running(spark, sf_dir, lambda s, out, ck: running_counts(s, "location", out, ck))
+    return counts.orderBy(F.desc(M.COUNT_COL), F.asc("location")).limit(8)
+
+
+def q_stream_timeline(spark, sf_dir):
+    counts = _running(spark, sf_dir, lambda s, out, ck: running_counts(s, "posted_date", out, ck))
+    return counts.orderBy("posted_date")
+
+
 def _events(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
@@ -252,6 +267,8 @@ QUERIES: dict[str, Query] = {
     "ingest_stream": q_ingest_stream,
     "stream_alerts": q_stream_alerts,
     "stream_top_skills": q_stream_top_skills,
+    "stream_top_locations": q_stream_top_locations,
+    "stream_timeline": q_stream_timeline,
     "compact_postings": q_compact_postings,
     # the same generic operators on the event log
     "events_props": q_events_props,

@@ -172,8 +172,9 @@ SELECT job_id, title, experience_level, inferred_level,
         "(SELECT count(DISTINCT s) FROM (SELECT unnest(skills_required) AS s FROM enriched) "
         " WHERE s IS NOT NULL) AS unique_required_skills FROM enriched")
     q["seniority_options"] = _with(
-        "SELECT 'All' AS label, 'all' AS value UNION ALL "
-        "SELECT DISTINCT seniority AS label, seniority AS value FROM enriched WHERE seniority IS NOT NULL")
+        "SELECT label, value, CAST(row_number() OVER (ORDER BY value <> 'all', label) AS INTEGER) AS option_rank "
+        "FROM (SELECT 'All' AS label, 'all' AS value UNION ALL "
+        "SELECT DISTINCT seniority AS label, seniority AS value FROM enriched WHERE seniority IS NOT NULL) o")
     q["skill_cooccurrence"] = _with(f""", {_SKILLS_CTE},
 top AS ({_top_k('skill', 10, 'skills')}),
 members AS (SELECT job_id, skill FROM (SELECT job_id, unnest(skills_extracted) AS skill FROM enriched) u
@@ -236,6 +237,8 @@ FROM ({_top50()}) r""")
         "SELECT * EXCLUDE (processed_timestamp, kafka_timestamp) FROM enriched")
     q["stream_alerts"] = _with(f"SELECT * EXCLUDE (processed_timestamp) FROM ({_matches(since=False)})")
     q["stream_top_skills"] = q["top_skills"]
+    q["stream_top_locations"] = q["top_locations"]
+    q["stream_timeline"] = q["timeline"]
     q["compact_postings"] = q["ingest_stream"]
     q["events_props"] = "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events"
     q["events_timeline"] = ("SELECT CAST(ts AS DATE) AS day, count(*) AS job_count FROM events "

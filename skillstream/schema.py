@@ -4,6 +4,9 @@ from pyspark.sql import types as T
 
 _S = T.StringType()
 
+# The field names and their order are those of the source
+# system's messages, posting table, alert cards, listing and alert file.
+
 # Raw posting as carried inside a message payload; every field nullable.
 POSTING_SCHEMA = T.StructType([
     T.StructField("job_id", _S),
@@ -59,7 +62,14 @@ ALERT_CONFIG_SCHEMA = T.StructType([
     ])),
 ])
 
-DICTIONARY_SCHEMA = T.StructType([
+# As a config file is read: an alert's fields as text, so that a value of
+# the wrong type can be told from a missing one.
+ALERT_FILE_SCHEMA = T.StructType([
+    T.StructField("alerts", T.ArrayType(T.StructType([T.StructField(f.name, _S) for f in ALERT_SCHEMA.fields]))),
+    *ALERT_CONFIG_SCHEMA.fields[1:],
+])
+
+DICTIONARY_SCHEMA =T.StructType([
     T.StructField("skill", _S, False),
     T.StructField("category", _S),
     T.StructField("ordinal", T.IntegerType(), False),

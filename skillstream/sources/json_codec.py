@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from ..schema import POSTING_COLS, POSTING_SCHEMA
 
-ENVELOPE_COLS = ["value", "timestamp"]
-
 
 def decode_postings(envelopes: DataFrame, value_col: str = "value",
                     ts_col: str | None = "timestamp") -> DataFrame:

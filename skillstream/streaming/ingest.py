@@ -8,6 +8,8 @@ the table folder.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.enrich import enrich
 from ..sources.json_codec import decode_postings
+from .progress import append_progress
 
 ENVELOPE_SCHEMA = T.StructType([T.StructField("value", T.StringType()),
                                 T.StructField("timestamp", T.TimestampType())])
@@ -73,10 +76,12 @@ def enriched_stream(envelopes: DataFrame, dictionary=None,
 
 def start_ingest(enriched: DataFrame, table_path: str, checkpoint: str, fmt: str = "parquet",
                  processing_time: str | None = "10 seconds", available_now: bool = False,
-                 partition_by: list[str] | None = None) -> StreamingQuery:
+                 partition_by: list[str] | None = None, name: str | None = None) -> StreamingQuery:
     """Append the enriched stream to a table."""
     w = (enriched.writeStream.format(fmt).outputMode("append")
          .option("checkpointLocation", checkpoint).option("path", table_path))
+    if name:
+        w = w.queryName(name)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if available_now:
@@ -92,13 +97,21 @@ def run_ingest(spark: SparkSession, source_fmt: str, source: str | None, table_p
                partition_by: list[str] | None = None,
                dedupe_within: str | None = None, fmt: str = "parquet",
                processing_time: str | None = "10 seconds",
-               max_offsets_per_trigger: int | None = None) -> StreamingQuery:
-    """R1 end to end; with ``available_now`` it processes what is there and stops."""
+               max_offsets_per_trigger: int | None = None,
+               progress_path: str | None = None) -> StreamingQuery:
+    """R1 end to end; with ``available_now`` it processes what is there and stops.
+
+    ``progress_path``: append a row per micro-batch to this table (S8).
+    """
     env = read_envelopes(spark, source_fmt, source, options, max_files_per_trigger,
                          max_offsets_per_trigger)
+    name = None
+    if progress_path:
+        name = f"ingest-{uuid.uuid4().hex[:12]}"
+        append_progress(spark, name, progress_path)
     q = start_ingest(enriched_stream(env, dictionary, dedupe_within), table_path, checkpoint,
                      fmt=fmt, processing_time=processing_time,
-                     available_now=available_now, partition_by=partition_by)
+                     available_now=available_now, partition_by=partition_by, name=name)
     if available_now:
         q.awaitTermination()
     return q

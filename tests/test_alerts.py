@@ -106,6 +106,25 @@ def test_read_alert_config(spark, scratch):
     assert ids < {r.alert_id for r in AL.read_alerts(spark, os.path.join(d, "moved.json")).collect()}
 
 
+def test_alert_with_a_wrong_type_is_rejected_not_widened(spark, scratch):
+    path = os.path.join(scratch("alerts").removeprefix("file:"), "a.json")
+    alerts = [{"name": "text number", "min_skills_count": "5", "keywords": None},
+              {"name": "not a number", "min_skills_count": "five"},
+              {"name": "not a list", "email": "e", "keywords": "Python", "enabled": "maybe"},
+              {"name": "empty", "keywords": "", "locations": []},
+              {"name": "fine", "keywords": ["C++", "a \"b\""], "enabled": False}]
+    with open(path, "w") as f:
+        json.dump({"alerts": alerts, "check_interval_minutes": 7}, f)
+    good = {r.name: r for r in AL.read_alerts(spark, path).collect()}
+    assert set(good) == {"text number", "empty", "fine"}
+    assert good["text number"].min_skills_count == 5 and good["empty"].keywords is None
+    assert good["fine"].keywords == ["C++", "a \"b\""] and good["fine"].enabled is False
+    bad = {r.name: r.wrong for r in AL.rejected_alerts(spark, path).collect()}
+    assert bad == {"not a number": ["min_skills_count"], "not a list": ["keywords", "enabled"]}
+    assert AL.check_interval(spark, path) == "7 minutes"
+    assert AL.check_interval(spark, path + ".missing") == "15 minutes"
+
+
 def test_top_hits_do_not_depend_on_partitioning(spark):
     from skillstream.schema import ALERT_HIT_COLS
     t = posting_table(spark, SF001).limit(120).withColumn("job_id", F.lit("same"))

@@ -18,20 +18,20 @@ def test_publish_ingest_alerts_dashboard(spark, scratch):
     assert cli.main(["publish", "--input", os.path.join(src, "postings"), "--target", msgs,
                      "--json-lines"]) == 0
     assert cli.main(["ingest", "--source-format", "text", "--source", msgs, "--table", table,
-                     "--checkpoint", ck, "--once"]) == 0
-    assert spark.read.parquet(table).count() == raw.count()
+                     "--checkpoint", ck, "--format", "orc", "--interval", "1 second", "--once"]) == 0
+    assert spark.read.orc(table).count() == raw.count()
     alerts = os.path.join(src, "alerts.json")
     with open(alerts, "w") as f:
         json.dump({"alerts": [{"name": "everything", "email": "x@example.com", "keywords": [],
                                "min_skills_count": 0}], "check_interval_minutes": 15}, f)
     out, dig = scratch("cli-out"), scratch("cli-dig")
     assert cli.main(["alerts", "--table", table, "--alerts-file", alerts, "--out", out,
-                     "--digests", dig, "--checkpoint", scratch("cli-ack"), "--once"]) == 0
+                     "--digests", dig, "--checkpoint", scratch("cli-ack"), "--format", "orc", "--once"]) == 0
     assert spark.read.parquet(out).count() == raw.count()
     d = spark.read.parquet(dig).collect()
     assert len(d) >= 1 and all(r.n <= 50 and r.email == "x@example.com" for r in d)
     dash = scratch("cli-dash")
-    assert cli.main(["dashboard", "--table", table, "--out", dash]) == 0
+    assert cli.main(["dashboard", "--table", table, "--format", "orc", "--out", dash]) == 0
     assert spark.read.parquet(f"{dash}/kpis").first().total_jobs == raw.count()
 
 

@@ -61,7 +61,8 @@ def test_seniority_sums_to_total_and_options(spark):
     total = t.count()
     assert sum(r.job_count for r in M.seniority_distribution(t).collect()) == total
     opts = [tuple(r) for r in M.seniority_options(t).collect()]
-    assert opts[0] == ("All", "all") and len(opts) == 4
+    assert opts[0] == ("All", "all", 1) and len(opts) == 4
+    assert [r[2] for r in opts] == [1, 2, 3, 4] and [r[0] for r in opts[1:]] == sorted(r[0] for r in opts[1:])
 
 
 def test_keyset_paging_equals_offset_paging(spark):

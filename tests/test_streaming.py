@@ -104,6 +104,37 @@ def test_running_skill_counts_survive_restart(spark, scratch):
     assert got == expect
 
 
+def test_running_counts_keep_two_epochs(spark, scratch):
+    from skillstream.operators.metrics import timeline
+    from skillstream.streaming.aggregates import latest_counts, running_counts
+    full = enrich(fixture_postings(spark, SF001), TEST_SKILLS, now=F.col("processed_timestamp"))
+    table, out = scratch("table"), scratch("counts")
+    full.repartition(5).write.mode("append").parquet(table)
+    stream = read_posting_stream(spark, table, full.schema, max_files_per_trigger=1)
+    running_counts(stream, "posted_date", out, scratch("ck"))
+    kept = sorted(x for x in os.listdir(out.removeprefix("file:")) if x.startswith("epoch="))
+    assert kept == ["epoch=3", "epoch=4"]
+    got = {r.posted_date: r.job_count for r in latest_counts(spark, out).collect()}
+    assert got == {r.posted_date: r.job_count for r in timeline(full).collect()}
+
+
+def test_progress_of_every_batch_is_appended(spark, scratch):
+    import time
+    raw = fixture_postings(spark, SF001).select(*POSTING_COLS)
+    msgs, table, ck, prog = scratch("msgs"), scratch("table"), scratch("ck"), scratch("progress") + "/p"
+    for part in raw.randomSplit([1.0, 1.0], seed=1):  # two runs of the job, one table
+        publish(part.repartition(2), msgs)
+        run_ingest(spark, "text", msgs, table, ck, TEST_SKILLS, max_files_per_trigger=1, progress_path=prog)
+        rows, end = [], time.time() + 60
+        want = read_table(spark, table).count()
+        while time.time() < end and sum(r.numInputRows for r in rows) < want:  # the listener runs behind the query
+            time.sleep(0.5)
+            if os.path.isdir(prog.removeprefix("file:")):
+                rows = spark.read.schema("timestamp string, batchId long, numInputRows long, inputRowsPerSecond double").parquet(prog).collect()
+        assert sum(r.numInputRows for r in rows) == want
+    assert want == raw.count() and sorted(r.batchId for r in rows if r.numInputRows) == [0, 1, 2, 3]
+
+
 def test_compaction_keeps_rows_and_merges_files(spark, scratch):
     from skillstream.sources.tables import compact_table
     raw = fixture_postings(spark, SF001).select(*POSTING_COLS)
