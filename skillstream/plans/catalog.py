@@ -86,6 +86,14 @@ def q_skill_extract_join(spark, sf_dir):
         "job_id", "skills_extracted")
 
 
+def q_skill_extract_symbols(spark, sf_dir):
+    """Terms with symbols and several words, by either boundary."""
+    raw = fixture_postings(spark, sf_dir).select("job_id", "description")
+    strict = with_tags(raw, "description", P.SYMBOL_TERMS, out_col="skills_strict")
+    return with_tags(strict, "description", P.SYMBOL_TERMS, out_col="skills_symbol_aware",
+                     boundary="symbol_aware").drop("description")
+
+
 def q_posted_date(spark, sf_dir):
     raw = fixture_postings(spark, sf_dir)
     return raw.select("job_id", F.col("posted_date").alias("posted_date_raw"),
@@ -224,6 +232,7 @@ QUERIES: dict[str, Query] = {
     "enriched": lambda s, d: enriched_postings(s, d),
     "skill_extract": q_skill_extract,
     "skill_extract_join": q_skill_extract_join,
+    "skill_extract_symbols": q_skill_extract_symbols,
     "skill_count": lambda s, d: enriched_postings(s, d).select(
         "job_id", "skills_required", "skills_extracted", "skills_count"),
     "seniority": lambda s, d: enriched_postings(s, d).select(

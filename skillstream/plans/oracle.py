@@ -137,6 +137,24 @@ def build() -> dict[str, str]:
     q["skill_extract"] = f"WITH raw AS ({RAW_POSTINGS}) SELECT job_id, " \
                          f"{tag_sql('lower(description)', TEST_SKILLS)} AS skills_extracted FROM raw"
     q["skill_extract_join"] = q["skill_extract"]
+    # The patterns of P.SYMBOL_TERMS, spelled out: a term's end that is a letter
+    # has no word character beside it; one that is a symbol has a word character
+    # beside it (strict) or none (symbol-aware).
+    symbols = {
+        "And, the": (r"(^|[^\p{L}\p{N}_])and, the($|[^\p{L}\p{N}_])", r"(^|[^\p{L}\p{N}_])and, the($|[^\p{L}\p{N}_])"),
+        ", the": (r"[\p{L}\p{N}_], the($|[^\p{L}\p{N}_])", r"(^|[^\p{L}\p{N}_]), the($|[^\p{L}\p{N}_])"),
+        "The. the": (r"(^|[^\p{L}\p{N}_])the\. the($|[^\p{L}\p{N}_])", r"(^|[^\p{L}\p{N}_])the\. the($|[^\p{L}\p{N}_])"),
+        "Of,": (r"(^|[^\p{L}\p{N}_])of,[\p{L}\p{N}_]", r"(^|[^\p{L}\p{N}_])of,($|[^\p{L}\p{N}_])"),
+        "De la": (r"(^|[^\p{L}\p{N}_])de la($|[^\p{L}\p{N}_])", r"(^|[^\p{L}\p{N}_])de la($|[^\p{L}\p{N}_])"),
+    }
+
+    def found(side: int) -> str:
+        whens = ", ".join(f"CASE WHEN regexp_matches(lower(description), {_q(p[side])}) THEN {_q(t)} END"
+                          for t, p in symbols.items())
+        return f"list_filter([{whens}]::VARCHAR[], lambda z: z IS NOT NULL)"
+
+    q["skill_extract_symbols"] = (f"WITH raw AS ({RAW_POSTINGS}) SELECT job_id, {found(0)} AS skills_strict, "
+                                  f"{found(1)} AS skills_symbol_aware FROM raw")
     q["skill_count"] = _with("SELECT job_id, skills_required, skills_extracted, skills_count FROM enriched")
     q["seniority"] = _with("SELECT job_id, experience_level, skills_count, seniority FROM enriched")
     q["posted_date"] = f"WITH raw AS ({RAW_POSTINGS}) SELECT job_id, posted_date AS posted_date_raw, " \

@@ -2,6 +2,9 @@
 
 from ..functions.dictionary import TEST_SKILLS  # noqa: F401
 
+# Terms with symbols and several words, found in the generated prose (but for "Of," by the strict boundary).
+SYMBOL_TERMS = ["And, the", ", the", "The. the", "Of,", "De la"]
+
 SINCE = "2024-01-01 05:00:00"
 PAGE = 2
 PAGE_SIZE = 10
