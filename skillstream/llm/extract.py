@@ -7,9 +7,10 @@ takes the most likely labelling of the whole tree in which no node below a
 rejected one is kept, so ancestors and descendants never contradict.
 
 There are no labelled pages, so the trees learn from layouts: paragraphs of a
-bounded sample of the pages are laid out in varied ways, with menus, notices,
-adverts, side bars, forms, footers and reader comments around and inside them,
-and labels known by construction.
+bounded sample of the pages, of any length, are laid out in varied ways, with
+menus, notices, adverts, side bars, forms, footers and reader comments around
+and inside them, and labels known by construction. Built-in words take their
+place if the sampled pages hold no text.
 
 Edge cases: null or empty html has no text; broken markup is read as browsers
 do, near enough; repeated rows give equal results; an empty table gives an
@@ -30,8 +31,11 @@ from pyspark.sql import functions as F
 from .common import ship
 from .dom import Page, features
 
-#: Pages whose paragraphs are laid out for training, and the longest of them.
-SAMPLE, SAMPLE_CHARS = 60, 50_000
+#: Pages whose paragraphs are laid out for training, the most characters of text from one of them, and of a piece of a longer text.
+SAMPLE, SAMPLE_CHARS, PIECE_CHARS = 60, 50_000, 2_000
+#: Words to lay out if the sampled pages hold none.
+PLAIN = ("the a of and to in on for with from by at as it is was that this one two many new first last old small large day year city river "
+         "house people work water light market school story road garden paper winter number music letter morning office friend report").split()
 LAYOUTS = 900
 TREES, DEPTH, RATE, BINS = 80, 4, 0.25, 32
 
@@ -241,11 +245,14 @@ class Trees:
         return z
 
 
-def train(pool: list[str], seed: int = 8) -> Trees | None:
-    """Trees from layouts of the paragraphs in pool; None without any."""
-    pool = [p for p in pool if p.split()]
-    if not pool:
-        return None
+def _plain_pool() -> list[str]:
+    rng = random.Random(80)
+    return [" ".join(rng.choice(PLAIN) for _ in range(rng.randint(1, 120))) for _ in range(200)]
+
+
+def train(pool: list[str], seed: int = 8) -> Trees:
+    """Trees from layouts of the paragraphs in pool, or of built-in words if it has none."""
+    pool = [p for p in pool if p.split()] or _plain_pool()
     rng = random.Random(seed)
     made = [_layout(rng, pool) for _ in range(LAYOUTS)]
     pages = [Page(source) for source, _ in made]
@@ -281,16 +288,33 @@ def main_texts(trees: Trees, sources: list[str | None]) -> list[str]:
 
 # --- on Spark --------------------------------------------------------------------------------------------------------
 
+def sampled_runs(source: str, seed: int) -> list[str]:
+    """The runs of text of a page; random pieces of them, SAMPLE_CHARS characters together at most, if it has more."""
+    runs = list(Page(source).text.values())
+    if sum(map(len, runs)) <= SAMPLE_CHARS:
+        return runs
+    pieces = [r[i:i + PIECE_CHARS] for r in runs for i in range(0, len(r), PIECE_CHARS)]
+    random.Random(seed).shuffle(pieces)
+    ends = np.cumsum([len(p) for p in pieces])
+    return pieces[:int(np.searchsorted(ends, SAMPLE_CHARS, side="right"))]
+
+
 def learn(pages: DataFrame) -> Trees | None:
-    """Trees from the paragraphs of a bounded sample of pages."""
-    marked = (pages.where((F.length("html") > 0) & (F.length("html") <= SAMPLE_CHARS))
-              .select("html", F.xxhash64("page_id", "html", F.lit("layout")).alias("mark")))
-    # The least mark of each bucket first, combined on the executors: the driver sees 4 * SAMPLE numbers, then SAMPLE pages.
+    """Trees from the paragraphs of a bounded sample of pages; None if no page has html."""
+    marked = pages.where(F.length("html") > 0).select("html", F.xxhash64("page_id", "html", F.lit("layout")).alias("mark"))
+    # The least mark of each bucket first, combined on the executors: the driver sees 4 * SAMPLE numbers, then text of SAMPLE pages.
     least = marked.groupBy(F.pmod("mark", F.lit(4 * SAMPLE)).alias("bucket")).agg(F.min("mark").alias("mark")).collect()
     marks = sorted(r["mark"] for r in least)[:SAMPLE]
-    rows = marked.where(F.col("mark").isin(marks)).distinct().collect() if marks else []
-    pool = [t for r in rows for t in Page(r["html"]).text.values()]
-    return train(sorted(pool))
+    if not marks:
+        return None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for source, mark in zip(b.column("html").to_pylist(), b.column("mark").to_pylist(), strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array([sampled_runs(source, mark)], pa.list_(pa.string()))], ["runs"])
+
+    rows = marked.where(F.col("mark").isin(marks)).distinct().mapInArrow(run, "runs array<string>").collect()
+    return train(sorted(t for r in rows for t in r["runs"]))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -299,7 +323,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     ship(spark)
     trees = learn(pages)
     pages = pages.select("page_id", "url", "html")
-    if trees is None:
+    if trees is None:  # nothing to read
         return pages.select("page_id", "url", F.lit("").alias("text"), F.lit(0).cast("long").alias("n_chars"))
     shared = spark.sparkContext.broadcast(trees)  # TREES trees of DEPTH levels
 

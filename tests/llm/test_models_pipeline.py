@@ -102,6 +102,33 @@ def test_extraction_edge_cases(spark):
     assert extract.main_text(spark.createDataFrame([], schema)).collect() == []
 
 
+@pytest.fixture(scope="module")
+def long_page():
+    """More than 50,000 characters of html, and its paragraphs."""
+    rng = random.Random(6)
+    body = [" ".join(rng.choice("alpha beta gamma delta, epsilon. zeta eta theta".split()) for _ in range(rng.randint(20, 110))) for _ in range(200)]
+    menu = "<nav><ul>" + "".join(f'<li><a href="/{i}">menu{i}</a></li>' for i in range(8)) + "</ul></nav>"
+    page = "<html><body>" + menu + "<article>" + "".join(f"<p>{p}</p>" for p in body) + "</article><footer>&copy; nobody</footer></body></html>"
+    assert len(page) > 50_000
+    return page, body
+
+
+def test_a_table_of_one_long_page_is_extracted(spark, long_page):
+    page, body = long_page
+    out = extract.main_text(spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")).collect()
+    assert [(r["text"], r["n_chars"]) for r in out] == [(" ".join(body), len(" ".join(body)))]
+
+
+def test_long_pages_give_a_bounded_sample_and_no_text_gives_built_in_words(long_page):
+    page, body = long_page
+    some = extract.sampled_runs(page, 1)
+    assert 0.9 * extract.SAMPLE_CHARS < sum(map(len, some)) <= extract.SAMPLE_CHARS and extract.sampled_runs(page, 1) == some
+    one = extract.sampled_runs("<p>" + "word " * 40_000, 2)
+    assert 0.9 * extract.SAMPLE_CHARS < sum(map(len, one)) <= extract.SAMPLE_CHARS
+    assert extract.sampled_runs("<p>a b<p>c", 3) == ["a b", "c"]
+    assert extract.main_texts(extract.train([]), [page]) == [" ".join(body)]
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     names = [n for n, _ in corpus_pipeline.STAGES]
