@@ -17,9 +17,11 @@ compared in blocks, so that no group is expanded into all of its pairs.
 
 Edge cases: null texts are never duplicates; texts without a word are
 duplicates only of equal texts; rows with a null id stay by themselves; rows
-with the same id and different texts count as one document (their groups meet);
-an empty table gives an empty result; other columns are ignored by
-:func:`classes` and kept by :func:`one_of_each`.
+with the same id and different texts are documents of their own, which meet
+only if their texts are near (two classes may then bear the same least id); of
+a class the text of its least id is kept, and of several such texts the one
+with the least hash; an empty table gives an empty result; other columns are
+ignored by :func:`classes` and kept by :func:`one_of_each`.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, ship, spanning, store
+from .common import components, running_totals, ship, spanning, store
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -288,10 +290,11 @@ def _found_in_blocks(places: DataFrame, bags: DataFrame, comp: DataFrame, simila
 
 
 def links(docs: DataFrame, exact: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """docs (id, key, text) and exact (key, least id) → (node, component) of the verified links between different texts."""
+    """docs (id, key, text) and exact (key, least id, node) → (node, component) of the verified links between different texts."""
     ship(docs.sparkSession)
     # Every row is signed where it lies; the copies of a text go before anything else moves.
-    signed = store(_sign(docs).join(exact, ["key", "id"], "left_semi").dropDuplicates(["key", "id"]).drop("key"), "near-signed")
+    signed = store(_sign(docs).join(exact, ["key", "id"]).dropDuplicates(["key", "id"])
+                   .select(F.col("node").alias("id"), "bands", "marks"), "near-signed")
     marks = signed.select("id", "marks")
     rows = signed.select(F.explode("bands").alias("bucket"), "id")
     # Buckets of one text go before anything is joined.
@@ -319,27 +322,47 @@ def links(docs: DataFrame, exact: DataFrame, similarity: float = SIMILARITY) ->
 
 
 def _texts(docs: DataFrame, exact: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(id, text) of the texts in pairs only."""
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    ids = ids.join(exact, "id")
-    return store(docs.join(ids, ["id", "key"], "left_semi").select("id", "text").distinct(), "near-texts")
+    """(id, text) of the texts in pairs only; their ids are nodes."""
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    nodes = nodes.join(exact, "node")
+    return store(docs.join(nodes, ["id", "key"]).select(F.col("node").alias("id"), "text").distinct(), "near-texts")
 
 
-def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, component_id (least doc_id of its class), kept (it is that document)."""
+def _classes(docs: DataFrame, similarity: float) -> DataFrame:
+    """doc_id, __key (hash of the text), component_id, kept."""
     rows = docs.select(F.col("doc_id").alias("id"), F.sha2("text", 256).alias("key"), "text")
     known = rows.where("id is not null and text is not null")
-    # Equal texts meet on a hash, combined before the shuffle; their least id stands for them.
-    exact = store(known.groupBy("key").agg(F.min("id").alias("id")), "near-exact")
+    # Equal texts meet on a hash, combined before the shuffle; their least id stands for them. Several texts may have
+    # that id, so each text is a node of its own: its place in the order of (least id, key).
+    exact = known.groupBy("key").agg(F.min("id").alias("id")).withColumn("node", F.lit(1).cast("long"))
+    exact = running_totals(exact, ["id", "key"], ["node"], "near-order").select("key", "id", F.col("node_before").alias("node"))
+    exact = store(exact, "near-exact")
     comp = store(links(known, exact, similarity), "near-classes")
-    named = exact.join(comp, exact["id"] == comp["node"], "left").select("key", F.coalesce("component", "id").alias("component_id"))
-    out = rows.join(named, "key", "left").select(F.col("id").alias("doc_id"), F.coalesce("component_id", "id").alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    # The least node of a class is its text of the least id, and of these the one with the least key.
+    first = exact.select(F.col("node").alias("component"), F.col("id").alias("_id"), F.col("key").alias("_key"))
+    comp = comp.join(first, "component").select("node", "_id", "_key")
+    named = exact.join(comp, "node", "left").select("key", F.coalesce("_id", "id").alias("component_id"), F.coalesce("_key", "key").alias("_key"))
+    out = rows.join(named, "key", "left")
+    alone = F.col("id").isNull() | F.col("component_id").isNull()
+    kept = F.when(alone, F.lit(True)).otherwise((F.col("id") == F.col("component_id")) & (F.col("key") == F.col("_key")))
+    return out.select(F.col("id").alias("doc_id"), F.col("key").alias("__key"), F.coalesce("component_id", "id").alias("component_id"), kept.alias("kept"))
+
+
+def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, component_id (least doc_id of its class), kept (it is that document; all rows of it if it is repeated)."""
+    return _classes(docs, similarity).drop("__key")
 
 
 def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The documents without the near copies: of each class the row of its least id; a repeated row stays once."""
+    """The documents without the near copies: of each class the document that :func:`classes` keeps; a repeated row stays once.
+
+    Of rows equal in id and text the one whose other columns, as JSON, sort first stays.
+    """
     columns = docs.columns
-    keep = classes(docs, similarity).where("kept").select(F.col("doc_id").alias("__id")).where("__id is not null").distinct()
-    stay = docs.join(keep, docs["doc_id"] == keep["__id"], "left_semi").dropDuplicates(["doc_id"])
-    return stay.select(*columns).unionByName(docs.where("doc_id is null"))
+    keep = _classes(docs, similarity).where("kept and doc_id is not null").select(F.col("doc_id").alias("__id"), F.col("__key").alias("__text")).distinct()
+    rows = docs.where("doc_id is not null").withColumn("__key", F.sha2("text", 256))
+    stay = rows.join(keep, (rows["doc_id"] == keep["__id"]) & rows["__key"].eqNullSafe(keep["__text"]), "left_semi")
+    others = [F.col(c) for c in columns if c not in ("doc_id", "text")]
+    order = F.to_json(F.struct(*others)) if others else F.lit("")
+    stay = stay.groupBy("doc_id", "__key").agg(F.min_by(F.struct(*columns), order).alias("__row"))
+    return stay.select("__row.*").unionByName(docs.where("doc_id is null"))

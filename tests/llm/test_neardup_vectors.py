@@ -1,4 +1,5 @@
 import collections
+import hashlib
 import random
 
 import numpy as np
@@ -100,6 +101,25 @@ def test_classes_edge_cases(docs, edge_rows):
     assert neardup.classes(docs([])).collect() == [] and neardup.one_of_each(docs([])).collect() == []
 
 
+def test_one_id_of_unlike_texts(docs):
+    """Every text under a shared id is a document; near ones of them leave the same survivor, whatever the order of the rows."""
+    def text(name, n=40):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    near = [text("a", 80), text("a", 80) + " end"]
+    rows = [(0, text(f"p{i}"), "s") for i in range(6)] + [(0, t, "s") for t in near] + [(0, None, "s"), (0, None, "s")]
+    rows += [(0, text("p1"), "r"), (5, text("p2"), "s"), (6, text("p3") + " more", "s"), (7, text("q"), "s")]
+    survivors = [(0, min(near, key=lambda t: hashlib.sha256(t.encode()).hexdigest())), (0, None), (7, text("q"))]
+    want = collections.Counter([(0, text(f"p{i}")) for i in range(6)] + survivors)
+    df = docs(rows)
+    kept = neardup.one_of_each(df).collect()
+    assert collections.Counter((r["doc_id"], r["text"]) for r in kept) == want
+    assert sorted(map(tuple, kept), key=repr) == sorted(map(tuple, neardup.one_of_each(docs(rows[::-1]).repartition(3)).collect()), key=repr)
+    assert {r["source"] for r in kept if r["text"] == text("p1")} == {"r"}
+    judged = collections.Counter(tuple(r) for r in neardup.classes(df).collect())
+    assert judged == {(0, 0, True): 10, (0, 0, False): 1, (5, 0, False): 1, (6, 0, False): 1, (7, 7, True): 1}
+
+
 def brute_vectors(rows, cosine=0.98):
     ok = [(i, np.array(v, np.float32).astype(float), lab) for i, v, lab in rows
           if v and lab is not None and i is not None and all(x is not None and np.isfinite(x) for x in v) and any(v)]
