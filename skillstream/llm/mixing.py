@@ -7,7 +7,8 @@ the remainder from the front of the random order.
 
 Edge cases: a null or empty text has size 0 and takes 0; a null source is a
 source of its own, last in order; rows equal in id and size share the words of
-a cut that falls on them; an empty table gives an empty result; columns beyond
+a cut that falls on them, or with ``whole`` are numbered, so that as many of
+them are taken as fit; an empty table gives an empty result; columns beyond
 those named are ignored by :func:`mix` and kept by :func:`mixed_documents`.
 """
 
@@ -50,15 +51,21 @@ def targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST_EPOCHS) -> DataF
     return s.select("source", "source_size", "source_before", target.alias("target"))
 
 
-def _keyed(docs: DataFrame, seed: str) -> DataFrame:
+def _keyed(docs: DataFrame, seed: str, whole: bool) -> DataFrame:
+    # Rows without an id share a key; where whole rows are taken, their texts tell them apart.
+    other = [F.md5("text")] if whole else []
     return docs.withColumns({
         "_size": n_words(F.col("text")),
-        "_key": F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))),
+        "_key": F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), *other, F.lit("")))),
     })
 
 
 def _plan(docs: DataFrame, seed: str, weights, most: int, whole: bool) -> DataFrame:
-    """One row per source: size, target, epochs, and the (key, doc_id, size) at which the last epoch is cut."""
+    """One row per source: size, target, epochs, and the (key, doc_id, size) at which the last epoch is cut.
+
+    Of the rows there, each gives ``_cut_words`` words; with ``whole``, ``_cut_rows`` of all ``_tied`` give all their words,
+    and ``_tied_before`` counts such rows of several in the sources earlier in order.
+    """
     ids = store(docs.groupBy("source", F.col("_key").alias("key"), "doc_id", F.col("_size").alias("size"))
                 .agg(F.count("*").alias("n")).withColumn("words", F.col("size") * F.col("n"))
                 .withColumn("last", F.col("source").isNull().cast("int")), "mix-ids")
@@ -70,25 +77,39 @@ def _plan(docs: DataFrame, seed: str, weights, most: int, whole: bool) -> DataFr
     p = plan.withColumnRenamed("source", "_s")
     at = placed.join(p, placed["source"].eqNullSafe(p["_s"])).withColumn("place", F.col("words_before") - F.col("source_before"))
     cut = at.where("place < rest and rest <= place + words")
-    each = (F.when((F.col("rest") - F.col("place")) * 2 >= F.col("words"), F.col("size")).otherwise(0) if whole
-            else F.floor(F.expr("(rest - place) div n"))).cast("long")
-    cut = cut.select("_s", F.struct("key", "doc_id", "size").alias("cut"), each.alias("cut_words"))
-    return (plan.join(cut, plan["source"].eqNullSafe(cut["_s"]), "left")
-            .select(F.col("source").alias("_src"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"),
-                    F.col("epochs").alias("_epochs"), F.col("cut").alias("_cut"), F.col("cut_words").alias("_cut_words")))
+    # Rows that fit, and one more if at least half of it fits.
+    rows = F.expr("(rest - place) div size + if(2 * ((rest - place) % size) >= size, 1, 0)").cast("long")
+    cut = cut.select("_s", F.struct("key", "doc_id", "size").alias("cut"), F.expr("(rest - place) div n").cast("long").alias("cut_words"),
+                     rows.alias("cut_rows"), "n")
+    out = (plan.join(cut, plan["source"].eqNullSafe(cut["_s"]), "left")
+           .select(F.col("source").alias("_src"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"),
+                   F.col("epochs").alias("_epochs"), F.col("cut").alias("_cut"), F.col("cut_words").alias("_cut_words"), F.col("cut_rows").alias("_cut_rows"),
+                   F.when(F.col("n") > 1, F.col("n")).otherwise(0).cast("long").alias("_tied"), F.col("source").isNull().cast("int").alias("_last")))
+    return running_totals(out, ["_last", "_src"], ["_tied"], "mix-tied-sources") if whole else out
 
 
 def _taken(docs: DataFrame, seed: str, weights, most: int, whole: bool) -> DataFrame:
-    d = _keyed(docs, seed)
+    d = _keyed(docs, seed, whole)
     plan = store(_plan(d.select("doc_id", "source", "_key", "_size"), seed, weights, most, whole), "mix-cuts")
     # The plan has one row per source; Spark broadcasts it if it is small and splits hot sources otherwise.
     j = d.join(plan, d["source"].eqNullSafe(plan["_src"]), "left")
     here = F.struct(F.col("_key").alias("key"), F.col("doc_id"), F.col("_size").alias("size"))
-    part = (F.when(F.col("_cut").isNull(), F.lit(0)).when(here < F.col("_cut"), F.col("_size"))
-            .when(here == F.col("_cut"), F.col("_cut_words"))
-            .when(F.col("_key").eqNullSafe(F.col("_cut.key")) & F.col("doc_id").eqNullSafe(F.col("_cut.doc_id"))
-                  & (F.col("_size") == F.col("_cut.size")), F.col("_cut_words")).otherwise(0))
-    return j.withColumn("_taken", (F.col("_size") * F.col("_epochs") + part).cast("long"))
+    on = (F.col("_cut").isNotNull() & F.col("_key").eqNullSafe(F.col("_cut.key")) & F.col("doc_id").eqNullSafe(F.col("_cut.doc_id"))
+          & (F.col("_size") == F.col("_cut.size")))
+    at = F.col("_cut_rows") * F.col("_size") if whole else F.col("_cut_words")  # of a single row, if whole
+    part = F.when(F.col("_cut").isNull(), F.lit(0)).when(on, at).when(here < F.col("_cut"), F.col("_size")).otherwise(0)
+    if not whole or not plan.where("_tied > 1").take(1):
+        return j.withColumn("_taken", (F.col("_size") * F.col("_epochs") + part).cast("long"))
+    # Several rows on a cut are numbered in order of their contents; rows equal in all columns stand for one another.
+    several = on & (F.col("_tied") > 1)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    tied = store(j.where(several).withColumns({
+        "_text": F.md5("text"), "_others": F.to_json(F.struct(*others)), "_row": F.monotonically_increasing_id(), "_one": F.lit(1).cast("long")}), "mix-tied")
+    tied = running_totals(tied, ["_last", "source", "_text", "_others", "_row"], ["_one"], "mix-tied-places")
+    part_tied = F.when(F.col("_one_before") - F.col("_tied_before") < F.col("_cut_rows"), F.col("_size")).otherwise(0)
+    rest = j.where(~several).withColumn("_part", part)
+    tied = tied.withColumn("_part", part_tied).select(*rest.columns)
+    return rest.unionByName(tied).withColumn("_taken", (F.col("_size") * F.col("_epochs") + F.col("_part")).cast("long"))
 
 
 def mix(docs: DataFrame, seed: str = SEED, weights=WEIGHTS, most: int = MOST_EPOCHS, whole: bool = False) -> DataFrame:
@@ -96,6 +117,7 @@ def mix(docs: DataFrame, seed: str = SEED, weights=WEIGHTS, most: int = MOST_EPO
 
     With ``whole`` the document on the cut is taken whole if at least half of
     it fits, else not at all; without, its first words fill the budget exactly.
+    Repeated rows on the cut are taken one by one with ``whole``.
     """
     t = _taken(docs.select("doc_id", "source", "text"), seed, weights, most, whole)
     return t.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
