@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from skillstream.llm import extract, neardup, quality, rules, toxicity
+from skillstream.llm import extract, labelled, neardup, quality, rules, toxicity
 from skillstream.llm.dom import Page
 from skillstream.llm.queries import ORACLE_SQL, QUERIES
 
@@ -47,6 +47,19 @@ def test_scores_read_neither_labels_nor_columns(spark, docs):
     assert sorted(a) == sorted(b)
 
 
+def test_sample_makes_up_for_missing_and_long_texts(spark, docs):
+    rows = [(i, f"short {i}", "s") for i in range(0, 300, 15)] + [(i, f"start{i} " + "word " * 8000 + f"end{i}", "s") for i in range(1, 300, 15)]
+    rows += [(2, None, "s"), (4, "", "s")]
+    labels = spark.createDataFrame([(i, 0, i % 15) for i in range(300)], "doc_id long, quality int, toxic int")
+    got = labelled.sample(docs(rows), labels, "toxic", {0: 6, 1: 6})
+    assert [v for _, v in got].count(0) == [v for _, v in got].count(1) == 6
+    for text, v in got:
+        assert text.startswith("start" if v else "short") and len(text) <= labelled.MOST_CHARS
+        assert not v or (text.split()[-1].startswith("end") and len(text) > labelled.MOST_CHARS - 10)
+    with pytest.warns(UserWarning, match=r"toxic = \[1\]"):
+        assert len(labelled.sample(docs(rows[:20]), labels, "toxic", {0: 6, 1: 6})) == 6
+
+
 @pytest.fixture(scope="module")
 def trees():
     pool = [" ".join(random.Random(i).choice("alpha beta gamma delta, epsilon. zeta eta theta".split()) for _ in range(5 + i * 3 % 90)) for i in range(80)]
