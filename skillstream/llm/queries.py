@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, extract, infill, mixing, neardup, pieces, quality, rules, sharding, toxicity, vectors, warc
+from . import bpe, extract, infill, mixing, neardup, negatives, pieces, quality, rules, sharding, toxicity, vectors, warc
 from .common import table
 
 
@@ -54,14 +54,20 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.digests(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_mix, op2_near_duplicates, op3_shards, op4_quality_rules, op5_byte_bpe, op6_token_counts, op7_quality_score, op8_main_text,
-    op9_toxicity, op10_near_vectors, op11_warc, op13_fill_in_middle)}
+    op9_toxicity, op10_near_vectors, op11_warc,
+    op12_hard_negatives, op13_fill_in_middle)}
 
 #: DuckDB SQL of the queries that SQL can express. The others are tested against brute force, round trips or held-out rows.
 ORACLE_SQL = {"op1_mix": mixing.MIX_SQL, "op4_quality_rules": rules.RULES_SQL, "op11_warc": warc.WARC_SQL,
+              "op12_hard_negatives": negatives.NEGATIVES_SQL,
               "op13_fill_in_middle": infill.INFILL_SQL}
