@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import ALERT_FILE_SCHEMA, ALERT_HIT_COLS, ALERT_SCHEMA
+from .alert_index import INDEX_BROADCAST_BYTES, is_open, match_indexed
 
 # Largest (exploded) alert table sent whole to every task; above it the
 # alert side of an equi-join is shuffled, and criterion-less alerts are
@@ -256,13 +257,19 @@ def _route() -> Column:
 
 def match_alerts(postings: DataFrame, alerts: DataFrame, since=None,
                  broadcast_limit: int = ALERT_BROADCAST_LIMIT, method: str = "auto",
-                 theta_max: int = THETA_MAX_ALERTS) -> DataFrame:
+                 theta_max: int = THETA_MAX_ALERTS,
+                 index_bytes: int = INDEX_BROADCAST_BYTES) -> DataFrame:
     """Every (enabled alert, posting) pair that satisfies the alert.
 
     Output: ``alert_id, alert_name`` + the hit columns; uncapped. A small
     alert set (<= ``theta_max`` enabled alerts) is broadcast and matched in
-    one nested-loop pass. Otherwise each alert is routed to an equi-join on
-    its most selective list criterion — keywords (posting skills exploded), else locations, else seniority
+    one nested-loop pass; a larger one, or ``method="index"``, by one pass
+    over an inverted index (``alert_index``), broadcast up to
+    ``index_bytes``.
+
+    ``method="routed"`` (and ``theta_max=0``) reads the postings once per
+    route: each alert is routed to an equi-join on its most selective list
+    criterion — keywords (posting skills exploded), else locations, else seniority
     levels — with the remaining criteria as a residual predicate, so the
     work is proportional to candidate pairs, not postings x alerts. Only
     alerts without any list criterion (which match every posting that passes
@@ -281,6 +288,9 @@ def match_alerts(postings: DataFrame, alerts: DataFrame, since=None,
         n_alerts = enabled.count()
         if 0 < n_alerts <= min(theta_max, broadcast_limit):
             return _theta_match(postings, enabled, n_alerts, broadcast_limit)
+        method = "index"
+    if method == "index":
+        return match_indexed(postings, enabled, index_bytes)
     route = _route()
     routed = enabled.withColumn("route", route).withColumn(
         "route_rows", F.greatest(F.lit(1), F.size(F.array_distinct(
@@ -345,14 +355,105 @@ def top_hits(matches: DataFrame, cap: int = DIGEST_CAP, fan_in: int = TOP_HITS_F
                   .where(F.col("hit_rank") <= cap))
 
 
+# Rows that a task holds before it cuts them to the cap, and after which it passes on what it has.
+COUNTED_ROWS = 20_000
+
+
+def counted_hits(matches: DataFrame, cap: int = DIGEST_CAP, fan_in: int = TOP_HITS_FAN_IN) -> DataFrame:
+    """``top_hits`` and, on every row, the number of all hits of its alert (``n_total``), from one pass over the matches.
+
+    Each task keeps, per alert, a count and the first ``cap`` rows (level 0,
+    Arrow batches, a bounded number of rows in memory); slots and then
+    alerts add up the counts and cut the rows again, as in ``top_hits``. The
+    count travels on the first row of its group. What is shuffled is at
+    most ``cap`` rows per alert and task.
+    """
+    tied = matches.withColumn("__hit_tie", F.xxhash64(*ALERT_HIT_COLS))
+    limit = COUNTED_ROWS
+
+    def level0(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        order = [("alert_id", "ascending"), ("processed_timestamp", "descending"), ("job_id", "ascending"), ("__hit_tie", "ascending")]
+        held, rows, kept = [], 0, 0
+
+        def cut():
+            """The held rows in order, cut to the cap, the count of each alert on its first row."""
+            t = pa.Table.from_batches(held)
+            t = t.take(pc.sort_indices(t, sort_keys=order, null_placement="at_end")).combine_chunks()
+            alert = t.column("alert_id").to_numpy()
+            first = np.searchsorted(alert, alert)
+            counts = np.add.reduceat(t.column("__hits").to_numpy(), np.unique(first)) if len(alert) else np.zeros(0, np.int64)
+            place = np.arange(len(alert)) - first
+            hits = np.zeros(len(alert), np.int64)
+            hits[place == 0] = counts
+            t = t.set_column(t.schema.get_field_index("__hits"), "__hits", pa.array(hits))
+            return t.take(pa.array(np.flatnonzero(place < cap))).combine_chunks().to_batches()
+
+        for b in batches:
+            held.append(b.append_column("__hits", pa.array(np.ones(b.num_rows, np.int64))))
+            rows += b.num_rows
+            if rows - kept >= limit:
+                held = cut()
+                rows = kept = sum(x.num_rows for x in held)
+                if kept > limit:  # very many alerts
+                    yield from held
+                    held, rows, kept = [], 0, 0
+        if rows:
+            yield from cut()
+
+    schema = T.StructType([*tied.schema.fields, T.StructField("__hits", T.LongType())])
+    out = tied.mapInArrow(level0, schema).drop("__hit_tie").withColumn("__slot", F.pmod(F.spark_partition_id(), F.lit(fan_in)))
+    for keys in (["alert_id", "__slot"], ["alert_id"]):
+        group = Window.partitionBy(*keys)
+        out = (out.withColumn("hit_rank", F.row_number().over(group.orderBy(*hit_order()))).withColumn("n_total", F.sum("__hits").over(group))
+               .where(F.col("hit_rank") <= cap).withColumn("__hits", F.when(F.col("hit_rank") == 1, F.col("n_total")).otherwise(F.lit(0))))
+    return out.drop("__hits", "__slot")
+
+
+def open_alert_hits(postings: DataFrame, alerts: DataFrame, cap: int = DIGEST_CAP) -> DataFrame:
+    """``counted_hits`` of the alerts without a list criterion, without a row per (posting, alert).
+
+    Such alerts differ in their skill minimum only, so count and first rows
+    are found per distinct minimum and handed to its alerts at the end:
+    at most ``cap`` rows per minimum are kept on the way.
+    """
+    least = F.coalesce("min_skills_count", F.lit(0))
+    alerts = alerts.where(is_open()).select("alert_id", F.col("name").alias("alert_name"), F.when(least == 0, F.lit(None)).otherwise(least).alias("least"))
+    # Distinct minima; no restriction is the least possible number.
+    minima = alerts.select(F.coalesce("least", F.lit(-2**31)).cast("int").alias("least")).distinct().agg(
+        F.coalesce(F.sort_array(F.collect_list("least")), F.array().cast("array<int>"))).scalar()
+    met = postings.select(*ALERT_HIT_COLS, F.explode(minima).alias("__least"))
+    met = met.where((F.col("__least") == -2**31) | (F.col("__least") <= F.col("skills_count"))).select(F.col("__least").cast("bigint").alias("alert_id"), F.lit(None).cast("string").alias("alert_name"), *ALERT_HIT_COLS)
+    hits = counted_hits(met, cap).withColumnRenamed("alert_id", "__least").drop("alert_name")
+    named = alerts.select(F.col("alert_id").cast("bigint").alias("alert_id"), "alert_name", F.coalesce("least", F.lit(-2**31)).cast("bigint").alias("__least"))
+    return hits.join(named, "__least").select("alert_id", "alert_name", *ALERT_HIT_COLS, "hit_rank", "n_total")
+
+
+def digest_hits(postings: DataFrame, alerts: DataFrame, since=None, cap: int = DIGEST_CAP, **match) -> DataFrame:
+    """What a digest lists of the enabled alerts: at most ``cap`` hits each, with rank and total, however many match."""
+    if since is not None:
+        postings = since_filter(postings, since)
+    enabled = enabled_alerts(alerts)
+    listed = counted_hits(match_alerts(postings, enabled.where(~is_open()), **match), cap)
+    return listed.select("alert_id", "alert_name", *ALERT_HIT_COLS, "hit_rank", "n_total").unionByName(open_alert_hits(postings, enabled, cap))
+
+
 def alert_digest(matches: DataFrame, cap: int = DIGEST_CAP, prefix: str = SUBJECT_PREFIX,
                  emails: DataFrame | None = None) -> DataFrame:
     """Per alert with at least one hit: subject line, counts and ranked cards (A10).
 
-    ``n`` counts the listed cards (<= cap), ``n_total`` all hits. Cards are
-    collected only after the per-alert cap, so each group holds <= cap rows.
+    ``n`` counts the listed cards (<= cap), ``n_total`` all hits; the matches
+    are evaluated once. Cards are collected only after the per-alert cap, so
+    each group holds <= cap rows.
     """
-    totals = matches.groupBy("alert_id").agg(F.count(F.lit(1)).alias("n_total"))
+    return digest_of_hits(counted_hits(matches, cap), prefix, emails)
+
+
+def digest_of_hits(hits: DataFrame, prefix: str = SUBJECT_PREFIX, emails: DataFrame | None = None) -> DataFrame:
+    """The digest of ranked hits with totals (``counted_hits``, ``digest_hits``)."""
     card = F.struct(
         F.col("hit_rank").alias("rank"),
         F.col("job_id"),
@@ -365,9 +466,8 @@ def alert_digest(matches: DataFrame, cap: int = DIGEST_CAP, prefix: str = SUBJEC
         F.slice(F.coalesce("skills_extracted", _empty()), 1, CARD_SKILLS).alias("skills"),
         F.coalesce("link", F.lit("#")).alias("link"),
     )
-    digest = (top_hits(matches, cap).groupBy("alert_id", "alert_name")
-              .agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(card)).alias("cards")))
-    digest = digest.join(totals, "alert_id", "inner")
+    digest = hits.groupBy("alert_id", "alert_name").agg(
+        F.count(F.lit(1)).alias("n"), F.max("n_total").alias("n_total"), F.sort_array(F.collect_list(card)).alias("cards"))
     subject = F.concat(F.lit(prefix + ": "), F.col("n").cast("string"),
                        F.lit(" New Job(s) - "), F.coalesce("alert_name", F.lit("")))
     out = digest.select("alert_id", "alert_name", subject.alias("subject"), "n", "n_total", "cards")

@@ -20,7 +20,7 @@ from ..operators import alerts as AL
 from ..operators import metrics as M
 from ..operators.enrich import backfill_experience_level, enrich
 from ..operators.tag_join import tag_terms_join
-from ..schema import ALERT_HIT_COLS
+from ..schema import ALERT_HIT_COLS, DICTIONARY_SCHEMA
 from ..session import scratch_path
 from ..sources.fixtures import fixture_postings
 from ..sources.json_codec import (decode_postings, encode_postings, publish, publish_stats,
@@ -28,7 +28,7 @@ from ..sources.json_codec import (decode_postings, encode_postings, publish, pub
 from ..sources.tables import compact_table, read_table, write_table
 from ..streaming.aggregates import latest_counts, running_counts, running_skill_counts
 from ..streaming.alerts import read_posting_stream, stream_alerts
-from ..streaming.ingest import run_ingest
+from ..streaming.ingest import read_envelopes, run_ingest, start_batch_ingest
 from . import params as P
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,38 @@ def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return AL.match_alerts(posting_table(spark, sf_dir), _alerts(spark), since=P.SINCE)
 
 
+def many_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some hundred saved searches derived from ``documents``: one per (source, n_chars % 11).
+
+    Their criteria follow from that remainder ``k``: two terms, two
+    locations, a seniority class, or only a skill minimum.
+    """
+    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    k = F.col("k")
+    base = docs.where("source is not null and n_chars is not null").select("source", (F.col("n_chars") % 11).cast("int").alias("k")).distinct()
+    terms = F.array(*[F.lit(t) for t in TEST_SKILLS])
+    strings = "array<string>"
+    return base.select(
+        F.concat_ws("-", "source", k.cast("string")).alias("name"), F.concat("source", F.lit("@example.com")).alias("email"),
+        F.when(k % 4 == 0, F.array(F.element_at(terms, k + 1), F.element_at(terms, k + 3))).otherwise(F.lit(None).cast(strings)).alias("keywords"),
+        F.when(k % 4 < 2, F.array(F.concat(F.lit("LOC_"), k.cast("string")), F.concat(F.lit("LOC_"), ((k + 5) % 11).cast("string"))))
+         .otherwise(F.array().cast(strings)).alias("locations"),
+        F.when(k % 4 == 2, F.array(F.lit("Senior"), F.lit("Junior"))).otherwise(F.lit(None).cast(strings)).alias("seniority_levels"),
+        F.when(k % 4 == 3, F.lit(9)).otherwise(k).alias("min_skills_count"), (k != 9).alias("enabled"),
+    ).withColumn("alert_id", F.xxhash64("name"))
+
+
+def q_alert_matches_many(spark, sf_dir):
+    matches = AL.match_alerts(posting_table(spark, sf_dir), many_alerts(spark, sf_dir), since=P.SINCE)
+    return matches.drop("alert_id")
+
+
+def q_alert_digest_open(spark, sf_dir):
+    """The digest where many alerts take every posting, without a row per (posting, alert)."""
+    alerts = AL.alerts_frame(spark, P.OPEN_ALERTS)
+    return AL.digest_of_hits(AL.digest_hits(posting_table(spark, sf_dir), alerts, since=P.SINCE), prefix=P.SUBJECT_PREFIX).drop("cards")
+
+
 def q_skill_extract(spark, sf_dir):
     raw = fixture_postings(spark, sf_dir).select("job_id", "description")
     return with_tags(raw, "description", TEST_SKILLS).select("job_id", "skills_extracted")
@@ -165,6 +197,65 @@ def q_ingest_stream(spark, sf_dir):
     return read_table(spark, _ingested(spark, sf_dir)).drop(*STREAM_DROP)
 
 
+def q_ingest_stream_dictionary(spark, sf_dir):
+    """Ingest with the dictionary as a table that every micro-batch reads anew."""
+    terms = scratch_path(spark, "dictionary")
+    rows = [(t, None, i) for i, t in enumerate(TEST_SKILLS)]
+    spark.createDataFrame(rows, DICTIONARY_SCHEMA).write.mode("overwrite").parquet(terms)
+    table = scratch_path(spark, "dictionary-table")
+    env = read_envelopes(spark, "text", _published(spark, sf_dir), max_files_per_trigger=4)
+    start_batch_ingest(env, table, scratch_path(spark, "dictionary-ck"), load_dictionary=lambda s: s.read.parquet(terms))
+    return read_table(spark, table).drop(*STREAM_DROP)
+
+
+_QUARANTINED: dict[tuple[str, str], tuple[str, str]] = {}
+
+
+def _quarantined(spark, sf_dir) -> tuple[str, str]:
+    """One ingest over messages of which every sixth is cut short: paths of the posting table and of what was set aside."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _QUARANTINED:
+        messages, table, aside = (scratch_path(spark, f"quarantine-{n}") for n in ("messages", "table", "aside"))
+        number = F.regexp_extract("key", r"(\d+)$", 1).cast("long")
+        cut = F.when(number % 6 == 0, F.substring("value", F.lit(1), (number % 40 + 1).cast("int"))).otherwise(F.col("value"))
+        encode_postings(fixture_postings(spark, sf_dir)).select(cut.alias("value")).write.mode("overwrite").text(messages)
+        start_batch_ingest(read_envelopes(spark, "text", messages, max_files_per_trigger=4), table, scratch_path(spark, "quarantine-ck"),
+                           load_dictionary=lambda s: TEST_SKILLS, quarantine_path=aside)
+        _QUARANTINED[key] = (table, aside)
+    return _QUARANTINED[key]
+
+
+def q_quarantine_postings(spark, sf_dir):
+    return read_table(spark, _quarantined(spark, sf_dir)[0]).drop(*STREAM_DROP)
+
+
+def q_quarantine_messages(spark, sf_dir):
+    return spark.read.parquet(_quarantined(spark, sf_dir)[1]).select("value")
+
+
+def q_ingest_stream_once(spark, sf_dir):
+    """Bounded-state de-duplication of three waves of messages.
+
+    A wave is read when the waves before it have moved the watermark to
+    their latest message less an hour. First most postings; then those held
+    back, at their own time (late ones go), and a third of the first again
+    half an hour later (repeats or late: all go); then a seventh of all
+    again after thirty days, which stay where the state of the message has
+    been cleared, or never was.
+    """
+    env = encode_postings(fixture_postings(spark, sf_dir), carry=["kafka_timestamp"])
+    number = F.regexp_extract("key", r"(\d+)$", 1).cast("long")
+    env = env.select("value", F.col("kafka_timestamp").cast("timestamp").alias("timestamp"), number.alias("n"))
+    again = env.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL '30' MINUTE + INTERVAL '30' SECOND"))
+    waves = [env.where("n % 5 <> 0"), env.where("n % 5 = 0").unionByName(again.where("n % 3 = 0 and n % 5 <> 0")),
+             env.where("n % 7 = 0").withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL '30' DAY"))]
+    messages, table, ck = (scratch_path(spark, f"once-{n}") for n in ("messages", "table", "ck"))
+    for wave in waves:
+        wave.drop("n").write.mode("append").parquet(messages)
+        run_ingest(spark, "parquet", messages, table, ck, dictionary=TEST_SKILLS, dedupe_within="1 hour")
+    return read_table(spark, table).select("job_id", "skills_count", F.col("kafka_timestamp").cast("timestamp_ntz").alias("kafka_timestamp"))
+
+
 def q_stream_alerts(spark, sf_dir):
     table = _ingested(spark, sf_dir)
     out = scratch_path(spark, "alert-out")
@@ -268,12 +359,18 @@ QUERIES: dict[str, Query] = {
     "alert_top50": lambda s, d: AL.top_hits(_matches(s, d)),
     "alert_digest": q_alert_digest,
     "alert_digest_cards": q_alert_digest_cards,
+    "alert_matches_many": q_alert_matches_many,
+    "alert_digest_open": q_alert_digest_open,
     # sources, sinks and streaming
     "decode_json": q_decode_json,
     "encode_json": q_encode_json,
     "publish_stats": q_publish_stats,
     "postings_json": q_postings_json,
     "ingest_stream": q_ingest_stream,
+    "ingest_stream_dictionary": q_ingest_stream_dictionary,
+    "quarantine_postings": q_quarantine_postings,
+    "quarantine_messages": q_quarantine_messages,
+    "ingest_stream_once": q_ingest_stream_once,
     "stream_alerts": q_stream_alerts,
     "stream_top_skills": q_stream_top_skills,
     "stream_top_locations": q_stream_top_locations,

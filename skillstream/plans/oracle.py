@@ -83,9 +83,9 @@ LISTING_COLS = "job_id, title, company, location, experience, seniority, skills_
 SINCE = f"TIMESTAMP {_q(P.SINCE)}"
 
 
-def _alert_values() -> str:
+def _alert_values(alerts: list[dict] = P.TEST_ALERTS) -> str:
     rows = []
-    for i, a in enumerate(P.TEST_ALERTS):
+    for i, a in enumerate(alerts):
         def lst(x):
             return "NULL::VARCHAR[]" if x is None else _list(x)
         mins = "NULL" if a.get("min_skills_count") is None else str(a["min_skills_count"])
@@ -97,13 +97,24 @@ def _alert_values() -> str:
             "locations, seniority_levels, min_skills_count, enabled)")
 
 
-def _matches(since: bool = True) -> str:
+MANY_ALERTS = f"""
+SELECT concat(source, '-', CAST(k AS VARCHAR)) AS name,
+       CASE WHEN k % 4 = 0 THEN [({_list(TEST_SKILLS)})[k + 1], ({_list(TEST_SKILLS)})[k + 3]] END AS keywords,
+       CASE WHEN k % 4 < 2 THEN [concat('LOC_', CAST(k AS VARCHAR)), concat('LOC_', CAST((k + 5) % 11 AS VARCHAR))]
+            ELSE []::VARCHAR[] END AS locations,
+       CASE WHEN k % 4 = 2 THEN ['Senior', 'Junior'] END AS seniority_levels,
+       CASE WHEN k % 4 = 3 THEN 9 ELSE k END AS min_skills_count, k <> 9 AS enabled, 0 AS alert_id
+FROM (SELECT DISTINCT source, n_chars % 11 AS k FROM documents WHERE source IS NOT NULL AND n_chars IS NOT NULL) d
+"""
+
+
+def _matches(since: bool = True, alerts: str | None = None) -> str:
     where = f"p.processed_timestamp > {SINCE} AND " if since else ""
     return f"""
 SELECT CAST(a.alert_id AS BIGINT) AS alert_id, a.name AS alert_name, p.job_id, p.title, p.company,
        p.location, p.experience, p.seniority, p.skills_count, p.skills_extracted, p.link,
        p.posted_date, p.processed_timestamp
-FROM enriched p, ({_alert_values()}) a
+FROM enriched p, ({alerts or _alert_values()}) a
 WHERE {where}coalesce(a.enabled, TRUE)
   AND (len(coalesce(a.locations, []::VARCHAR[])) = 0 OR list_contains(a.locations, p.location))
   AND (len(coalesce(a.seniority_levels, []::VARCHAR[])) = 0 OR list_contains(a.seniority_levels, p.seniority))
@@ -241,6 +252,11 @@ SELECT alert_id, alert_name, hit_rank AS card_rank, job_id,
        coalesce(seniority, 'N/A') AS seniority, coalesce(skills_count, 0) AS skills_count,
        coalesce(skills_extracted, []::VARCHAR[])[1:10] AS skills, coalesce(link, '#') AS link
 FROM ({_top50()}) r""")
+    q["alert_matches_many"] = _with(f"SELECT * EXCLUDE (alert_id) FROM ({_matches(alerts=MANY_ALERTS)}) m")
+    q["alert_digest_open"] = _with(f"""
+SELECT alert_id, alert_name, concat({_q(P.SUBJECT_PREFIX + ': ')}, CAST(least(count(*), 50) AS VARCHAR), ' New Job(s) - ', alert_name) AS subject,
+       least(count(*), 50) AS n, count(*) AS n_total
+FROM ({_matches(alerts=_alert_values(P.OPEN_ALERTS))}) m GROUP BY alert_id, alert_name""")
     raw_cols = ("job_id, title, company, location, experience, experience_level, skills_required, "
                 "description, posted_date, link, salary_range")
     q["decode_json"] = f"WITH raw AS ({RAW_POSTINGS}) SELECT {raw_cols}, kafka_timestamp FROM raw"
@@ -253,6 +269,25 @@ FROM ({_top50()}) r""")
     q["postings_json"] = f"WITH raw AS ({RAW_POSTINGS}) SELECT {raw_cols} FROM raw"
     q["ingest_stream"] = _with(
         "SELECT * EXCLUDE (processed_timestamp, kafka_timestamp) FROM enriched")
+    q["ingest_stream_dictionary"] = q["ingest_stream"]
+    number = "CAST(regexp_extract({}, '[0-9]+$') AS BIGINT)"
+    q["quarantine_postings"] = f"SELECT * FROM ({q['ingest_stream']}) p WHERE {number.format('job_id')} % 6 <> 0"
+    q["quarantine_messages"] = (f"SELECT substr(value, 1, {number.format('key')} % 40 + 1) AS value FROM ({q['encode_json']}) m "
+                                f"WHERE {number.format('key')} % 6 = 0")
+    # A wave's watermark is the latest message of the waves before it less an hour. A message at or before it is late and
+    # goes. A message that stays is remembered until the watermark passes its time by the hour; a repeat goes till then.
+    q["ingest_stream_once"] = _with(f"""
+, m AS (SELECT *, {number.format('job_id')} AS n FROM enriched),
+w1 AS (SELECT max(kafka_timestamp) AS latest FROM m WHERE n % 5 <> 0),
+two AS (SELECT kafka_timestamp AS t FROM m WHERE n % 5 = 0
+        UNION ALL SELECT kafka_timestamp + INTERVAL 30 MINUTE + INTERVAL 30 SECOND FROM m WHERE n % 3 = 0 AND n % 5 <> 0),
+w2 AS (SELECT greatest((SELECT latest FROM w1), (SELECT max(t) FROM two)) AS latest),
+seen AS (SELECT *, n % 5 <> 0 OR kafka_timestamp > w1.latest - INTERVAL 1 HOUR AS stays FROM m, w1)
+SELECT job_id, skills_count, kafka_timestamp FROM seen WHERE stays
+UNION ALL
+SELECT job_id, skills_count, kafka_timestamp + INTERVAL 30 DAY FROM seen, w2
+WHERE n % 7 = 0 AND kafka_timestamp + INTERVAL 30 DAY > w2.latest - INTERVAL 1 HOUR
+  AND (NOT stays OR kafka_timestamp + INTERVAL 1 HOUR <= w2.latest - INTERVAL 1 HOUR)""")
     q["stream_alerts"] = _with(f"SELECT * EXCLUDE (processed_timestamp) FROM ({_matches(since=False)})")
     q["stream_top_skills"] = q["top_skills"]
     q["stream_top_locations"] = q["top_locations"]

@@ -28,5 +28,11 @@ TEST_ALERTS = [
 ]
 ALERT_A = TEST_ALERTS[0]
 
+# Alerts without a list criterion: the ones above and several skill minima, equal and unmatched ones among them.
+OPEN_ALERTS = TEST_ALERTS + [
+    {"name": f"open-{i}", "email": "o@example.com", "keywords": None, "locations": [],
+     "seniority_levels": None, "min_skills_count": m, "enabled": i != 2}
+    for i, m in enumerate([None, 6, 7, 9, 9, 400])]
+
 # largest message that the publish run may send
 MAX_MESSAGE_BYTES = 4_000

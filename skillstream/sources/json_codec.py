@@ -9,20 +9,20 @@ from ..schema import POSTING_COLS, POSTING_SCHEMA
 
 
 def decode_postings(envelopes: DataFrame, value_col: str = "value",
-                    ts_col: str | None = "timestamp") -> DataFrame:
+                    ts_col: str | None = "timestamp", carry: list[str] | None = None) -> DataFrame:
     """Envelopes (``value`` binary/string, ``timestamp``) -> raw postings.
 
     PERMISSIVE decode with the fixed posting schema: unknown fields are
     dropped, a number in a text field becomes text, a field of the wrong
     shape becomes NULL, and malformed JSON (or a JSON array, NULL or empty
     value) becomes an all-NULL row that is kept (see ``split_quarantine``).
-    The envelope time is carried as ``kafka_timestamp``.
+    The envelope time is carried as ``kafka_timestamp``, ``carry`` columns unchanged.
     """
     # the envelope time keeps its type (Kafka/file sources give TIMESTAMP)
     ts = (F.col(ts_col) if ts_col else F.lit(None).cast("timestamp")).alias("kafka_timestamp")
     return (envelopes.select(F.from_json(F.col(value_col).cast("string"), POSTING_SCHEMA).alias("data"),
-                             ts)
-                     .select("data.*", "kafka_timestamp"))
+                             ts, *(carry or []))
+                     .select("data.*", "kafka_timestamp", *(carry or [])))
 
 
 def is_malformed(job_id: Column | None = None) -> Column:

@@ -7,7 +7,9 @@ checkpoint, each micro-batch is matched against the current alert table
 (re-read per batch, so edits apply without restart), and the matches of
 batch ``b`` are written to ``<out>/batch_id=<b>`` in overwrite mode — a
 replayed batch replaces its own output instead of duplicating it. All
-matches are stored; the per-alert cap applies only when a digest is made.
+matches are stored and the per-alert cap applies only when a digest is made,
+or, with ``compact``, only what a digest lists is stored: alerts that take
+every posting then cost at most the cap per batch, not a row per posting.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.alerts import alert_digest, match_alerts
+from ..operators.alerts import alert_digest, digest_hits, digest_of_hits, match_alerts
 
 
 def read_posting_stream(spark: SparkSession, table_path: str, schema,
@@ -32,21 +34,25 @@ def read_posting_stream(spark: SparkSession, table_path: str, schema,
 def stream_alerts(postings: DataFrame, load_alerts: Callable[[SparkSession], DataFrame],
                   out_path: str, checkpoint: str, available_now: bool = True,
                   processing_time: str = "15 minutes", digest_path: str | None = None,
-                  subject_prefix: str = "Job Alert") -> StreamingQuery:
+                  subject_prefix: str = "Job Alert", compact: bool = False) -> StreamingQuery:
     """Start the incremental alert stream.
 
     ``digest_path``: also write, per micro-batch, one digest row per alert
     with hits (subject, counts, first 50 cards) to
     ``<digest_path>/batch_id=<id>`` — the content of one notification cycle.
+    ``compact``: store the listed hits of each batch only, with their rank
+    (``hit_rank``) and the number of all hits of their alert (``n_total``).
     """
     def deliver(batch: DataFrame, batch_id: int) -> None:
         alerts = load_alerts(batch.sparkSession)
         target = f"{out_path}/batch_id={batch_id}"
-        match_alerts(batch, alerts).write.mode("overwrite").parquet(target)
+        matches = digest_hits(batch, alerts) if compact else match_alerts(batch, alerts)
+        matches.write.mode("overwrite").parquet(target)
         if digest_path:
             stored = batch.sparkSession.read.parquet(target)
             emails = alerts.select("alert_id", "email")
-            (alert_digest(stored, prefix=subject_prefix, emails=emails).write.mode("overwrite")
+            digest = digest_of_hits if compact else alert_digest
+            (digest(stored, prefix=subject_prefix, emails=emails).write.mode("overwrite")
                 .parquet(f"{digest_path}/batch_id={batch_id}"))
 
     w = postings.writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)

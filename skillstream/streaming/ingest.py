@@ -9,6 +9,7 @@ the table folder.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.enrich import enrich
-from ..sources.json_codec import decode_postings
+from ..sources.json_codec import decode_postings, is_malformed
 from .progress import append_progress
 
 ENVELOPE_SCHEMA = T.StructType([T.StructField("value", T.StringType()),
@@ -64,14 +65,19 @@ def enriched_stream(envelopes: DataFrame, dictionary=None,
     dropped with its state. Off by default: postings are never
     de-duplicated, as in the source system.
     """
-    if dedupe_within:
-        text = F.col("value").cast("string")
-        has_id = F.get_json_object(text, "$.job_id").isNotNull()
-        known = (envelopes.where(has_id).withColumn("__message", F.sha2(text, 256))
-                 .withWatermark("timestamp", dedupe_within)
-                 .dropDuplicatesWithinWatermark(["__message"]).drop("__message"))
-        envelopes = known.unionByName(envelopes.where(~has_id))
-    return enrich(decode_postings(envelopes), dictionary)
+    return enrich(decode_postings(_once(envelopes, dedupe_within)), dictionary)
+
+
+def _once(envelopes: DataFrame, within: str | None) -> DataFrame:
+    """Messages without the repeats seen within that delay (see ``enriched_stream``)."""
+    if not within:
+        return envelopes
+    text = F.col("value").cast("string")
+    has_id = F.get_json_object(text, "$.job_id").isNotNull()
+    known = (envelopes.where(has_id).withColumn("__message", F.sha2(text, 256))
+             .withWatermark("timestamp", within)
+             .dropDuplicatesWithinWatermark(["__message"]).drop("__message"))
+    return known.unionByName(envelopes.where(~has_id))
 
 
 def start_ingest(enriched: DataFrame, table_path: str, checkpoint: str, fmt: str = "parquet",
@@ -115,3 +121,44 @@ def run_ingest(spark: SparkSession, source_fmt: str, source: str | None, table_p
     if available_now:
         q.awaitTermination()
     return q
+
+
+def start_batch_ingest(envelopes: DataFrame, table_path: str, checkpoint: str,
+                       load_dictionary: Callable[[SparkSession], DataFrame | list | None] | None = None,
+                       quarantine_path: str | None = None, dedupe_within: str | None = None, fmt: str = "parquet",
+                       partition_by: list[str] | None = None, available_now: bool = True,
+                       processing_time: str = "10 seconds") -> StreamingQuery:
+    """Ingest whose micro-batches are enriched as batch DataFrames.
+
+    ``load_dictionary`` is called for every micro-batch, so an edited
+    dictionary (a list or a table of any size, read by the join tagger)
+    applies from the next batch on without a restart. ``quarantine_path``:
+    messages that decode to no posting (bad JSON, no ``job_id``) are set
+    aside there with their text (``value``, ``kafka_timestamp``) instead of
+    becoming all-NULL postings.
+
+    Both tables are exactly-once: batch ``b`` goes to ``batch_id=<b>`` of
+    each in overwrite mode, and the checkpoint remembers ``b`` only after
+    both are written, so a batch that is run again, with the same messages,
+    replaces what it left behind.
+    """
+    def deliver(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        dictionary = load_dictionary(spark) if load_dictionary else None
+        rows = decode_postings(batch, carry=["value"])
+        postings = rows
+        if quarantine_path:
+            set_aside = rows.where(is_malformed()).select("value", "kafka_timestamp")
+            set_aside.write.mode("overwrite").format(fmt).save(f"{quarantine_path}/batch_id={batch_id}")
+            postings = rows.where(~is_malformed())
+        w = enrich(postings.drop("value"), dictionary, row_key="job_id").write.mode("overwrite").format(fmt)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.save(f"{table_path}/batch_id={batch_id}")
+
+    w = _once(envelopes, dedupe_within).writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
+    q = w.start()
+    if available_now:
+        q.awaitTermination()
+    return q
