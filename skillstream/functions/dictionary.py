@@ -201,3 +201,13 @@ def _runs(t: str) -> list[str]:
 
 def has_word_char(term: str) -> bool:
     return any(_is_word_char(c) for c in term)
+
+
+# A term without a word character is looked up by its first GRAM characters (fewer if it is shorter).
+GRAM = 3
+
+
+def term_probe(term_lower: str) -> str:
+    """What a text must have for the term to occur in it: the term's first word run, or its first characters."""
+    runs = word_runs(term_lower)
+    return runs[0] if runs else term_lower[:GRAM]

@@ -25,12 +25,13 @@ every term is tested independently.
 from __future__ import annotations
 
 import json
+import zlib
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .dictionary import (MARK, MARK_SUB, WORD_CLASS, as_terms, is_single_token, run_needle,
-                         term_pattern, word_runs)
+from .dictionary import (GRAM, MARK, MARK_SUB, NON_WORD_CLASS, WORD_CLASS, as_terms, has_word_char,
+                         is_single_token, run_needle, term_pattern, term_probe, word_runs)
 
 TOKEN_PATTERN = WORD_CLASS + "+"
 
@@ -56,6 +57,17 @@ def text_tokens(lower_text: Column) -> Column:
     return F.array_distinct(token_runs(lower_text))
 
 
+def symbol_grams(lower_text: Column) -> Column:
+    """Distinct pieces of 1 to GRAM characters of the runs without word characters: the probes of symbol-only terms."""
+    runs = F.array_distinct(F.regexp_extract_all(lower_text, F.lit(NON_WORD_CLASS + "+"), F.lit(0)))
+
+    def pieces(run: Column) -> Column:
+        return F.flatten(F.transform(F.sequence(F.lit(1), F.length(run)),
+                                     lambda i: F.array(*[F.substr(run, i, F.lit(n)) for n in range(1, GRAM + 1)])))
+
+    return F.array_distinct(F.flatten(F.transform(runs, pieces)))
+
+
 def term_hit(lower_text: Column, term: str, boundary: str = "strict") -> Column:
     """Boolean: does ``term`` occur as a whole word in already lower-cased text."""
     t = term.lower()
@@ -128,6 +140,38 @@ def _with_tags_array(df: DataFrame, text_col: str, terms: list[str], out_col: st
     return out.drop(_LOWER, _FOUND)
 
 
+_ENTRY_TYPE = "array<array<struct<probe:string,ordinal:int,term:string,lower:string,pattern:string>>>"
+
+
+def _with_tags_buckets(df: DataFrame, text_col: str, terms: list[str], out_col: str, boundary: str) -> DataFrame:
+    """Tags by a hash table of terms that is one literal: each probe of a text (see ``term_probe``) is looked up in
+    its bucket, and what is not a single token is verified on the text, in the row. No shuffle, no join, a plan of
+    fixed size, and a cost per row that does not grow with the dictionary; legal in streams."""
+    n = 1 << max(4, (2 * len(terms)).bit_length())
+    buckets: list[list[dict]] = [[] for _ in range(n)]
+    for i, t in enumerate(terms):
+        low = t.lower()
+        probe = term_probe(low)
+        pattern = None if is_single_token(low) else term_pattern(t, boundary)
+        buckets[zlib.crc32(probe.encode()) % n].append({"probe": probe, "ordinal": i, "term": t, "lower": low, "pattern": pattern})
+    table = F.from_json(F.lit(json.dumps(buckets)), _ENTRY_TYPE)  # folded into one literal
+    staged = df.withColumn(_LOWER, F.lower(F.col(text_col)))
+    lt = F.col(_LOWER)
+    probes = text_tokens(lt)
+    if not all(has_word_char(t.lower()) for t in terms):
+        probes = F.concat(probes, symbol_grams(lt))
+
+    def entries(probe: Column) -> Column:
+        bucket = F.get(table, F.pmod(F.crc32(probe.cast("binary")), F.lit(n)).cast("int"))
+        return F.filter(bucket, lambda e: (e["probe"] == probe) & (
+            e["pattern"].isNull() | (lt.contains(e["lower"]) & F.regexp_like(lt, e["pattern"]))))
+
+    found = F.flatten(F.transform(probes, entries))
+    ranked = F.array_sort(F.array_distinct(F.transform(found, lambda e: F.struct(e["ordinal"].alias("ordinal"), e["term"].alias("term")))))
+    hits = F.transform(ranked, lambda e: e["term"])
+    return staged.withColumn(out_col, F.when(lt.isNull(), _empty()).otherwise(hits)).drop(_LOWER)
+
+
 _LOWER = "__tag_lower"
 _FOUND = "__tag_found"
 _ENC = "__tag_enc"
@@ -144,7 +188,8 @@ def with_tags(df: DataFrame, text_col: str, dictionary, out_col: str = "skills_e
     re-evaluated by every term that references it); single-token terms are
     then answered from the small hit array and only multi-run terms run
     their regex. ``regex``: every term by regex (``tag_terms``). ``array``:
-    the hybrid's test over an array of terms, for large dictionaries.
+    the hybrid's test over an array of terms. ``buckets``: lookups in a hash
+    table of the terms, for large dictionaries.
 
     ``verify`` (hybrid, strict boundary): how a pre-screened multi-run term
     is confirmed — ``regex`` (default; each pattern is a literal compiled
@@ -159,6 +204,8 @@ def with_tags(df: DataFrame, text_col: str, dictionary, out_col: str = "skills_e
         return df.withColumn(out_col, tag_terms(text_col, terms, boundary=boundary))
     if method == "array":
         return _with_tags_array(df, text_col, terms, out_col, boundary)
+    if method == "buckets":
+        return _with_tags_buckets(df, text_col, terms, out_col, boundary)
     if method != "hybrid":
         raise ValueError(f"unknown tagging method {method!r}")
     single = {t for t in terms if is_single_token(t.lower())}

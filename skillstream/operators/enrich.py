@@ -17,15 +17,13 @@ from ..functions.tagging import with_tags
 from ..schema import ENRICHED_COLS
 
 # Up to this many terms the hybrid's generated code (one branch per term) fits
-# into compiled methods; above it the array tagger has a plan of fixed size.
+# into compiled methods; above it the bucket tagger has a plan of fixed size.
 HYBRID_MAX_TERMS = 200
 # Above this many terms the join-based tagger is used in batch. Measured on 10,000
-# documents (24.7 MB of text, local[8], warm; a synthetic dictionary with
-# about half multi-run terms), hybrid vs join: 3.2 s vs 4.2 s at 100 terms,
-# 7.5 s vs 7.9 s at 300, 6.5 s vs 6.2 s at 500, 10.5 s vs 6.7 s at 1,000 and
-# 47.7 s vs 10.1 s at 5,000. The hybrid's generated code grows with the
-# dictionary (one branch per term, compiled into one class); the join's cost
-# is flat in it.
+# documents (24.7 MB of text, local[8], warm; a synthetic dictionary, half of it
+# multi-run terms), hybrid / array / buckets / join in seconds: 2.8 / 1.2 / 1.6 / 3.1
+# at 100 terms, 10.1 / 2.6 / 2.0 / 2.8 at 300, 38.5 / 4.4 / 4.3 / 5.6 at 1,000 and
+# - / - / 11.2 / 9.8 at 3,000.
 JOIN_TAGGER_MIN_TERMS = 400
 
 
@@ -34,11 +32,11 @@ def with_skills(df: DataFrame, dictionary=None, text_col: str = "description",
                 row_key: str | None = None, boundary: str = "strict") -> DataFrame:
     # The join tagger joins its per-row hits back to the rows, which on a
     # stream would be a stream-stream join; streams use the hybrid or the
-    # array tagger, by the number of terms.
+    # bucket tagger, by the number of terms (a table: start_batch_ingest).
     # Every path gives the same tags for either boundary; only the plan differs.
     if df.isStreaming and (isinstance(dictionary, DataFrame) or method == "join"):
         raise ValueError("the join tagger works on batch DataFrames; give a streaming job the "
-                         "dictionary as a list")
+                         "dictionary as a list, or ingest by start_batch_ingest")
     if isinstance(dictionary, DataFrame):  # a dictionary table: join tagger
         from .tag_join import tag_terms_join
         return tag_terms_join(df, text_col, dictionary, out_col=out_col, row_key=row_key,
@@ -46,9 +44,9 @@ def with_skills(df: DataFrame, dictionary=None, text_col: str = "description",
     terms = as_terms(default_skills() if dictionary is None else dictionary)
     if method == "auto":
         method = ("hybrid" if len(terms) <= HYBRID_MAX_TERMS
-                  else "array" if df.isStreaming or len(terms) <= JOIN_TAGGER_MIN_TERMS
+                  else "buckets" if df.isStreaming or len(terms) <= JOIN_TAGGER_MIN_TERMS
                   else "join")
-    if method in ("hybrid", "array", "regex"):
+    if method in ("hybrid", "array", "buckets", "regex"):
         return with_tags(df, text_col, terms, out_col=out_col, method=method, boundary=boundary)
     if method == "join":
         from .tag_join import tag_terms_join

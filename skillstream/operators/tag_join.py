@@ -6,26 +6,26 @@ the dictionary size:
 
 1. every row gets a deterministic, never-NULL key (user key + content
    hashes), safe to recompute after an executor loss;
-2. each text is tokenised into its distinct word-character runs, which
-   are equi-joined with the dictionary on the term's first word run
-   (broadcast when the dictionary's estimated bytes are within
-   ``BROADCAST_BYTES``, else a shuffled join);
-3. a single-token term that joins is a hit; a multi-run term ("c++",
-   "apache spark") that joins is only a candidate and is verified against
-   its own row's run-encoded text by a substring test (exact, no regex;
-   see ``dictionary.run_needle``);
+2. each text gives its probes: its distinct word-character runs and, where
+   the dictionary has terms without a word character, the first pieces
+   (``GRAM`` characters at most) that such terms may have in its runs of other
+   characters. They are equi-joined with the dictionary on the term's own
+   probe: its first word run, or its first ``GRAM`` characters;
+3. a single-token term that joins is a hit; any other term ("c++", "apache
+   spark", "->") is a candidate and verified on its row's text. While the
+   dictionary's estimated bytes are within ``BROADCAST_BYTES`` it goes to the
+   task that holds the text, which verifies there: texts do not move, and
+   only (key, ordinal, term) of the hits is shuffled. Beyond, the join is
+   shuffled, and candidates meet the run-encoded text of their row (see
+   ``dictionary.run_needle``), kept one per (key, slot of the producing
+   task), so that a group of copies never funnels into one task;
 4. hits are collected per key as a set (bounded by the dictionary size;
-   partial aggregation first) and joined back to the rows; a hot key on the
-   row side is split by AQE's skew-join handling. The verification texts
-   are kept one per (key, slot of the producing task), so a group of copies
-   never funnels into one task. Terms without any word character are
-   checked on the same texts.
-
-Cost: one scan for the tokens, one for the rows, and the shuffles of the
-verification texts and of the join back. The default tagger
-(``with_tags``) has no shuffle at all, so this path is chosen only for
-dictionaries large enough that a per-row pass over the term list
-dominates.
+   partial aggregation first) and joined back to the rows, of which only
+   the asked-for columns travel; a hot key on the row side is split by
+   AQE's skew-join handling.
+
+``with_tags`` has no shuffle at all, so this path is for dictionaries that
+are tables, or too large for a literal.
 """
 
 from __future__ import annotations
@@ -34,10 +34,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.dictionary import (MARK, MARK_SUB, NON_WORD_CLASS as NON_WORD, WORD_CLASS,
+from ..functions.dictionary import (GRAM, MARK, MARK_SUB, NON_WORD_CLASS as NON_WORD, WORD_CLASS,
                                     as_terms, has_word_char, is_single_token, run_needle,
-                                    term_pattern, word_runs)
-from ..functions.tagging import run_encoded, term_hit, text_tokens
+                                    term_pattern, term_probe)
+from ..functions.tagging import run_encoded, symbol_grams, text_tokens
 
 # Largest dictionary sent whole to every task, in estimated bytes: per term its
 # spelling, first run, pattern and needle (about eight times its text) and row overhead.
@@ -49,14 +49,11 @@ _RK, _LT, _TOK, _ENC = "__tag_rk", "__tag_lower", "__tag_tok", "__tag_enc"
 _DICT_SCHEMA = T.StructType([
     T.StructField("ordinal", T.IntegerType(), False),
     T.StructField("term", T.StringType(), False),
-    T.StructField("first_run", T.StringType(), False),
+    T.StructField("probe", T.StringType(), False),
     T.StructField("single", T.BooleanType(), False),
     T.StructField("pattern", T.StringType(), False),
     T.StructField("needle", T.StringType(), True),
 ])
-def _first_word_run(term_lower: str) -> str:
-    runs = word_runs(term_lower)
-    return runs[0] if runs else ""
 
 
 def content_key(text: Column, row_key: Column | None = None) -> Column:
@@ -100,7 +97,7 @@ def needle_column(term: Column) -> Column:
 
 def dictionary_table(dictionary: DataFrame, term_col: str = "skill",
                      ordinal_col: str = "ordinal", boundary: str = "strict") -> DataFrame:
-    """A dictionary table -> (ordinal, term, first_run, single, pattern, needle, has_word).
+    """A dictionary table -> (ordinal, term, probe, single, pattern, needle, has_word).
 
     The ordinal column fixes the output order of matched terms; a term
     listed more than once keeps its smallest ordinal. The needle is the
@@ -114,7 +111,7 @@ def dictionary_table(dictionary: DataFrame, term_col: str = "skill",
     lt = F.lower(t)
     return dictionary.select(
         "ordinal", "term",
-        F.regexp_extract(lt, WORD_CLASS + "+", 0).alias("first_run"),
+        F.when(lt.rlike(WORD_CLASS), F.regexp_extract(lt, WORD_CLASS + "+", 0)).otherwise(F.substring(lt, 1, GRAM)).alias("probe"),
         lt.rlike("^" + WORD_CLASS + "+$").alias("single"),
         pattern_column(t, boundary).alias("pattern"),
         (needle_column(t) if boundary == "strict" else F.lit(None).cast("string")).alias("needle"),
@@ -122,49 +119,60 @@ def dictionary_table(dictionary: DataFrame, term_col: str = "skill",
 
 
 def tag_terms_join(df: DataFrame, text_col: str, dictionary, out_col: str = "skills_extracted",
-                   row_key: str | None = None, boundary: str = "strict") -> DataFrame:
+                   row_key: str | None = None, boundary: str = "strict",
+                   broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``dictionary``: a list of terms / (term, category) pairs, or a table
     with ``skill`` and ``ordinal`` columns (output order = ordinal)."""
     spark = df.sparkSession
     if isinstance(dictionary, DataFrame):
         table = dictionary_table(dictionary, boundary=boundary)
-        dict_df = table.where("has_word").drop("has_word")
-        # terms without any word character are few by nature (symbols only)
-        loose = [(r.ordinal, r.term) for r in table.where(~F.col("has_word")).collect()]
-        n_terms, n_bytes = table.agg(F.count(F.lit(1)), F.coalesce(
-            F.sum(F.octet_length("term")), F.lit(0))).first()
-        need_plain = table.where(~F.col("single") & F.col("needle").isNull()).limit(1).count() > 0
+        n_terms, n_bytes, symbols, need_plain = table.agg(
+            F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("term")), F.lit(0)), F.coalesce(F.bool_or(~F.col("has_word")), F.lit(False)),
+            F.coalesce(F.bool_or(~F.col("single") & F.col("needle").isNull()), F.lit(False))).first()
+        dict_df = table.drop("has_word")
     else:
-        terms = as_terms(dictionary)
-        rows, loose = [], []
-        for i, t in enumerate(terms):
-            tl = t.lower()
-            if has_word_char(tl):
-                rows.append((i, t, _first_word_run(tl), is_single_token(tl),
-                             term_pattern(t, boundary),
-                             run_needle(t) if boundary == "strict" else None))
-            else:
-                loose.append((i, t))
+        rows = [(i, t, term_probe(t.lower()), is_single_token(t.lower()), term_pattern(t, boundary),
+                 run_needle(t) if boundary == "strict" else None) for i, t in enumerate(as_terms(dictionary))]
         dict_df = spark.createDataFrame(rows, _DICT_SCHEMA)
         n_terms, n_bytes = len(rows), sum(len(r[1].encode()) for r in rows)
+        symbols = any(not has_word_char(r[1]) for r in rows)
         need_plain = any(not r[3] and r[5] is None for r in rows)
-    need_plain = need_plain or any(boundary != "strict" or run_needle(t) is None for _, t in loose)
-    if n_terms * TERM_OVERHEAD + 8 * n_bytes <= BROADCAST_BYTES:
-        dict_df = F.broadcast(dict_df)
 
     key = content_key(F.col(text_col), F.col(row_key) if row_key else None)
     base = df.withColumn(_RK, key)
     texts = base.select(_RK, F.lower(F.col(text_col)).alias(_LT))
+    probes = text_tokens(F.col(_LT))
+    if symbols:
+        probes = F.concat(probes, symbol_grams(F.col(_LT)))
+    if n_terms * TERM_OVERHEAD + 8 * n_bytes <= broadcast_bytes:
+        hits = _hits_in_place(texts, probes, dict_df)
+    else:
+        hits = _hits_by_shuffle(texts, probes, dict_df, need_plain)
+    hits = hits.groupBy(_RK).agg(F.array_sort(F.collect_set(F.struct("ordinal", "term"))).alias("__tag_hits"))
+    out = base.join(hits, _RK, "left")
+    found = F.coalesce(F.col("__tag_hits"),
+                       F.array().cast("array<struct<ordinal:int,term:string>>"))
+    cols = [c for c in df.columns if c != out_col]
+    return out.select(*cols, F.transform(found, lambda x: x["term"]).alias(out_col))
+
 
-    toks = texts.select(_RK, F.explode(text_tokens(F.col(_LT))).alias(_TOK))
-    cand = toks.join(dict_df, F.col(_TOK) == F.col("first_run"), "inner")
+def _hits_in_place(texts: DataFrame, probes: Column, dictionary: DataFrame) -> DataFrame:
+    """(key, ordinal, term), found and verified in the task that holds the text."""
+    cand = texts.select(_RK, _LT, F.explode(probes).alias(_TOK)).join(F.broadcast(dictionary), F.col(_TOK) == F.col("probe"))
+    found = F.col("single") | (F.col(_LT).contains(F.lower("term")) & F.regexp_like(F.col(_LT), F.col("pattern")))
+    return cand.where(found).select(_RK, "ordinal", "term")
+
+
+def _hits_by_shuffle(texts: DataFrame, probes: Column, dictionary: DataFrame, need_plain: bool) -> DataFrame:
+    """(key, ordinal, term) where the dictionary is too large to be sent to every task."""
+    cand = texts.select(_RK, F.explode(probes).alias(_TOK)).join(dictionary, F.col(_TOK) == F.col("probe"))
     single_hits = cand.where("single").select(_RK, "ordinal", "term")
     # Copies of one text share a key (a group of copies may be a third of
     # all rows). Candidates are reduced to one row per (key, term) first
     # (partial aggregation collapses copies map-side). Verification needs no
-    # regex: in the run-encoded text a multi-run term matches exactly when
-    # its needle is a substring (``run_needle``); the plain text is shipped
-    # too only for terms without a needle.
+    # regex: in the run-encoded text a term matches exactly when its needle
+    # is a substring (``run_needle``); the plain text is shipped too only
+    # for terms without a needle.
     multi = (cand.where(~F.col("single"))
                  .select(_RK, "ordinal", "term", "pattern", "needle").distinct())
     # One text per (key, slot), the slot being the producing task's
@@ -178,26 +186,5 @@ def tag_terms_join(df: DataFrame, text_col: str, dictionary, out_col: str = "ski
     by_needle = F.col(_ENC).contains(F.col("needle"))
     ok = (F.when(F.col("needle").isNotNull(), by_needle)
            .otherwise(F.regexp_like(F.col(_LT), F.col("pattern"))) if need_plain else by_needle)
-    multi_hits = (multi.join(one_text, _RK, "inner").where(ok)
-                       .select(_RK, "ordinal", "term"))
-    hits = (single_hits.unionByName(multi_hits).groupBy(_RK)
-            .agg(F.array_sort(F.collect_set(F.struct("ordinal", "term"))).alias("__tag_hits")))
-    if loose:
-        def loose_hit(t):
-            n = run_needle(t) if boundary == "strict" else None
-            return (F.col(_ENC).contains(F.lit(n)) if n is not None
-                    else term_hit(F.col(_LT), t, boundary))
-        loose_hits = (one_text.select(_RK, F.array_compact(F.array(*[
-            F.when(loose_hit(t), F.struct(F.lit(i).alias("ordinal"), F.lit(t).alias("term")))
-            for i, t in loose])).alias("__tag_loose"))
-            .groupBy(_RK).agg(F.first("__tag_loose").alias("__tag_loose")))
-        hits = (loose_hits.join(hits, _RK, "left")
-                .select(_RK, F.array_sort(F.concat(
-                    F.coalesce("__tag_hits", F.array().cast("array<struct<ordinal:int,term:string>>")),
-                    F.col("__tag_loose"))).alias("__tag_hits")))
-
-    out = base.join(hits, _RK, "left")
-    found = F.coalesce(F.col("__tag_hits"),
-                       F.array().cast("array<struct<ordinal:int,term:string>>"))
-    cols = [c for c in df.columns if c != out_col]
-    return out.select(*cols, F.transform(found, lambda x: x["term"]).alias(out_col))
+    multi_hits = multi.join(one_text, _RK, "inner").where(ok).select(_RK, "ordinal", "term")
+    return single_hits.unionByName(multi_hits)
