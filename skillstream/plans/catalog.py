@@ -18,6 +18,7 @@ from ..functions.scoring import parse_posted_date
 from ..functions.tagging import with_tags
 from ..operators import alerts as AL
 from ..operators import metrics as M
+from ..operators import listing_index as LI
 from ..operators.enrich import backfill_experience_level, enrich
 from ..operators.tag_join import tag_terms_join
 from ..schema import ALERT_HIT_COLS, DICTIONARY_SCHEMA
@@ -26,8 +27,8 @@ from ..sources.fixtures import fixture_postings
 from ..sources.json_codec import (decode_postings, encode_postings, publish, publish_stats,
                                   read_postings_json)
 from ..sources.tables import compact_table, read_table, write_table
-from ..streaming.aggregates import latest_counts, running_counts, running_skill_counts
 from ..streaming.alerts import read_posting_stream, stream_alerts
+from ..streaming.merged import merged_counts, start_merged_counts
 from ..streaming.ingest import read_envelopes, run_ingest, start_batch_ingest
 from . import params as P
 
@@ -272,30 +273,54 @@ def q_compact_postings(spark, sf_dir):
     return read_table(spark, dst).drop(*STREAM_DROP)
 
 
-def _running(spark, sf_dir, start) -> DataFrame:
-    """The newest count table of a running aggregation over the ingested postings."""
+def _running(spark, sf_dir, key, name) -> DataFrame:
+    """The current counts of a running aggregation over the ingested postings that writes changed keys only."""
     table = _ingested(spark, sf_dir)
     out = scratch_path(spark, "running")
     schema = read_table(spark, table).schema
-    start(read_posting_stream(spark, table, schema, max_files_per_trigger=4),
-          out, scratch_path(spark, "running-ck"))
-    return latest_counts(spark, out)
+    start_merged_counts(read_posting_stream(spark, table, schema, max_files_per_trigger=4), key, name,
+                        out, scratch_path(spark, "running-ck"), merge_every=2)
+    return merged_counts(spark, out)
 
 
 def q_stream_top_skills(spark, sf_dir):
-    """Running skill counts kept by a complete-mode stream, then the top 10."""
-    counts = _running(spark, sf_dir, running_skill_counts)
+    """Running skill counts kept by an update-mode stream, then the top 10."""
+    counts = _running(spark, sf_dir, F.explode("skills_extracted"), "skill")
     return counts.orderBy(F.desc(M.COUNT_COL), F.asc("skill")).limit(10)
 
 
 def q_stream_top_locations(spark, sf_dir):
-    counts = _running(spark, sf_dir, lambda s, out, ck: running_counts(s, "location", out, ck))
+    counts = _running(spark, sf_dir, F.col("location"), "location")
     return counts.orderBy(F.desc(M.COUNT_COL), F.asc("location")).limit(8)
 
 
 def q_stream_timeline(spark, sf_dir):
-    counts = _running(spark, sf_dir, lambda s, out, ck: running_counts(s, "posted_date", out, ck))
-    return counts.orderBy("posted_date")
+    return _running(spark, sf_dir, F.col("posted_date"), "posted_date").orderBy("posted_date")
+
+
+def q_stream_companies(spark, sf_dir):
+    """Running counts of a key without a bound."""
+    return _running(spark, sf_dir, F.col("company"), "company")
+
+
+def _listing_index(spark, rows) -> DataFrame:
+    path = scratch_path(spark, "listing-index")
+    LI.write_listing_index(rows, path)
+    return LI.read_listing_index(spark, path)
+
+
+def q_listing_page_indexed(spark, sf_dir):
+    """A deep page, read as a range of ranks."""
+    return LI.indexed_page(_listing_index(spark, posting_table(spark, sf_dir)), P.DEEP_PAGE, P.PAGE_SIZE)
+
+
+def q_listing_keyset(spark, sf_dir):
+    """Every page of the listing, where ids repeat and are missing."""
+    rows = posting_table(spark, sf_dir)
+    n = F.regexp_extract("job_id", r"(\d+)$", 1).cast("long")
+    ids = F.when(n % 11 == 0, F.lit(None)).when(n % 3 == 0, F.concat(F.lit("JOB-"), (n % 50).cast("string"))).otherwise(F.col("job_id"))
+    index = _listing_index(spark, rows.withColumn("job_id", ids))
+    return LI.paged(index, P.PAGE_SIZE).select("page", "place", "posted_date", "job_id")
 
 
 def _events(spark, sf_dir):
@@ -343,6 +368,8 @@ QUERIES: dict[str, Query] = {
     "skill_cooccurrence": _on_enriched(lambda e: M.skill_cooccurrence(e, 10)),
     "listing": _on_enriched(M.listing),
     "listing_page": _on_enriched(lambda e: M.listing_page(e, P.PAGE, P.PAGE_SIZE)),
+    "listing_page_indexed": q_listing_page_indexed,
+    "listing_keyset": q_listing_keyset,
     "listing_by_seniority": _on_enriched(lambda e: M.listing_by_seniority(e, P.LISTING_SENIORITY)),
     # alert predicates and matching
     "alert_since": _on_enriched(lambda e: AL.since_filter(e, P.SINCE).select(*ALERT_HIT_COLS)),
@@ -375,6 +402,7 @@ QUERIES: dict[str, Query] = {
     "stream_top_skills": q_stream_top_skills,
     "stream_top_locations": q_stream_top_locations,
     "stream_timeline": q_stream_timeline,
+    "stream_companies": q_stream_companies,
     "compact_postings": q_compact_postings,
     # the same generic operators on the event log
     "events_props": q_events_props,

@@ -218,6 +218,14 @@ LEFT JOIN pairs p ON p.skill_a = ta.skill AND p.skill_b = tb.skill""")
     q["listing_page"] = _with(
         f"SELECT {LISTING_COLS} FROM enriched ORDER BY posted_date DESC NULLS LAST, job_id ASC "
         f"LIMIT {P.PAGE_SIZE} OFFSET {P.PAGE * P.PAGE_SIZE}")
+    q["listing_page_indexed"] = _with(
+        f"SELECT {LISTING_COLS} FROM enriched ORDER BY posted_date DESC NULLS LAST, job_id ASC "
+        f"LIMIT {P.PAGE_SIZE} OFFSET {P.DEEP_PAGE * P.PAGE_SIZE}")
+    q["listing_keyset"] = _with(f"""
+, l AS (SELECT posted_date, CAST(regexp_extract(job_id, '[0-9]+$') AS BIGINT) AS n, job_id FROM enriched),
+k AS (SELECT posted_date, CASE WHEN n % 11 = 0 THEN NULL WHEN n % 3 = 0 THEN concat('JOB-', CAST(n % 50 AS VARCHAR)) ELSE job_id END AS job_id FROM l),
+r AS (SELECT *, row_number() OVER (ORDER BY posted_date DESC NULLS LAST, job_id ASC NULLS LAST) - 1 AS rank FROM k)
+SELECT rank // {P.PAGE_SIZE} AS page, CAST(rank % {P.PAGE_SIZE} AS INTEGER) AS place, posted_date, job_id FROM r""")
     q["listing_by_seniority"] = _with(
         f"SELECT {LISTING_COLS} FROM enriched WHERE seniority = {_q(P.LISTING_SENIORITY)}")
     # alert predicates (criteria of alert "a")
@@ -292,6 +300,7 @@ WHERE n % 7 = 0 AND kafka_timestamp + INTERVAL 30 DAY > w2.latest - INTERVAL 1 H
     q["stream_top_skills"] = q["top_skills"]
     q["stream_top_locations"] = q["top_locations"]
     q["stream_timeline"] = q["timeline"]
+    q["stream_companies"] = _with("SELECT company, count(*) AS job_count FROM enriched WHERE company IS NOT NULL GROUP BY company")
     q["compact_postings"] = q["ingest_stream"]
     q["events_props"] = "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events"
     q["events_timeline"] = ("SELECT CAST(ts AS DATE) AS day, count(*) AS job_count FROM events "

@@ -8,6 +8,7 @@ SYMBOL_TERMS = ["And, the", ", the", "The. the", "Of,", "De la"]
 SINCE = "2024-01-01 05:00:00"
 PAGE = 2
 PAGE_SIZE = 10
+DEEP_PAGE = 60
 LISTING_SENIORITY = "Senior"
 SUBJECT_PREFIX = "Job Alert"
 
