@@ -29,12 +29,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import ship
+from .common import STORE_BYTES, enter, ship
 
 NONE = np.int32(2**31 - 1)
 MATRIX_BYTES = 128
-#: Most keys that a worker keeps.
+#: Most keys that a worker keeps, if their bytes do not bound them before.
 CACHED = 600_000
+#: Bytes of a cached key besides its letters and ids.
+KEY_BYTES = 140
 #: White space other than the space and the line feed.
 ODD_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
@@ -117,6 +119,7 @@ class Bpe:
     def _forget(self) -> None:
         """An empty cache: the number of a key, and under that number where its ids lie in ``flat``."""
         self.cache: dict[str, int] = {}
+        self.letters = 0
         self.first, self.flat = np.zeros(1, np.int64), np.zeros(0, np.int32)
 
     def _matrix(self, pieces: list[bytes]) -> list[np.ndarray]:
@@ -209,6 +212,7 @@ class Bpe:
         n = start[numbers + 1] - start[numbers]
         ends = np.concatenate([[0], np.cumsum(n)])[np.cumsum(counts)]
         have = len(self.cache)
+        self.letters += sum(map(len, keys))
         self.cache.update(zip(keys, range(have, have + len(keys)), strict=True))
         self.first = np.concatenate([self.first, ends + len(self.flat)])
         self.flat = np.concatenate([self.flat, _gather(flat, start[numbers], n)])
@@ -236,7 +240,8 @@ class Bpe:
         if (missing := np.flatnonzero(numbers < 0)).size:
             flat = list(chain.from_iterable(keys))
             new = list(dict.fromkeys([flat[i] for i in missing]))
-            if len(self.cache) + len(new) > CACHED:
+            keys_after = len(self.cache) + len(new)
+            if keys_after > CACHED or KEY_BYTES * keys_after + self.letters + self.flat.nbytes > STORE_BYTES:
                 self._forget()
                 new, missing = list(dict.fromkeys(flat)), np.arange(len(flat))
             self._learn(new)
@@ -269,6 +274,7 @@ _BUILT: dict[tuple[str, str], Bpe] = {}
 def built(path: str, pattern: str) -> Bpe:
     if (path, pattern) not in _BUILT:
         _BUILT[path, pattern] = Bpe(path, pattern)
+    enter("bpe", _BUILT.clear)
     return _BUILT[path, pattern]
 
 

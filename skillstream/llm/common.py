@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +22,34 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 _SHIPPED: set[str] = set()
 
+#: Bytes, roughly, of what an operator may keep in a Python worker from batch to batch (words it has met, and the like).
+STORE_BYTES = 32 << 20
+#: A table of at most so many bytes is sent to every task; a larger one is joined by a shuffle.
+BROADCAST_BYTES = 32 << 20
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def enter(operator: str, forget: Callable[[], None]) -> None:
+    """To be called in a Python worker when an operator begins there: what the others have kept is given back.
+
+    Workers serve many stages; each operator that keeps something names
+    itself and how to empty its stores.
+    """
+    others = [o for o in _KEPT if o != operator]
+    for o in others:
+        _KEPT.pop(o)()
+    _KEPT[operator] = forget
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(AttributeError, OSError):  # another C library keeps freed memory as it likes
+            ctypes.CDLL(None).malloc_trim(0)
+
+
+def small(df: DataFrame, row_bytes: int) -> DataFrame:
+    """A stored table, marked for broadcast if its rows fit into BROADCAST_BYTES."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
 
 def ship(spark: SparkSession) -> None:
     """Give every Python worker this package, once per application, and small Arrow batches.

@@ -26,6 +26,7 @@ ignored by :func:`classes` and kept by :func:`one_of_each`.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, running_totals, ship, spanning, store
+from .common import STORE_BYTES, components, enter, running_totals, ship, small, spanning, store
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -43,10 +44,23 @@ SLOTS = BANDS * ROWS
 #: A pair of candidates is looked at again only if this share of its slots agree: 0.8 less over four deviations.
 LEAST_AGREED = 0.66
 BLOCK = 512
-#: Most word hashes that a worker keeps.
-CACHED = 300_000
+#: Elements of multisets that are handled at once: in signatures, and on each side of a block of comparisons. A larger
+#: multiset goes through signatures in parts, and makes a block by itself.
+ELEMENTS = 1 << 17
+BLOCK_ELEMENTS = 1 << 20
+#: Bytes of a text whose words are listed at once.
+PIECE = 1 << 20
+WHITE = re.compile(rb"[\x20\x09-\x0D]")
+#: Bytes of a kept hash besides the letters of its word.
+HASH_BYTES = 170
 
 _HASHES: dict[bytes, int] = {}
+_LETTERS = [0]
+
+
+def _forget() -> None:
+    _HASHES.clear()
+    _LETTERS[0] = 0
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -60,21 +74,32 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     get = _HASHES.get
     out = [get(w) for w in words]
     if None in out:
-        if len(_HASHES) > CACHED:
-            _HASHES.clear()
+        if HASH_BYTES * len(_HASHES) + _LETTERS[0] > STORE_BYTES:
+            _forget()
         for i, v in enumerate(out):
             if v is None:
                 w = words[i]
                 out[i] = _HASHES[w] = xxhash.xxh3_64_intdigest(w)
+                _LETTERS[0] += len(w)
     return np.array(out, np.uint64)
 
 
+def _all_hashes(text: str) -> np.ndarray:
+    """Hashes of the words of a text, listed about PIECE bytes at a time."""
+    data, at, out = text.encode(), 0, [np.zeros(0, np.uint64)]
+    while at < len(data):
+        gap = WHITE.search(data, at + PIECE)
+        end = gap.start() if gap else len(data)
+        out.append(word_hashes(data[at:end].split()))
+        at = end
+    return np.concatenate(out)
+
+
 def shingles(text: str, n: int = WORDS) -> np.ndarray:
     """64-bit hashes of the runs of n words of a text, in order; one of all words if there are fewer."""
-    words = text.encode().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = word_hashes(words)
+    h = _all_hashes(text)
+    if not len(h):
+        return h
     width = min(n, len(h))
     out = np.full(len(h) - width + 1, np.uint64(width))
     for i in range(width):
@@ -103,7 +128,15 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], slots: int = SLOTS) ->
         return name
     row = np.repeat(np.arange(n), [len(s[0]) for s in sets])
     x = np.concatenate([s[0] for s in sets])
-    w = np.concatenate([s[1] for s in sets]).astype(np.int64)
+    w = np.concatenate([s[1] for s in sets])
+    for k in range(0, len(x), ELEMENTS):
+        _draw(best, name, row[k:k + ELEMENTS], x[k:k + ELEMENTS], w[k:k + ELEMENTS].astype(np.int64))
+    return name
+
+
+def _draw(best: np.ndarray, name: np.ndarray, row: np.ndarray, x: np.ndarray, w: np.ndarray) -> None:
+    """The points of some elements: time and identity of the earliest in each slot so far, one row for each multiset."""
+    slots = best.shape[1]
     parts, level = [], 0
     while len(x):  # levels [0, 1), [1, 2), [2, 4), ...: those that begin below the weight
         low, high = (0, 1) if level == 0 else (1 << (level - 1), 1 << level)
@@ -131,7 +164,6 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], slots: int = SLOTS) ->
         np.minimum.at(best.ravel(), cell, time[use])
         won = time[use] == best.ravel()[cell]
         name.ravel()[cell[won]] = r[use][won]
-    return name
 
 
 def band_keys(sig: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
@@ -141,15 +173,28 @@ def band_keys(sig: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarr
     return out.view(np.int64)
 
 
+def _together(texts: list[str]) -> Iterator[tuple[list[int], list[tuple[np.ndarray, np.ndarray]]]]:
+    """(places, counted multisets) of the texts with a word, some at a time: 256, or until they have ELEMENTS elements."""
+    some, sets, size = [], [], 0
+    for i, t in enumerate(texts):
+        s = counted(shingles(t))
+        if not len(s[0]):
+            continue
+        if some and (len(some) == 256 or size + len(s[0]) > ELEMENTS):
+            yield some, sets
+            some, sets, size = [], [], 0
+        some, sets, size = [*some, i], [*sets, s], size + len(s[0])
+    if some:
+        yield some, sets
+
+
 def _sign(texts: DataFrame) -> DataFrame:
     """(id, key, text) → id, key, bands array<long>, marks binary (8 bits of each slot); texts without a word are left out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("near", _forget)
         for b in batches:
-            sets = [counted(shingles(t)) for t in b.column("text").to_pylist()]
-            here = [i for i, s in enumerate(sets) if len(s[0])]
-            for k in range(0, len(here), 256):  # a bounded matrix
-                some = here[k:k + 256]
-                sig = signatures([sets[i] for i in some])
+            for some, sets in _together(b.column("text").to_pylist()):
+                sig = signatures(sets)
                 marks = (sig & np.uint64(0xFF)).astype(np.uint8)
                 same = b.select(["id", "key"]).take(pa.array(some))
                 yield pa.RecordBatch.from_arrays([*same.columns, pa.array(list(band_keys(sig)), pa.list_(pa.int64())),
@@ -165,6 +210,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("near", _forget)
         last: tuple = (None, None)
         for batch in batches:
             a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
@@ -200,13 +246,17 @@ def _open_places(places: DataFrame, comp: DataFrame, columns: list[str]) -> Data
 
     The largest component of a bucket needs no comparison inside itself: every
     row outside it (side 0) meets all rows of the bucket (side 1), in blocks
-    (l, r) of about BLOCK by BLOCK rows.
+    (l, r) of about BLOCK by BLOCK rows, or of fewer with BLOCK_ELEMENTS
+    elements a side, where ``units`` gives the elements of a row.
     """
+    # Whole numbers, so that both sides count the same however the sums are ordered.
+    unit = F.lit(BLOCK_ELEMENTS // BLOCK).cast("long")
+    unit = F.greatest(unit, F.col("units").cast("long")) if "units" in places.columns else unit
     m = places.join(comp, places["id"] == comp["node"], "left").withColumn("comp", F.coalesce("component", "id")).drop("node", "component")
-    sizes = m.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
+    sizes = m.groupBy("bucket", "comp").agg(F.sum(unit).alias("n"))
     per = (sizes.groupBy("bucket").agg(F.count("*").alias("comps"), F.sum("n").alias("all"), F.max(F.struct("n", "comp")).alias("top"))
-           .where("comps > 1").select("bucket", F.col("top.comp").alias("main"), F.ceil(F.col("all") / BLOCK).cast("int").alias("rb"),
-                                      F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("lb")))
+           .where("comps > 1").select("bucket", F.col("top.comp").alias("main"), F.ceil(F.col("all") / BLOCK_ELEMENTS).cast("int").alias("rb"),
+                                      F.ceil((F.col("all") - F.col("top.n")) / BLOCK_ELEMENTS).cast("int").alias("lb")))
     m = m.join(per, "bucket")
     block = F.xxhash64("id", F.lit(7))
     left = (m.where("comp <> main").withColumn("l", F.pmod(block, F.col("lb")).cast("int"))
@@ -238,6 +288,7 @@ def _promising(places: DataFrame, marks: DataFrame, comp: DataFrame) -> DataFram
 def _bags(texts: DataFrame) -> DataFrame:
     """(id, text) → id, bag: the sorted elements of its multiset, each occurrence of a shingle an element of its own."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("near", _forget)
         for b in batches:
             bags = []
             for t in b.column("text").to_pylist():
@@ -246,7 +297,7 @@ def _bags(texts: DataFrame) -> DataFrame:
                 bags.append(_mix(np.repeat(h, n) + copy.astype(np.uint64) * np.uint64(0xD1342543DE82EF95)).tobytes())
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(bags, pa.binary())], ["id", "bag"])
 
-    return texts.mapInArrow(run, "id long, bag binary")
+    return texts.mapInArrow(run, "id long, bag binary").withColumn("units", F.expr("cast(octet_length(bag) as long) div 8"))
 
 
 def block_overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -324,7 +375,7 @@ def links(docs: DataFrame, exact: DataFrame, similarity: float = SIMILARITY) ->
 def _texts(docs: DataFrame, exact: DataFrame, pairs: DataFrame) -> DataFrame:
     """(id, text) of the texts in pairs only; their ids are nodes."""
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    nodes = nodes.join(exact, "node")
+    nodes = small(store(nodes.join(exact, "node"), "near-nodes"), 150)
     return store(docs.join(nodes, ["id", "key"]).select(F.col("node").alias("id"), "text").distinct(), "near-texts")
 
 
@@ -359,10 +410,21 @@ def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     Of rows equal in id and text the one whose other columns, as JSON, sort first stays.
     """
     columns = docs.columns
-    keep = _classes(docs, similarity).where("kept and doc_id is not null").select(F.col("doc_id").alias("__id"), F.col("__key").alias("__text")).distinct()
-    rows = docs.where("doc_id is not null").withColumn("__key", F.sha2("text", 256))
-    stay = rows.join(keep, (rows["doc_id"] == keep["__id"]) & rows["__key"].eqNullSafe(keep["__text"]), "left_semi")
-    others = [F.col(c) for c in columns if c not in ("doc_id", "text")]
+    keep = store(_classes(docs, similarity).where("kept and doc_id is not null")
+                 .groupBy(F.col("doc_id").alias("__id"), F.col("__key").alias("__text")).agg(F.count("*").alias("__n")), "near-keep")
+    # Rows are told apart by a struct, so that no column of theirs can clash.
+    rows = docs.where("doc_id is not null").select(F.struct(*columns).alias("__row"))
+    rows = rows.select("__row", F.col("__row.doc_id").alias("__doc"), F.sha2(F.col("__row.text"), 256).alias("__key"))
+
+    def among(some: DataFrame) -> DataFrame:
+        return rows.join(small(some, 150), (F.col("__doc") == F.col("__id")) & F.col("__key").eqNullSafe(F.col("__text")))
+
+    single = among(keep.where("__n = 1")).select("__row.*")
+    out = single.unionByName(docs.where("doc_id is null"))
+    repeated = keep.where("__n > 1")
+    if not repeated.take(1):
+        return out
+    others = [F.col(f"__row.{c}") for c in columns if c not in ("doc_id", "text")]
     order = F.to_json(F.struct(*others)) if others else F.lit("")
-    stay = stay.groupBy("doc_id", "__key").agg(F.min_by(F.struct(*columns), order).alias("__row"))
-    return stay.select("__row.*").unionByName(docs.where("doc_id is null"))
+    first = among(repeated).groupBy("__doc", "__key").agg(F.min_by("__row", order).alias("__row"))
+    return out.unionByName(first.select("__row.*"))

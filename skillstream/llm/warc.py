@@ -36,15 +36,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import ship, store
+from .common import ship, small, store
 
 MAGIC = "WARC/1."
 #: What parts the bytes of a file: magic at the start of a line.
 MARK = "\n" + MAGIC
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-#: A table with at most so many bytes is sent to every task; a larger one is joined by a shuffle.
-BROADCAST_BYTES = 32 << 20
 
 
 def base32(hexadecimal: Column) -> Column:
@@ -61,11 +59,6 @@ def header(head: Column, name: str) -> Column:
 
 # ------------------------------------------------------------------ writing
 
-def _small(df: DataFrame, row_bytes: int) -> DataFrame:
-    """A stored table, marked for broadcast if its rows fit into BROADCAST_BYTES."""
-    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
-
-
 def archive_records(pages: DataFrame, min_bytes: int = 0, date: Column | None = None) -> DataFrame:
     """page_id, url, html → record: the text of each WARC record but for its closing line feeds."""
     html = F.coalesce("html", F.lit(""))
@@ -73,7 +66,7 @@ def archive_records(pages: DataFrame, min_bytes: int = 0, date: Column | None =
     first = F.min(F.struct(F.col("page_id").isNull().alias("last"), "page_id", F.col("url").isNull().alias("bare"), "url"))
     copies = (rows.where(F.octet_length("html") >= min_bytes).groupBy("sha1").agg(F.count("*").alias("n"), first.alias("first"))
               .where("n > 1").select(F.col("sha1").alias("copied"), "first"))
-    copies = _small(store(copies, "warc-copies"), 200)
+    copies = small(store(copies, "warc-copies"), 200)
     rows = rows.join(copies, F.col("sha1") == F.col("copied"), "left")
     is_first = F.col("page_id").eqNullSafe(F.col("first.page_id")) & F.col("url").eqNullSafe(F.col("first.url"))
     revisit = F.col("first").isNotNull() & ~is_first
@@ -233,7 +226,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     splits = store(cands.where("rel = 0").select(F.col("file").alias("_f"), F.col("at").alias("_a"), F.col("offset").alias("_first")), "warc-splits")
     segments = _placed(_segments(spark, path)).withColumnRenamed("rel", "_rel")
     on = (F.col("file") == F.col("_f")) & (F.col("at") == F.col("_a"))
-    few = _small(odd.select(F.col("file").alias("_f"), F.col("at").alias("_a"), F.col("rel").alias("_r"), "owner", F.col("offset").alias("place")), 250)
+    few = small(odd.select(F.col("file").alias("_f"), F.col("at").alias("_a"), F.col("rel").alias("_r"), "owner", F.col("offset").alias("place")), 250)
     this = on & (F.col("_rel") == F.col("_r"))
 
     def cut(segments: DataFrame) -> DataFrame:
@@ -243,7 +236,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     # A split in front of a file begins at 0, where its magic is; elsewhere the magic is in the mark before the segment.
     front = (F.col("at") == 0) & (F.col("_rel") > 0)
     offset = F.col("_first") + F.col("_rel") - F.when(front, len(MAGIC)).otherwise(0)
-    alone = cut(segments.join(few, this, "left_anti").join(_small(splits, 200), on).withColumn("offset", offset))
+    alone = cut(segments.join(few, this, "left_anti").join(small(splits, 200), on).withColumn("offset", offset))
     if not odd.where("owner is not null").take(1):
         return alone
     parts = (segments.join(few.where("owner is not null"), this).groupBy("file", F.col("owner").alias("offset"))

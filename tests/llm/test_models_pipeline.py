@@ -168,4 +168,4 @@ def test_pipeline_stages_take_empty_tables(spark):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11)) and set(ORACLE_SQL) <= set(QUERIES)
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14)) and set(ORACLE_SQL) <= set(QUERIES)

@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from skillstream.llm import warc
+from skillstream.llm import common, warc
 from skillstream.session import scratch_path
 
 PAGES = "page_id long, url string, html string"
@@ -76,7 +76,7 @@ def test_records_equal_a_walk_from_the_start(spark, split):
 
 def test_shuffled_join_beyond_the_broadcast_bound(spark, monkeypatch):
     root = files(spark, [ARCHIVES["nested"], ARCHIVES["long"]])
-    monkeypatch.setattr(warc, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
     rows = warc.read_records(spark, root)
     assert sorted(bytes(r["block"]) for r in rows.collect()) == sorted(r[2] for k in ("nested", "long") for r in walked(ARCHIVES[k]))
 
