@@ -111,13 +111,13 @@ def running_totals(df: DataFrame, order: list[str], values: list[str], name: str
     return out.select(*df.columns, *[(F.col(f"_o_{v}") + F.col(f"_r_{v}")).alias(f"{v}_before") for v in values])
 
 
-def components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, name: str) -> DataFrame:
     """Connected components of undirected edges (a, b): rows (node, component = smallest node).
 
     Alternating large-star and small-star steps: each node tells its
     neighbours their smallest known node, until nothing changes. Every round
     is two aggregations with map-side combine and joins on the node; rounds
-    are logarithmic in practice, and no table reaches the driver.
+    grow with the logarithm of the nodes, and no table reaches the driver.
     """
     spark = edges.sparkSession
     cur = store(edges.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(),
@@ -125,7 +125,7 @@ def components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
     stamp = None
     if not cur.take(1):
         return cur.select(F.col("v").alias("node"), F.col("u").alias("component"))
-    for _ in range(max_rounds):
+    while True:
         # Large star: every neighbour above a node is linked to the smallest node of that neighbourhood.
         both = cur.select("v", "u").unionByName(cur.select(F.col("u").alias("v"), F.col("v").alias("u")))
         low = both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m"))
@@ -140,8 +140,6 @@ def components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
         if stamp == tuple(now):
             break
         stamp = tuple(now)
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     pairs = cur.select(F.col("v").alias("node"), F.col("u").alias("component"))
     return pairs.unionByName(pairs.select(F.col("component").alias("node"), "component").distinct())
 

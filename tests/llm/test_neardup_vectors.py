@@ -175,6 +175,42 @@ def test_vectors_edge_cases(spark):
     assert vectors.near_vectors(empty).collect() == []
 
 
+def test_one_id_on_several_vectors(spark):
+    """Links and components are of vectors, not of ids: labels do not mix, and unlike vectors of one id are compared."""
+    a, near, far = [1.0, 0.0, 0.0], [1.0, 0.05, 0.0], [0.0, 0.0, 1.0]
+    rows = [(1, a, 0), (2, near, 0), (1, a, 1), (3, near, 1), (4, a, 2), (4, near, 2), (5, far, 2), (5, a, 3), (0, far, 3), (6, near, 3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    want = sorted([(1, 1, 1, True), (2, 1, 1, False), (1, 1, 1, True), (3, 1, 1, False), (4, 1, 4, True), (4, 1, 4, True), (5, 0, 5, True),
+                   (5, 1, 5, True), (0, 0, 0, True), (6, 1, 5, False)])
+    assert sorted(map(tuple, vectors.near_vectors(df).collect())) == want
+    named = df.withColumn("vec_id", F.concat(F.lit("v"), "vec_id"))
+    assert sorted(map(tuple, vectors.near_vectors(named).collect())) == sorted((f"v{i}", n, f"v{c}", k) for i, n, c, k in want)
+
+
+@pytest.mark.parametrize("n", [most for most, *_ in vectors.LADDER[:-1]] + [1 << 50])
+def test_every_step_of_the_ladder_finds_near_pairs(n):
+    """Pairs at the least cosine meet in some table, and random ones seldom: at most about 16 a vector and table at the step's size."""
+    blocks, scale, tables, probes = vectors.step(n)
+    rng = np.random.default_rng(9)
+    for dim in (8, 64, 200):
+        a = vectors._unit(rng.standard_normal((600, dim)))
+        side = rng.standard_normal((600, dim))
+        side = vectors._unit(side - (side * a).sum(axis=1, keepdims=True) * a)
+        b = 0.98 * a + np.sqrt(1 - 0.98 ** 2) * side
+        x, y = vectors.cells(a, blocks, scale, tables, probes), vectors.cells(b, blocks, scale, tables, probes)
+        assert (x[:, :, :, None] == y[:, :, None, :]).any(axis=(1, 2, 3)).mean() >= 0.99
+        if dim == 64 and n <= 1 << 17:
+            other = vectors.cells(vectors._unit(rng.standard_normal((30_000, dim))), blocks, scale, 1, probes).ravel()
+            size = np.unique(other, return_counts=True)[1]
+            assert (size * (size - 1)).sum() / 30_000 ** 2 * n <= 16
+
+
+@pytest.mark.parametrize("at", range(1, len(vectors.LADDER)))
+def test_finer_cells_against_brute_force(spark, monkeypatch, at):
+    monkeypatch.setattr(vectors, "LADDER", vectors.LADDER[at:])
+    check_vectors(spark, clustered(150, seed=at))
+
+
 def test_lattice_points_are_nearest():
     rng = np.random.default_rng(4)
     x = rng.uniform(-3, 3, (500, 8))
