@@ -9,7 +9,7 @@ Edge cases: a null or empty text has size 0 and takes 0; a null source is a
 source of its own, last in order; rows equal in id and size share the words of
 a cut that falls on them, or with ``whole`` are numbered, so that as many of
 them are taken as fit; an empty table gives an empty result; columns beyond
-those named are ignored by :func:`mix` and kept by :func:`mixed_documents`.
+those named are ignored by :func:`mix` and kept by :func:`mixed_documents`, whatever their names.
 """
 
 from __future__ import annotations
@@ -129,10 +129,14 @@ def mixed_documents(docs: DataFrame, seed: str = SEED, weights=WEIGHTS, most: in
 
     Documents without a word have no size and stay once.
     """
-    columns = docs.columns
-    t = _taken(docs, seed, weights, most, True)
+    own = ("doc_id", "source", "text")
+    others = [c for c in docs.columns if c not in own]
+    # The other columns travel in one struct, so that no name of theirs can meet one of the mix's own.
+    packed = docs.select(*own, *([F.struct(*[F.col(f"`{c}`") for c in others]).alias("_given")] if others else []))
+    t = _taken(packed, seed, weights, most, True)
     times = F.when(F.col("_size") > 0, F.expr("cast(_taken div _size as int)")).otherwise(1)
-    return t.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times))).select(*columns)
+    return (t.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times)))
+            .select(*[F.col(c) if c in own else F.col(f"_given.`{c}`").alias(c) for c in docs.columns]))
 
 
 MIX_SQL = r"""
