@@ -3,26 +3,31 @@
 Rows are ordered by (hash of the text, hash of the id), so that equal texts
 stand together. Splitters are found by counting exact bytes below candidate
 boundaries over all partitions and probing again only inside the cell that
-holds each target, until a boundary is within tolerance. Then rows move once.
+holds each target, until a boundary is within tolerance. Then rows move once,
+each to the part of a shard that the splitters name.
 
 Edge cases: a null text has no bytes and checksum 0 and counts as size 1;
 repeated rows are rows of their own (:func:`write_shards` keeps them
 together); a group of equal texts is split only if no
 boundary beside it is within tolerance; an empty table gives an empty result;
-other columns are ignored by :func:`assign_shards` and kept by :func:`write_shards`.
+other columns are ignored by :func:`assign_shards` and kept by :func:`write_shards`,
+whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import running_totals, store
+from .common import store
 
 SHARDS = 8
 TOLERANCE = 0.005
 CELL_BITS = 12
 LOWEST = -(1 << 63)
+CHUNK_BITS = 16
+#: Rows of keys, roughly, that one task of the exchange orders.
+PART_ROWS = 4_000_000
 
 
 def _narrow(docs: DataFrame) -> DataFrame:
@@ -32,11 +37,19 @@ def _narrow(docs: DataFrame) -> DataFrame:
                        F.xxhash64(text).alias("k1"), F.xxhash64("doc_id").alias("k2")).withColumn("size", F.col("bytes") + 1).drop("bytes")
 
 
-def _numbered(rows: DataFrame) -> DataFrame:
-    """Wholly repeated rows, told apart by a running number in their second key, so that a hot one can be split."""
+def _numbered(docs: DataFrame) -> DataFrame:
+    """Keys of all rows; wholly repeated rows are told apart by a running number in their second key, so that a hot one can be split.
+
+    Copies are counted in chunks of at most 2^16 rows of a task, and numbered
+    by the counts of the chunks before: no task meets all copies of a row.
+    """
     same = ["doc_id", "text_crc32", "k1", "k2", "size"]
-    copies = rows.groupBy(*same).agg(F.count("*").alias("n"))
-    copy = copies.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    # A written table, so that a row stays in its chunk when a task is run again.
+    rows = store(_narrow(docs).withColumn("chunk", F.shiftright(F.monotonically_increasing_id(), CHUNK_BITS)), "shard-rows")
+    copies = rows.groupBy(*same, "chunk").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy(*same).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    copies = copies.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    copy = copies.withColumn("copy", F.explode(F.sequence(F.col("before") + 1, F.col("before") + F.col("n"))))
     return copy.withColumn("k2", F.when(F.col("copy") > 1, F.xxhash64("k2", "copy")).otherwise(F.col("k2"))).select(*same)
 
 
@@ -100,32 +113,54 @@ def splitters(rows: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANC
     return [done[i] for i in sorted(done)]
 
 
-def _shard(bounds: list[tuple[int, int]]):
-    shard = F.lit(0)
-    for k1, k2 in bounds:
-        if k1 >= 1 << 63:  # beyond every key
-            continue
-        here = F.col("k1") >= F.lit(k1) if k2 == LOWEST else (F.col("k1") > F.lit(k1)) | ((F.col("k1") == F.lit(k1)) & (F.col("k2") >= F.lit(k2)))
-        shard = shard + here.cast("int")
-    return shard
+def _part(bounds: list[tuple[int, int]], low: int = 0) -> Column:
+    """The number of splitters at or below a row's keys, found by bisection."""
+    if not bounds:
+        return F.lit(low)
+    middle = len(bounds) // 2
+    k1, k2 = bounds[middle]
+    if k1 >= 1 << 63:  # beyond every key
+        return _part(bounds[:middle], low)
+    here = F.col("k1") >= F.lit(k1)
+    if k2 != LOWEST:
+        here = (F.col("k1") > F.lit(k1)) | ((F.col("k1") == F.lit(k1)) & (F.col("k2") >= F.lit(k2)))
+    return F.when(here, _part(bounds[middle + 1:], low + middle + 1)).otherwise(_part(bounds[:middle], low))
+
+
+def _exchange(keys: DataFrame, shards: int, tolerance: float) -> tuple[int, int, list[tuple[int, int]]]:
+    """(parts of a shard, all parts, their splitters): every shard is cut further, until a part suits one task."""
+    n = keys.count()
+    parts = max(1, -(-n // (PART_ROWS * shards)))
+    return parts, parts * shards, splitters(keys, shards * parts, tolerance * parts) if n else []
 
 
 def assign_shards(docs: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot (place in the shard, from 0 without gaps)."""
-    rows = store(_numbered(_narrow(docs)), "shard-keys")
-    bounds = splitters(rows, shards, tolerance) if rows.take(1) else []
-    rows = rows.withColumn("shard", _shard(bounds)).withColumn("one", F.lit(1).cast("long"))
-    counts = {r["shard"]: r["count"] for r in rows.groupBy("shard").count().collect()}  # one row per shard
-    placed = running_totals(rows, ["k1", "k2", "doc_id", "size"], ["one"], "shard-places")
-    first = F.create_map(*[F.lit(int(x)) for i in range(shards) for x in (i, sum(counts.get(j, 0) for j in range(i)))])
-    return placed.select("doc_id", "size", "text_crc32", F.col("shard").cast("int").alias("shard"),
-                         (F.col("one_before") - first[F.col("shard")]).cast("long").alias("slot"))
+    rows = store(_numbered(docs), "shard-keys")
+    parts, count, bounds = _exchange(rows, shards, tolerance)
+    rows = rows.withColumn("part", _part(bounds).cast("int"))
+    shard = F.expr(f"cast(part div {parts} as int)")
+    sizes = rows.groupBy("part").agg(F.count("*").alias("n")).withColumn("shard", shard)
+    earlier = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    first = sizes.select("part", "shard", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"))
+    # The exchange: a row goes to the part that the splitters name, is ordered there, and its place is counted.
+    place = F.row_number().over(Window.partitionBy("part").orderBy("k1", "k2", "doc_id", "size")) - 1
+    placed = rows.repartitionById(count, F.col("part")).withColumn("place", place)
+    return (placed.join(F.broadcast(first), "part")  # one row per part
+            .select("doc_id", "size", "text_crc32", "shard", (F.col("first") + F.col("place")).cast("long").alias("slot")))
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, tolerance: float = TOLERANCE) -> None:
-    """Write all documents under ``path/shard=<i>``: one exchange by key range, many sorted files a shard."""
+    """Write all documents under ``path/shard=<i>``: one exchange on the splitters found, one sorted file a part.
+
+    If the documents have a column ``shard`` of their own, the folders are
+    named by the first free of ``shard_1``, ``shard_2``, ...
+    """
     keys = store(_narrow(docs), "shard-keys")
-    bounds = splitters(keys, shards, tolerance) if keys.take(1) else []
-    columns = docs.columns
-    out = docs.withColumns({"k1": F.xxhash64("text"), "k2": F.xxhash64("doc_id")}).repartitionByRange("k1", "k2")
-    out.withColumn("shard", _shard(bounds)).sortWithinPartitions("shard", "k1", "k2").select(*columns, "shard").write.partitionBy("shard").parquet(path)
+    parts, count, bounds = _exchange(keys, shards, tolerance)
+    taken = {c.lower() for c in docs.columns}
+    name = next(c for c in ["shard", *[f"shard_{i}" for i in range(1, len(taken) + 2)]] if c not in taken)
+    # The rows travel in one struct, so that no name of theirs can meet a key's.
+    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.xxhash64("text").alias("k1"), F.xxhash64("doc_id").alias("k2"))
+    out = out.withColumn("part", _part(bounds).cast("int")).repartitionById(count, F.col("part")).sortWithinPartitions("part", "k1", "k2")
+    out.select("row.*", F.expr(f"cast(part div {parts} as int)").alias(name)).write.partitionBy(name).parquet(path)

@@ -2,6 +2,7 @@ import collections
 import re
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from skillstream.llm import mixing, sharding
@@ -81,6 +82,19 @@ def test_mixed_documents_keep_columns_and_whole_texts(docs):
     assert all(abs(sums[s] - target[s]) <= 5 for s in size)
 
 
+def test_no_column_is_changed_by_the_mix(docs):
+    """Columns named like the mix's own keep their values, on rows of a tied group too."""
+    own = ["_size", "_key", "_src", "_taken", "_epochs", "_cut", "_tied", "_last", "_copy", "_row", "_part", "_text", "_others", "_one", "key", "n", "last", "a.b"]
+    rows = [(i, "w " * (i % 7 + 1), f"s{i % 3}") for i in range(60)] + [(7, "w " * 9, "s0")] * 40
+    df = docs(rows).withColumns({c: F.concat(F.lit(f"{c}:"), F.col("doc_id")) for c in own})
+    out = mixing.mixed_documents(df)
+    assert out.columns == df.columns
+    got = out.collect()
+    assert got and all(r[c] == f"{c}:{r['doc_id']}" for r in got for c in own)
+    plain = mixing.mixed_documents(docs(rows)).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in got) == sorted((r["doc_id"], r["text"]) for r in plain)
+
+
 def test_mixed_documents_take_as_many_rows_of_a_tied_group_as_fit(docs):
     """A repeated row and rows without id hold much of their sources: the targets are met to within half a document."""
     rows = [(1, "w " * 10, "a")] * 50 + [(2 + i, "w " * 10, "a") for i in range(50)]
@@ -133,13 +147,58 @@ def test_shards_edge_cases(docs, edge_rows):
     check_shards(docs(same), same, 2)
 
 
+def brute_shards(rows, shards, tolerance=0.005):
+    """Rows (k1, k2, size) in order → bounds of the shards: places where the bytes below are within the slack of each goal."""
+    total, slack = sum(r[2] for r in rows), max(tolerance * sum(r[2] for r in rows) / shards, max(r[2] for r in rows) / 2)
+    below, at = 0, [0]
+    for r in rows:
+        below += r[2]
+        at.append(below)
+    return [[p for p, b in enumerate(at) if abs(b - i * total / shards) <= slack + 1e-9] for i in range(1, shards)]
+
+
+@pytest.mark.parametrize("part_rows", [4_000_000, 37])
+def test_shards_against_a_sort(spark, docs, monkeypatch, part_rows):
+    """Shards are runs of the whole order, cut where a sort of all rows puts a boundary within the slack; slots count along it."""
+    monkeypatch.setattr(sharding, "PART_ROWS", part_rows)
+    rows = [(i % 400, "t" * (i * 37 % 301) + str(i % 500), "s") for i in range(1200)] + [(5, "same row", "s")] * 700
+    keys = sharding._numbered(docs(rows)).collect()
+    assert len(keys) == len(rows) and len({(r["k1"], r["k2"]) for r in keys if r["doc_id"] == 5}) >= 700
+    order = sorted((r["k1"], r["k2"], r["size"], r["doc_id"], r["text_crc32"]) for r in keys)
+    cuts = brute_shards(order, 8)
+    out = sorted((r["shard"], r["slot"], r["size"], r["doc_id"], r["text_crc32"]) for r in sharding.assign_shards(docs(rows)).collect())
+    assert [r[2:] for r in out] == [r[2:] for r in order]
+    ends = [sum(r[0] < s for r in out) for s in range(1, 8)]
+    assert all(e in c for e, c in zip(ends, cuts, strict=True))
+    assert all([r[1] for r in out if r[0] == s] == list(range(sum(r[0] == s for r in out))) for s in range(8))
+
+
+def test_copies_are_numbered_in_chunks(docs, monkeypatch):
+    monkeypatch.setattr(sharding, "CHUNK_BITS", 3)
+    rows = [(1, "a", "s")] * 500 + [(None, None, None)] * 90 + [(i, "b", "s") for i in range(30)]
+    keys = sharding._numbered(docs(rows).repartition(5)).collect()
+    assert len(keys) == len(rows) == len({(r["k1"], r["k2"]) for r in keys})
+    check_shards(docs(rows), rows)
+
+
+def test_one_exchange_of_rows_by_the_splitters(docs):
+    plan = sharding.assign_shards(docs([(i, f"t{i}", "s") for i in range(50)]))._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and plan.count("Exchange hashpartitioning(part#") == 1, plan  # the counts of parts
+
+
 def test_write_shards(spark, docs, scratch):
-    df = docs([(i, f"text {i}" * (i % 7), "s") for i in range(200)]).withColumn("size", F.lit("clash"))
+    own = ["size", "k1", "k2", "part", "row", "a.b"]
+    df = docs([(i, f"text {i}" * (i % 7), "s") for i in range(200)]).withColumns({c: F.concat(F.lit("mine"), F.col("doc_id")) for c in own})
     path = scratch("shards") + "/out"
     sharding.write_shards(df, path, 4)
     back = spark.read.parquet(path)
     assert back.count() == 200 and {r["shard"] for r in back.select("shard").distinct().collect()} == {0, 1, 2, 3}
-    assert set(df.columns) <= set(back.columns)
+    assert back.columns == [*df.columns, "shard"]
+    assert all(r[c] == f"mine{r['doc_id']}" for r in back.collect() for c in own)
+    sharding.write_shards(df.withColumn("shard", F.lit("x")), path + "2", 4)
+    again = spark.read.parquet(path + "2")
+    assert {(r["doc_id"], r["shard_1"]) for r in again.collect()} == {(r["doc_id"], r["shard"]) for r in back.collect()}
+    assert {r["shard"] for r in again.collect()} == {"x"}
 
 
 def test_running_totals(spark):
