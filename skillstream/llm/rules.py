@@ -1,10 +1,14 @@
 """Operator 4: quality rules with verdicts of hosts.
 
-Every document is measured on its whole text. Rule failures are then added up
-by host (here: the column ``source``), a beta prior is fitted to the hosts'
-failure rates by moments, each host's rate is shrunk to the prior mean by its
-own evidence, and hosts whose shrunk rate is beyond ``HOST_LIMIT`` lose all
-their documents: the verdict is joined back.
+Every document is measured on its whole text and held against each rule: the
+base rule, and the soft rules of :data:`SOFT_RULES`. For every rule, failures are
+added up by host (here: the column ``source``), a beta prior is fitted to the
+hosts' failure rates by moments, and each host's rate is shrunk to the prior mean
+by its own evidence. A host whose shrunk rate of any rule is beyond
+``HOST_LIMIT`` loses all its documents. Of other hosts, a document that fails a
+soft rule goes only where the host's rate confirms it (beyond ``CONFIRMED``): a
+table or a formula on a host that seldom has such pages stays. The verdicts are
+joined back.
 
 Edge cases: a null or empty text has no words and fails; a null source is a
 host of its own; repeated rows count each; an empty table gives an empty
@@ -25,8 +29,12 @@ from .common import ship, store
 
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
-#: A host goes if its shrunk failure rate is above this.
+#: A host goes if its shrunk failure rate of any rule is above this.
 HOST_LIMIT = 0.9
+#: A failure of a soft rule counts on hosts whose shrunk rate of it is above this.
+CONFIRMED = 0.02
+#: More than a tenth of the characters are symbols; more than one repeated line to 20 words.
+SOFT_RULES = {"symbols_failed": "10 * {0}n_symbols > {0}word_chars", "lines_failed": "20 * {0}n_dup_lines > {0}n_words"}
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\f\r"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -91,40 +99,51 @@ def measured(docs: DataFrame, keep: list[str], prefix: str = "") -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def host_rates(rows: DataFrame, host: str, failed: str) -> DataFrame:
-    """host → docs, failures, rate: the failure rate shrunk by the empirical beta prior."""
-    hosts = store(rows.groupBy(F.col(host).alias("host")).agg(F.count("*").alias("docs"), F.sum(F.col(failed).cast("long")).alias("failures")), "rules-hosts")
-    r = F.col("failures") / F.col("docs")
-    n, docs, failures, mean_rate, var, inverse = hosts.agg(
-        F.count("*"), F.sum("docs"), F.sum("failures"), F.avg(r), F.var_pop(r), F.avg(1 / F.col("docs"))).first()
-    if not n:
-        return hosts.withColumn("rate", F.lit(0.0))
-    mean = failures / docs
-    # What the rates vary beyond the chance of drawing each host's documents; the rest fixes the prior's strength.
-    between = var - mean * (1 - mean) * inverse
-    strength = max(mean * (1 - mean) / between - 1, 1.0) if between > 1e-9 else 1e6
-    a, b = mean * strength, (1 - mean) * strength
-    return hosts.withColumn("rate", (F.col("failures") + a) / (F.col("docs") + a + b))
-
-
-def _verdicts(rows: DataFrame, host: str, failed: str, limit: float) -> DataFrame:
-    bad = host_rates(rows, host, failed).where(F.col("rate") > limit).select(F.col("host").alias("__host"), F.lit(True).alias("__bad"))
+def host_rates(rows: DataFrame, host: str, rules: list[str]) -> DataFrame:
+    """host, docs, and of each rule (a boolean column, true where failed) its failures and rate_<rule>, shrunk by its empirical beta prior."""
+    hosts = store(rows.groupBy(F.col(host).alias("host")).agg(F.count("*").alias("docs"), *[F.sum(F.col(r).cast("long")).alias(r) for r in rules]), "rules-hosts")
+    moments = [m for r in rules for m in (F.sum(r), F.var_pop(F.col(r) / F.col("docs")))]
+    n, docs, inverse, *found = hosts.agg(F.count("*"), F.sum("docs"), F.avg(1 / F.col("docs")), *moments).first()
+    for r, failures, var in zip(rules, found[::2], found[1::2], strict=True):
+        if not n:
+            hosts = hosts.withColumn(f"rate_{r}", F.lit(0.0))
+            continue
+        mean = failures / docs
+        # What the rates vary beyond the chance of drawing each host's documents; the rest fixes the prior's strength.
+        between = var - mean * (1 - mean) * inverse
+        strength = max(mean * (1 - mean) / between - 1, 1.0) if between > 1e-9 else 1e6
+        hosts = hosts.withColumn(f"rate_{r}", (F.col(r) + mean * strength) / (F.col("docs") + strength))
+    return hosts
+
+
+def _verdicts(rows: DataFrame, host: str, limit: float, confirmed: float, prefix: str = "") -> DataFrame:
+    """Adds __kept and, prefixed, the failures of the soft rules."""
+    base, soft = prefix + "base_failed", [prefix + r for r in SOFT_RULES]
+    rows = rows.withColumns({prefix + r: F.expr(rule.format(prefix)) for r, rule in SOFT_RULES.items()})
+    rates = host_rates(rows, host, [base, *soft])
+    gone = F.greatest(*[F.col(f"rate_{r}") for r in (base, *soft)]) > limit
+    bad = rates.select(F.col("host").alias("__host"), gone.alias("__gone"), *[(F.col(f"rate_{r}") > confirmed).alias(f"__{r}") for r in soft])
+    # Only hosts with a verdict are joined back.
+    bad = bad.where(F.greatest("__gone", *[f"__{r}" for r in soft]))
     j = rows.join(bad, rows[host].eqNullSafe(bad["__host"]), "left")
-    return j.withColumn("__kept", ~F.col(failed) & F.col("__bad").isNull())
+    lost = F.col("__gone")
+    for r in soft:
+        lost = lost | (F.col(r) & F.col(f"__{r}"))
+    return j.withColumn("__kept", ~F.col(base) & ~F.coalesce(lost, F.lit(False)))
 
 
-def judge(docs: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
-    """doc_id, the measures, base_failed and kept."""
+def judge(docs: DataFrame, limit: float = HOST_LIMIT, confirmed: float = CONFIRMED) -> DataFrame:
+    """doc_id, the measures, base_failed, the soft rules' failures and kept."""
     rows = store(measured(docs.select("doc_id", "source", "text"), ["doc_id", "source"]), "rules-measures")
-    return _verdicts(rows, "source", "base_failed", limit).select("doc_id", *MEASURES, "base_failed", F.col("__kept").alias("kept"))
+    return _verdicts(rows, "source", limit, confirmed).select("doc_id", *MEASURES, "base_failed", *SOFT_RULES, F.col("__kept").alias("kept"))
 
 
-def kept_documents(docs: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
+def kept_documents(docs: DataFrame, limit: float = HOST_LIMIT, confirmed: float = CONFIRMED) -> DataFrame:
     """The documents that are kept, with their own columns."""
     columns = docs.columns
     # The texts are measured once; the written table carries them to the filter.
     rows = store(measured(docs, columns, "__r_"), "rules-documents")
-    return _verdicts(rows, "source", "__r_base_failed", limit).where("__kept").select(*columns)
+    return _verdicts(rows, "source", limit, confirmed, "__r_").where("__kept").select(*columns)
 
 
 RULES_SQL = r"""
@@ -143,12 +162,20 @@ g AS (SELECT rn, i, count(*) OVER (PARTITION BY rn, words[i], words[i + 1], word
 c AS (SELECT rn, count(DISTINCT j) AS n_repeat_words FROM (SELECT rn, unnest([i, i + 1, i + 2]) AS j FROM g WHERE n >= 2) GROUP BY rn),
 m AS (
   SELECT d.*, coalesce(c.n_repeat_words, 0)::BIGINT AS n_repeat_words,
-    (n_words < 50 OR 100 * coalesce(c.n_repeat_words, 0) > 50 * n_words) AS base_failed
+    (n_words < 50 OR 100 * coalesce(c.n_repeat_words, 0) > 50 * n_words) AS base_failed,
+    10 * n_symbols > word_chars AS symbols_failed, 20 * n_dup_lines > n_words AS lines_failed
   FROM d LEFT JOIN c USING (rn)),
-h AS (SELECT source, count(*) AS docs, sum(base_failed::INT) AS failures FROM m GROUP BY source),
-p AS (SELECT sum(failures) / sum(docs) AS mean, var_pop(failures / docs) - (sum(failures) / sum(docs)) * (1 - sum(failures) / sum(docs)) * avg(1 / docs) AS between_hosts FROM h),
-q AS (SELECT mean, CASE WHEN between_hosts > 1e-9 THEN greatest(mean * (1 - mean) / between_hosts - 1, 1.0) ELSE 1e6 END AS strength FROM p),
-v AS (SELECT source, (failures + mean * strength) / (docs + strength) AS rate FROM h, q)
-SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, (NOT base_failed AND v.rate <= 0.9) AS kept
+f AS (SELECT source, unnest(['base', 'symbols', 'lines']) AS rule, unnest([base_failed::INT, symbols_failed::INT, lines_failed::INT]) AS failed FROM m),
+h AS (SELECT source, rule, count(*) AS docs, sum(failed) AS failures FROM f GROUP BY source, rule),
+p AS (
+  SELECT rule, sum(failures) / sum(docs) AS mean,
+    var_pop(failures / docs) - (sum(failures) / sum(docs)) * (1 - sum(failures) / sum(docs)) * avg(1 / docs) AS between_hosts
+  FROM h GROUP BY rule),
+q AS (SELECT rule, mean, CASE WHEN between_hosts > 1e-9 THEN greatest(mean * (1 - mean) / between_hosts - 1, 1.0) ELSE 1e6 END AS strength FROM p),
+v AS (
+  SELECT source, max(rate) AS worst, max(rate) FILTER (rule = 'symbols') AS symbols, max(rate) FILTER (rule = 'lines') AS lines
+  FROM (SELECT source, rule, (failures + mean * strength) / (docs + strength) AS rate FROM h JOIN q USING (rule)) GROUP BY source)
+SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, symbols_failed, lines_failed,
+  (NOT base_failed AND v.worst <= 0.9 AND NOT (symbols_failed AND v.symbols > 0.02) AND NOT (lines_failed AND v.lines > 0.02)) AS kept
 FROM m JOIN v ON m.source IS NOT DISTINCT FROM v.source
 """

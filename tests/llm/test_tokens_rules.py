@@ -139,6 +139,21 @@ def test_a_host_that_fails_throughout_loses_its_documents(docs):
     assert kept.columns == clash.columns and {r["doc_id"] for r in kept.collect()} == {i for i, r in got.items() if r["kept"]}
 
 
+def test_soft_rules_count_where_the_host_confirms_them(docs):
+    """Symbols and repeated lines: single failures stay on clean hosts and go on hosts full of them, clean documents there stay;
+    a host that fails nearly throughout loses all."""
+    good = " ".join(f"word{i}" for i in range(80))
+    symbols, lines = " ".join(f"w{i} ##%%" for i in range(60)), good + "\nab c" * 30
+    rows = [(i, f"{good} {i}", f"clean{i % 4}") for i in range(4000)] + [(5000, symbols, "clean0"), (5001, lines, "clean1")]
+    rows += [(6000 + i, symbols if i % 3 else good, "noisy") for i in range(300)] + [(7000 + i, lines if i % 2 else good, "menus") for i in range(300)]
+    rows += [(8000 + i, symbols if i else good, "junk") for i in range(400)]
+    got = {r["doc_id"]: r for r in rules.judge(docs(rows)).collect()}
+    gone = {i for i, r in got.items() if not r["kept"]}
+    assert not any(r["base_failed"] for r in got.values())
+    assert gone == {6000 + i for i in range(300) if i % 3} | {7000 + i for i in range(300) if i % 2} | {8000 + i for i in range(400)}
+    assert {r["doc_id"] for r in rules.kept_documents(docs(rows)).collect()} == got.keys() - gone
+
+
 def test_rules_edge_cases(docs, edge_rows):
     out = rules.judge(docs(edge_rows)).collect()
     assert len(out) == len(edge_rows)
