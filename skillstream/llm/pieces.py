@@ -8,7 +8,9 @@ wins. A character without a piece of its own may be an unknown of the least
 score less 10, written as its bytes.
 
 No piece goes on from another character to a space mark, so a text is cut
-there: segments are counted once per worker and added up. Scores are summed
+there: segments are counted once per worker and added up. Matches are taken as
+the automaton finds them, end after end, so a segment of any length holds no more
+places than the longest piece has characters. Scores are summed
 in double precision, which is exact for this vocabulary.
 
 Edge cases: a null or empty text has no ids; a literal space mark counts as a
@@ -32,6 +34,11 @@ from .common import ship
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 CACHED = 600_000
+#: Longer segments are counted but not kept; longer texts are counted segment by segment.
+LONG_KEY = 256
+LONG_TEXT = 1 << 20
+#: Settled places that may wait to be given back.
+TRIM = 4096
 NORMAL, USER_DEFINED = 1, 4
 
 
@@ -55,30 +62,40 @@ class Unigram:
         self.single = {p for p, _ in vocabulary if len(p) == 1}
         if any(MARK in p.lstrip(MARK) for p, _ in vocabulary):
             raise ValueError("a piece goes on from another character to a space mark")
+        self.reach = max(len(p) for p, _ in vocabulary)
         self.cache: dict[str, tuple[int, float]] = {}
         self.segment = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
     def count(self, segment: str) -> tuple[int, float]:
-        """Ids and score of the best path through one segment."""
-        n = len(segment)
-        best, ids = [None] * (n + 1), [0] * (n + 1)
-        best[0] = 0.0
-        matches: list[list] = [[] for _ in range(n)]
+        """Ids and score of the best path through one segment. Only the places that a piece can reach back to are held."""
+        best, ids = [0.0], [0]  # of the places up to the one in hand; the last entry is the place before the next character
+        single, unknown, reach, most = self.single, self.unknown, self.reach, self.reach + TRIM
+        at, top, many, wide = 0, None, 0, 0
+
+        def settle(upto: int) -> None:
+            """Ends are settled in order; an end without a piece of its own character may be an unknown."""
+            nonlocal at, top, many, wide
+            while at < upto:
+                c = segment[at]
+                if c not in single:
+                    s = best[-1] + unknown
+                    if top is None or s > top:
+                        top, many = s, ids[-1] + len(c.encode())
+                best.append(top)
+                ids.append(many)
+                if len(best) > most:
+                    del best[:-reach], ids[:-reach]
+                at, top, wide = at + 1, None, 0
+
         for end, (length, score) in self.automaton.iter(segment):
-            matches[end].append((length, score))
-        for i in range(n):
-            # Ends are settled in order; among equal scores the earliest start stays.
-            top, many = None, 0
-            for length, score in sorted(matches[i], reverse=True):
-                s = best[i + 1 - length] + score
-                if top is None or s > top:
-                    top, many = s, ids[i + 1 - length] + 1
-            if segment[i] not in self.single:
-                s = best[i] + self.unknown
-                if top is None or s > top:
-                    top, many = s, ids[i] + len(segment[i].encode())
-            best[i + 1], ids[i + 1] = top, many
-        return ids[n], best[n]
+            if at < end:
+                settle(end)
+            s = best[-length] + score
+            # Among equal scores the earliest start stays.
+            if top is None or s > top or (s == top and length > wide):
+                top, many, wide = s, ids[-length] + 1, length
+        settle(len(segment))
+        return ids[-1], best[-1]
 
     def segments(self, text: str | None) -> list[str]:
         if not text:
@@ -88,22 +105,40 @@ class Unigram:
         return text.split(" ")  # each stands for itself behind a mark
 
     def counts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        keys = [self.segments(t) for t in texts]
+        keys = [self.segments(t) if t and len(t) <= LONG_TEXT else [] for t in texts]
         new = set().union(*keys).difference(self.cache)
         if len(self.cache) + len(new) > CACHED:
             self.cache = {}
             new = set().union(*keys)
+        long = {}
         for k in new:
-            self.cache[k] = self.count(k if k.startswith(MARK) else MARK + k)
+            (self.cache if len(k) <= LONG_KEY else long)[k] = self.count(k if k.startswith(MARK) else MARK + k)
         sizes = np.fromiter(map(len, keys), np.int64, len(keys))
-        flat = list(map(self.cache.__getitem__, chain.from_iterable(keys)))
+        every = chain.from_iterable(keys)
+        flat = [self.cache.get(k) or long[k] for k in every] if long else list(map(self.cache.__getitem__, every))
         found = np.array(flat, np.float64).reshape(-1, 2)
         out = np.zeros((len(texts), 2))
         if len(found):
             full = sizes > 0
             out[full] = np.add.reduceat(found, (np.cumsum(sizes) - sizes)[full], axis=0)
+        for i, t in enumerate(texts):
+            if t and len(t) > LONG_TEXT:
+                out[i] = self.long_count(t)
         return out[:, 0].astype(np.int64), out[:, 1]
 
+    def long_count(self, text: str) -> tuple[int, float]:
+        """As :meth:`counts`, one segment after another: the segments of a very long text are never listed."""
+        n, score = 0, 0.0
+        for m in self.segment.finditer(MARK + text.replace(" ", MARK)):
+            k = m.group()
+            found = self.cache.get(k)
+            if found is None:
+                found = self.count(k)
+                if len(k) <= LONG_KEY and len(self.cache) < CACHED:
+                    self.cache[k] = found
+            n, score = n + found[0], score + found[1]
+        return n, score
+
 
 _BUILT: dict[str, Unigram] = {}
 

@@ -6,7 +6,7 @@ import tracemalloc
 import numpy as np
 import pytest
 
-from skillstream.llm import bpe, common, neardup
+from skillstream.llm import bpe, common, neardup, pieces
 
 
 def words(n, seed):
@@ -93,3 +93,21 @@ def test_blocks_follow_the_elements(spark):
     got = neardup._open_places(places, comp, ["units"]).groupBy("bucket").agg({"l": "max", "r": "max"}).collect()
     most = {r["bucket"]: (r["max(l)"], r["max(r)"]) for r in got}
     assert most[2] == (0, 0) and most[1][0] > 1 and most[1][1] > 1
+
+
+def test_a_text_without_a_space_holds_few_places():
+    """Token counts of a segment of a million characters, and of a long text of many segments, in bounded memory."""
+    vocabulary = [(c, -1.0 - i) for i, c in enumerate("abcdefgh▁")] + [("ab", -1.2), ("abcdefgh", -3.0), ("▁ab", -1.1)]
+    model = pieces.Unigram(vocabulary)
+    one = "abcdefgh" * 125_000
+    assert peak(lambda: model.count(one)) < 3 << 20
+    assert model.count("▁" + one)[0] == 1 + 125_000 and not model.cache
+    rng = random.Random(5)
+    text = " ".join("".join(rng.choice("abcdefghxé") for _ in range(rng.randrange(12))) for _ in range(4000)) + " ▁ab  "
+    (n,), (score,) = model.counts([text])
+    assert (n, pytest.approx(score)) == model.long_count(text)
+    limit, pieces.LONG_TEXT = pieces.LONG_TEXT, 100
+    try:
+        assert [x.tolist() for x in pieces.Unigram(vocabulary).counts([text, "ab", None])] == [[n, model.counts(["ab"])[0][0], 0], pytest.approx([score, model.counts(["ab"])[1][0], 0])]
+    finally:
+        pieces.LONG_TEXT = limit

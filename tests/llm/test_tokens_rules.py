@@ -110,6 +110,24 @@ def test_counts_equal_the_unigram_lattice_of_the_library():
     assert model.counts(texts)[0].tolist() == [len(library.nbest_encode(t, nbest_size=2)[0]) for t in texts]
 
 
+def test_counts_of_given_texts_equal_the_library_and_ignore_other_columns(spark, docs):
+    """Words of the given documents by the library's lattice search; clashing columns change nothing."""
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as pb
+    proto = pb.ModelProto()
+    with open(MODEL, "rb") as f:
+        proto.ParseFromString(f.read())
+    proto.trainer_spec.model_type = 1
+    library = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
+    given = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    words = sorted({w for r in given for w in (r["text"] or "").split(" ") if re.fullmatch("[A-Za-z]{1,14}", w)})[:400]
+    model = pieces.Unigram(pieces.read_vocabulary(MODEL))
+    assert len(words) > 50 and model.counts(words)[0].tolist() == [len(library.nbest_encode(w, nbest_size=2)[0]) for w in words]
+    rows = [(i, w, "s") for i, w in enumerate(words)]
+    clash = docs(rows).withColumns({"n_tokens": F.lit("x"), "score": F.lit("y")})
+    assert sorted(map(tuple, pieces.token_counts(clash).collect())) == sorted(map(tuple, pieces.token_counts(docs(rows)).collect()))
+
+
 def brute_measure(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     windows = collections.Counter(tuple(words[i:i + 3]) for i in range(len(words) - 2))
