@@ -100,7 +100,7 @@ def test_a_text_without_a_space_holds_few_places():
     vocabulary = [(c, -1.0 - i) for i, c in enumerate("abcdefgh▁")] + [("ab", -1.2), ("abcdefgh", -3.0), ("▁ab", -1.1)]
     model = pieces.Unigram(vocabulary)
     one = "abcdefgh" * 125_000
-    assert peak(lambda: model.count(one)) < 3 << 20
+    assert peak(lambda: model.count(one)) < 6 << 20  # four bytes a character are the automaton's own copy
     assert model.count("▁" + one)[0] == 1 + 125_000 and not model.cache
     rng = random.Random(5)
     text = " ".join("".join(rng.choice("abcdefghxé") for _ in range(rng.randrange(12))) for _ in range(4000)) + " ▁ab  "
