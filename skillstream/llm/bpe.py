@@ -272,9 +272,9 @@ _BUILT: dict[tuple[str, str], Bpe] = {}
 
 
 def built(path: str, pattern: str) -> Bpe:
+    enter("bpe", _BUILT.clear)  # first, so that what others keep is gone before the tables are built
     if (path, pattern) not in _BUILT:
         _BUILT[path, pattern] = Bpe(path, pattern)
-    enter("bpe", _BUILT.clear)
     return _BUILT[path, pattern]
 
 
