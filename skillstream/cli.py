@@ -1,7 +1,7 @@
 """Command-line entry points for the jobs a deployment runs.
 
     python -m skillstream.cli ingest    --source-format kafka --option kafka.bootstrap.servers=HOST:9092 \\
-                                        --option subscribe=job_postings --table PATH --checkpoint PATH
+                                        --option subscribe=postings --table PATH --checkpoint PATH
     python -m skillstream.cli alerts    --table PATH --alerts-file PATH --out PATH --digests PATH --checkpoint PATH
     python -m skillstream.cli dashboard --table PATH --out PATH
     python -m skillstream.cli publish   --input postings.json --target PATH_OR_TOPIC [--format text|kafka]

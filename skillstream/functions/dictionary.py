@@ -11,31 +11,31 @@ from pyspark.sql import DataFrame, SparkSession
 from ..schema import DICTIONARY_SCHEMA
 
 # --- Fixed values (must equal the source system for identical results) ------
-# The default skill dictionary: 85 terms in 10 categories, in their
-# original order. Matching returns these spellings.
+# The default skill dictionary: 85 terms in their original order. Matching
+# returns these spellings. (The labels of the ten groups are this library's.)
 DEFAULT_SKILL_GROUPS = [
-    ("Programming Languages", [
+    ("languages", [
         "Python", "C++", "Java", "JavaScript", "TypeScript", "Go", "Rust", "SQL", "R", "Scala"]),
-    ("Data Engineering", [
+    ("data platforms", [
         "Apache Spark", "Spark", "PySpark", "Kafka", "Delta Lake", "PostgreSQL", "MySQL",
         "MongoDB", "Redis", "Cassandra", "Hadoop", "Hive", "Presto", "Snowflake"]),
-    ("Cloud & Infrastructure", [
+    ("cloud", [
         "AWS", "Azure", "GCP", "Docker", "Kubernetes", "Terraform", "Ansible"]),
-    ("AI/ML Technologies", [
+    ("machine learning", [
         "Machine Learning", "Deep Learning", "NLP", "Computer Vision", "LLM",
         "Generative AI", "GPT", "OpenAI", "RAG", "Vector Databases", "Embeddings",
         "LangChain", "Prompt Engineering", "Fine-tuning", "Hugging Face"]),
-    ("ML Frameworks", [
+    ("learning libraries", [
         "TensorFlow", "PyTorch", "scikit-learn", "Keras", "XGBoost", "LightGBM"]),
-    ("Data Science", [
+    ("analysis", [
         "Pandas", "NumPy", "Matplotlib", "Seaborn", "Jupyter", "Data Analysis"]),
-    ("Backend & APIs", [
+    ("services", [
         "Node.js", "Express", "Flask", "FastAPI", "Django", "REST API", "GraphQL", "gRPC"]),
-    ("Frontend", [
+    ("web", [
         "React", "Angular", "Vue.js", "HTML", "CSS"]),
-    ("DevOps & Tools", [
+    ("delivery", [
         "Git", "GitHub", "GitLab", "CI/CD", "Jenkins", "GitHub Actions"]),
-    ("Specialized", [
+    ("architecture", [
         "Distributed Systems", "Microservices", "ETL", "Data Pipeline",
         "Data Warehouse", "Big Data", "Stream Processing", "Batch Processing"]),
 ]

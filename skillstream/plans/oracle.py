@@ -1,14 +1,12 @@
 """DuckDB SQL equivalents of the catalogue queries (correctness oracle).
 
-Written independently of the Spark code from the same specification; the
-fixture mapping mirrors ``sources/fixtures.py`` and tagging uses the same
-word-boundary pattern (``functions/dictionary.term_pattern``), which RE2
-reads the same way as Java regex.
+Written independently of the Spark code from the same specification: the
+fixture mapping of ``sources/fixtures.py`` and the word-boundary pattern of
+every term are spelled out here again.
 """
 
 from __future__ import annotations
 
-from ..functions.dictionary import TEST_SKILLS, term_pattern
 from . import params as P
 
 
@@ -29,8 +27,8 @@ SELECT concat('JOB-', CAST(doc_id AS VARCHAR)) AS job_id,
        CASE WHEN doc_id % 37 = 0 THEN NULL ELSE source END AS company,
        CASE WHEN n_chars % 13 = 0 THEN NULL
             ELSE concat('LOC_', CAST(n_chars % 11 AS VARCHAR)) END AS location,
-       CASE doc_id % 5 WHEN 0 THEN '0-6 months' WHEN 1 THEN '1-3 years'
-         WHEN 2 THEN '3-5 years' WHEN 3 THEN '5+ years' END AS experience,
+       CASE doc_id % 5 WHEN 0 THEN 'first job' WHEN 1 THEN 'some practice'
+         WHEN 2 THEN 'seasoned' WHEN 3 THEN 'veteran' END AS experience,
        CASE doc_id % 5 WHEN 0 THEN 'Internship' WHEN 1 THEN 'Entry-Level'
                        WHEN 2 THEN 'Mid-Level'  WHEN 3 THEN 'Senior' END AS experience_level,
        CASE WHEN doc_id % 7 = 0 THEN NULL ELSE ['The', 'Extra', 'the']::VARCHAR[] END AS skills_required,
@@ -39,7 +37,7 @@ SELECT concat('JOB-', CAST(doc_id AS VARCHAR)) AS job_id,
             ELSE CAST(DATE '2024-01-01' + CAST(doc_id % 30 AS INT) AS VARCHAR) END AS posted_date,
        concat('https://', source, '.example/careers/', CAST(doc_id AS VARCHAR)) AS link,
        CASE WHEN doc_id % 10 < 3 THEN NULL
-            ELSE concat(CAST(6 + doc_id % 35 AS VARCHAR), '-', CAST(10 + doc_id % 51 AS VARCHAR), ' LPA')
+            ELSE concat('EUR ', CAST(30 + doc_id % 41 AS VARCHAR), 'k to ', CAST(75 + doc_id % 29 AS VARCHAR), 'k')
        END AS salary_range,
        TIMESTAMP '2024-01-01 00:00:00' + doc_id * INTERVAL '1' MINUTE AS processed_timestamp,
        TIMESTAMP '2024-01-01 00:00:00' + doc_id * INTERVAL '1' MINUTE AS kafka_timestamp
@@ -47,16 +45,38 @@ FROM documents
 """
 
 
-def tag_sql(text: str, terms) -> str:
-    whens = ", ".join(
-        f"CASE WHEN regexp_matches({text}, {_q(term_pattern(t))}) THEN {_q(t)} END" for t in terms)
+# The terms and their patterns, in order: a term has no letter, digit or underscore beside it.
+TERM_PATTERNS = {
+    "The": r"(^|[^\p{L}\p{N}_])the($|[^\p{L}\p{N}_])",
+    "Of": r"(^|[^\p{L}\p{N}_])of($|[^\p{L}\p{N}_])",
+    "And": r"(^|[^\p{L}\p{N}_])and($|[^\p{L}\p{N}_])",
+    "De": r"(^|[^\p{L}\p{N}_])de($|[^\p{L}\p{N}_])",
+    "To": r"(^|[^\p{L}\p{N}_])to($|[^\p{L}\p{N}_])",
+    "In": r"(^|[^\p{L}\p{N}_])in($|[^\p{L}\p{N}_])",
+    "Der": r"(^|[^\p{L}\p{N}_])der($|[^\p{L}\p{N}_])",
+    "La": r"(^|[^\p{L}\p{N}_])la($|[^\p{L}\p{N}_])",
+    "Ing": r"(^|[^\p{L}\p{N}_])ing($|[^\p{L}\p{N}_])",
+    "Tion": r"(^|[^\p{L}\p{N}_])tion($|[^\p{L}\p{N}_])",
+    "Von": r"(^|[^\p{L}\p{N}_])von($|[^\p{L}\p{N}_])",
+    "Mit": r"(^|[^\p{L}\p{N}_])mit($|[^\p{L}\p{N}_])",
+    "Ble": r"(^|[^\p{L}\p{N}_])ble($|[^\p{L}\p{N}_])",
+    "Sh": r"(^|[^\p{L}\p{N}_])sh($|[^\p{L}\p{N}_])",
+    "Of the": r"(^|[^\p{L}\p{N}_])of the($|[^\p{L}\p{N}_])",
+    "Wh": r"(^|[^\p{L}\p{N}_])wh($|[^\p{L}\p{N}_])",
+    "Nd": r"(^|[^\p{L}\p{N}_])nd($|[^\p{L}\p{N}_])",
+}
+TERMS = list(TERM_PATTERNS)
+
+
+def tag_sql(text: str) -> str:
+    whens = ", ".join(f"CASE WHEN regexp_matches({text}, {_q(p)}) THEN {_q(t)} END" for t, p in TERM_PATTERNS.items())
     return f"list_filter([{whens}]::VARCHAR[], lambda z: z IS NOT NULL)"
 
 
-def enriched_sql(terms=TEST_SKILLS) -> str:
+def enriched_sql() -> str:
     return f"""
 WITH raw AS ({RAW_POSTINGS}),
-tagged AS (SELECT *, {tag_sql('lower(description)', terms)} AS skills_extracted FROM raw),
+tagged AS (SELECT *, {tag_sql('lower(description)')} AS skills_extracted FROM raw),
 counted AS (SELECT *, CAST(len(list_distinct(list_concat(coalesce(skills_required, []::VARCHAR[]),
                                                         skills_extracted))) AS INTEGER) AS skills_count
             FROM tagged)
@@ -99,7 +119,7 @@ def _alert_values(alerts: list[dict] = P.TEST_ALERTS) -> str:
 
 MANY_ALERTS = f"""
 SELECT concat(source, '-', CAST(k AS VARCHAR)) AS name,
-       CASE WHEN k % 4 = 0 THEN [({_list(TEST_SKILLS)})[k + 1], ({_list(TEST_SKILLS)})[k + 3]] END AS keywords,
+       CASE WHEN k % 4 = 0 THEN [({_list(TERMS)})[k + 1], ({_list(TERMS)})[k + 3]] END AS keywords,
        CASE WHEN k % 4 < 2 THEN [concat('LOC_', CAST(k AS VARCHAR)), concat('LOC_', CAST((k + 5) % 11 AS VARCHAR))]
             ELSE []::VARCHAR[] END AS locations,
        CASE WHEN k % 4 = 2 THEN ['Senior', 'Junior'] END AS seniority_levels,
@@ -146,7 +166,7 @@ def build() -> dict[str, str]:
     q: dict[str, str] = {}
     q["enriched"] = _with("SELECT * FROM enriched")
     q["skill_extract"] = f"WITH raw AS ({RAW_POSTINGS}) SELECT job_id, " \
-                         f"{tag_sql('lower(description)', TEST_SKILLS)} AS skills_extracted FROM raw"
+                         f"{tag_sql('lower(description)')} AS skills_extracted FROM raw"
     q["skill_extract_join"] = q["skill_extract"]
     # The patterns of P.SYMBOL_TERMS, spelled out: a term's end that is a letter
     # has no word character beside it; one that is a symbol has a word character

@@ -25,7 +25,7 @@ TITLES_BY_MOD9 = [
     "Principal Scientist", "Data Engineer",  # 8 -> NULL
 ]
 LEVELS_BY_MOD5 = ["Internship", "Entry-Level", "Mid-Level", "Senior"]  # 4 -> NULL
-EXPERIENCE_BY_MOD5 = ["0-6 months", "1-3 years", "3-5 years", "5+ years"]  # 4 -> NULL
+EXPERIENCE_BY_MOD5 = ["first job", "some practice", "seasoned", "veteran"]  # 4 -> NULL
 REQUIRED_SKILLS = ["The", "Extra", "the"]
 
 
@@ -63,8 +63,8 @@ def postings_from_documents(docs: DataFrame) -> DataFrame:
         F.concat(F.lit("https://"), F.col("source"), F.lit(".example/careers/"),
                  d.cast("string")).alias("link"),
         F.when(d % 10 < 3, F.lit(None).cast("string"))
-         .otherwise(F.concat((6 + d % 35).cast("string"), F.lit("-"),
-                             (10 + d % 51).cast("string"), F.lit(" LPA"))).alias("salary_range"),
+         .otherwise(F.concat(F.lit("EUR "), (30 + d % 41).cast("string"), F.lit("k to "),
+                             (75 + d % 29).cast("string"), F.lit("k"))).alias("salary_range"),
         stamp.alias("processed_timestamp"),
         stamp.alias("kafka_timestamp"),
     )
