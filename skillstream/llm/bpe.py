@@ -29,12 +29,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import STORE_BYTES, enter, ship
+from .common import STORE_BYTES, by_size, enter, ship
 
 NONE = np.int32(2**31 - 1)
 MATRIX_BYTES = 128
 #: Most keys that a worker keeps, if their bytes do not bound them before.
 CACHED = 600_000
+#: Characters of texts that are encoded at once; a longer text goes by itself.
+CHARS = 1 << 20
 #: Bytes of a cached key besides its letters and ids.
 KEY_BYTES = 140
 #: White space other than the space and the line feed.
@@ -320,10 +322,12 @@ def digests(docs: DataFrame, path: str | None = None, pattern: str | None = None
         bpe = built(*((path, pattern) if path else _public()))
         for b in batches:
             n, said, back = [], [], []
-            for ids in bpe.encode(b.column("text").to_pylist()):
-                n.append(len(ids))
-                said.append(hashlib.sha256(bpe.decimals(ids)).hexdigest())
-                back.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
+            texts = b.column("text").to_pylist()
+            for some in by_size(texts, CHARS):
+                for ids in bpe.encode(texts[some]):
+                    n.append(len(ids))
+                    said.append(hashlib.sha256(bpe.decimals(ids)).hexdigest())
+                    back.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(said, pa.string()), pa.array(back, pa.string())],
                                              ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 

@@ -8,7 +8,7 @@ import gc
 import os
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +46,19 @@ def enter(operator: str, forget: Callable[[], None]) -> None:
             ctypes.CDLL(None).malloc_trim(0)
 
 
+def by_size(texts: list[str | None], most: int) -> Iterator[slice]:
+    """Runs of texts of together at most ``most`` characters; a longer text is a run by itself."""
+    start = size = 0
+    for i, t in enumerate(texts):
+        n = len(t) if t else 0
+        if i > start and size + n > most:
+            yield slice(start, i)
+            start, size = i, 0
+        size += n
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
 def small(df: DataFrame, row_bytes: int) -> DataFrame:
     """A stored table, marked for broadcast if its rows fit into BROADCAST_BYTES."""
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df

@@ -139,3 +139,29 @@ def test_logits_walk_down_every_tree():
                 node = node * 2 + (sum(e <= row[f[node]] for e in trees.edges[f[node]]) > c[node])
             want += value[node]
         assert z == pytest.approx(want, abs=1e-9)
+
+
+def test_toxicity_of_a_text_in_pieces_is_that_of_the_whole(given, monkeypatch):
+    docs, labels = given
+    packed = toxicity.learn(docs, labels)
+    model = toxicity.Cnn.unpacked(packed)
+    rng = random.Random(4)
+    pool = "idiot the of der die und stupid fine words (here) ÜBER señor 漢字 ... -- a b".split()
+    texts = [" ".join(rng.choice(pool) for _ in range(n)) + rng.choice(["", " ", "\n--"]) for n in (1, 2, 3, 5, 8, 30, 31, 60)]
+    texts += [None, "", "-- " * 40, "... " * 30 + "idiot", "x" * 90, "idiot" + " -" * 60 + " idiot"]
+    want = [sigmoid(plain_filters(model, t)) for t in texts]
+    for piece in (1, 7, 25, 1 << 20):
+        monkeypatch.setattr(toxicity, "PIECE", piece)
+        assert toxicity.score_texts(packed, "pieces", texts) == pytest.approx(want, abs=1e-4), piece
+
+
+def test_memory_of_toxicity_is_bounded_on_a_very_long_text(given):
+    import tracemalloc
+    packed = toxicity.learn(*given)
+    text = "some words and others, " * 700_000  # 16 million characters
+    toxicity.score_texts(packed, "long", ["warm up"])
+    tracemalloc.start()
+    toxicity.score_texts(packed, "long", [text, text[:500]])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 160 << 20, peak
