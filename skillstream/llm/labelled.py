@@ -1,4 +1,4 @@
-"""The bounded labelled sample that the classifiers learn from."""
+"""The labelled rows that the classifiers learn from: all of them, or a bounded sample."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import warnings
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import store
+from .common import small, store
 
 #: Training rows are whole texts of at most so many characters, and windows of longer ones: this bounds what the driver holds.
 MOST_CHARS, WINDOWS = 20_000, 4
@@ -25,11 +25,23 @@ def windows(text: Column) -> Column:
     return F.when(F.length(text) <= MOST_CHARS, text).otherwise(F.concat_ws(" ", *[F.substring(text, a, F.lit(width)) for a in at]))
 
 
+def given_labels(labels: DataFrame, label: str) -> DataFrame:
+    """doc_id, label of the ids that may be learnt from; not those with several labels."""
+    return (labels.select("doc_id", F.col(label).alias("label")).where("doc_id is not null and label is not null")
+            .where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("other"))
+            .where("label = other").select("doc_id", "label"))
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """doc_id, text, label (0 or 1) of every document with a text and a label that may be learnt from; whole texts."""
+    rows = given_labels(labels, label).where("label in (0, 1)").select("doc_id", F.col("label").cast("int").alias("label"))
+    rows = small(store(rows, f"labelled-{label}"), 16)
+    return docs.select("doc_id", "text").where(F.length("text") > 0).where(~held_out(F.col("doc_id"))).join(rows, "doc_id")
+
+
 def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: dict[int, int]) -> list[tuple[str, int]]:
     """At most ``per_class[v]`` rows (text, v) of each label value v that have a text, taken by the hash of the id: reruns agree."""
-    rows = (labels.select("doc_id", F.col(label).alias("label")).where("doc_id is not null and label is not null")
-            .where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("other"))
-            .where("label = other"))
+    rows = given_labels(labels, label)
     texts = docs.select("doc_id", "text").where(F.length("text") > 0)
     # Labels without a text go before the limit, so that others take their places.
     rows = store(rows.join(texts.select("doc_id").distinct(), "doc_id", "left_semi"), f"labelled-{label}")
